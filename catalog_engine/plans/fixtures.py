@@ -73,3 +73,33 @@ def decorated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(v == 2, F.concat(F.col("p_brand"), F.lit(" \t\u00a0"), F.col("p_name"), F.lit("\n")))
             .otherwise(F.concat(F.col("p_type"), F.lit(" -- "), F.col("p_name"))))
     return p.select(F.col("p_partkey").alias("id"), text.alias("text"))
+
+
+def _href(k):
+    v = k % 7
+    path = F.concat(F.lit("/products/"), k.cast("string"))
+    return (F.when(v == 1, F.concat(F.lit(SHOP), path))
+            .when(v == 2, F.concat(F.lit("//shop.example.com"), path))
+            .otherwise(path))
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing corpus: 50 products per page (``offset = key div 50``), plus
+    skip-list noise, a repeated link, a link to the next page's first
+    product and a pagination link. Groups are bounded by the page size."""
+    p = table(spark, sf_dir, "part")
+    off = F.floor(F.col("p_partkey") / PAGE_SIZE).cast("bigint")
+    items = p.select(off.alias("offset"), F.col("p_partkey").alias("k"), _href(F.col("p_partkey")).alias("href"))
+    li = lambda x: F.concat(F.lit('<li><a href="'), x["href"], F.lit('">'), x["k"].cast("string"), F.lit("</a></li>"))
+    pages = items.groupBy("offset").agg(F.sort_array(F.collect_list(F.struct("k", "href"))).alias("items"),
+                                        F.min("k").alias("first"))
+    nxt = (F.col("offset") + 1).cast("string")
+    html = F.concat(
+        F.lit('<html><body><nav><a href="/products/new">New</a> <a href="/products/create">Create</a></nav><ul>'),
+        F.array_join(F.transform("items", li), ""),
+        F.lit('</ul><a href="/products/'), F.col("first").cast("string"), F.lit('">again</a>'),
+        F.lit('<a href="/products/'), ((F.col("offset") + 1) * PAGE_SIZE).cast("string"), F.lit('">featured</a>'),
+        F.lit('<a href="/about">About</a><a class="next" href="/products/all?offset='), nxt,
+        F.lit('">Next</a></body></html>'))
+    url = F.concat(F.lit(SHOP + "/products/all?offset="), F.col("offset").cast("string"))
+    return pages.select(F.col("offset").alias("page_id"), url.alias("url"), html.alias("html"))

@@ -212,3 +212,108 @@ def q_recommendation(spark, sf):
     sq = FX.study_queries(spark, sf)
     _, mg = M.study_topk(sq, FX.catalogue(spark, sf))
     return M.recommendation(sq, mg)
+
+
+# --------------------------------------------------------------------------
+# links and pages P1-P10
+# --------------------------------------------------------------------------
+
+from ..operators import links as L  # noqa: E402
+
+SHOP = FX.SHOP
+HREF_SQL = (f"CASE WHEN p_partkey % 7 = 1 THEN '{SHOP}/products/' || p_partkey "
+            f"WHEN p_partkey % 7 = 2 THEN '//shop.example.com/products/' || p_partkey "
+            f"ELSE '/products/' || p_partkey END")
+LISTING = (
+    "SELECT pg AS page_id, '" + SHOP + "/products/all?offset=' || pg AS url, "
+    "'<html><body><nav><a href=\"/products/new\">New</a> <a href=\"/products/create\">Create</a></nav><ul>' || "
+    "string_agg('<li><a href=\"' || href || '\">' || p_partkey || '</a></li>', '' ORDER BY p_partkey) || "
+    "'</ul><a href=\"/products/' || min(p_partkey) || '\">again</a><a href=\"/products/' || ((pg + 1) * 50) || "
+    "'\">featured</a><a href=\"/about\">About</a><a class=\"next\" href=\"/products/all?offset=' || (pg + 1) || "
+    "'\">Next</a></body></html>' AS html "
+    f"FROM (SELECT CAST(floor(p_partkey / 50) AS BIGINT) AS pg, p_partkey, {HREF_SQL} AS href FROM part) x GROUP BY pg")
+ANCHOR = r'<a\b[^>]*?href="([^"]*)"'
+
+
+def _links_sql(src: str, contains: str) -> str:
+    return (f"SELECT * FROM (SELECT page_id, url, UNNEST(range(len(h))) AS pos, UNNEST(h) AS href FROM "
+            f"(SELECT page_id, url, regexp_extract_all(html, '{ANCHOR}', 1) AS h FROM ({src}) s) t) u "
+            f"WHERE contains(href, '{contains}')")
+
+
+SKIP_SQL = "NOT (contains(href, '/new') OR contains(href, '/create') OR contains(href, '/all'))"
+RESOLVE_SQL = (
+    "CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN href "
+    "WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1) || ':' || href "
+    "WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) || href "
+    "WHEN starts_with(href, '?') THEN regexp_extract(url, '^([^?#]*)', 1) || href "
+    "WHEN starts_with(href, '#') THEN regexp_extract(url, '^([^#]*)', 1) || href "
+    "WHEN href = '' THEN regexp_extract(url, '^([^#]*)', 1) "
+    "ELSE regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*(?:[^?#]*/)?)', 1) || href END")
+OFFSET_SQL = "coalesce(TRY_CAST(nullif(regexp_extract(url, 'offset=(\\d+)', 1), '') AS BIGINT), 0)"
+PRODUCT_LINKS = (f"SELECT *, {RESOLVE_SQL} AS full_url, {OFFSET_SQL} AS \"offset\", "
+                 f"CAST({OFFSET_SQL} + 1 AS INTEGER) AS page_number FROM ({_links_sql(LISTING, '/products/')}) l "
+                 f"WHERE {SKIP_SQL}")
+FIRST_SEEN = (f"SELECT full_url, arg_min(struct_pack(page_id := page_id, url := url, pos := pos, href := href, "
+              f"\"offset\" := \"offset\", page_number := page_number), struct_pack(o := \"offset\", p := pos)) AS r "
+              f"FROM ({PRODUCT_LINKS}) pl GROUP BY full_url")
+
+
+@register("extract_links", _links_sql("SELECT page_id, url, html FROM pages", "/"))
+def q_extract_links(spark, sf):
+    from ..session import table
+    return L.extract_links(table(spark, sf, "pages"), contains="/")
+
+
+@register("filter_links",
+          f"SELECT page_id, url, pos, href FROM ({_links_sql(LISTING, '/products/')}) l WHERE {SKIP_SQL}")
+def q_filter_links(spark, sf):
+    lk = L.extract_links(FX.listing_pages(spark, sf))
+    return lk.filter(L.skip_filter("href")).select("page_id", "url", "pos", "href")
+
+
+@register("resolve_urls", f"SELECT page_id, pos, href, full_url FROM ({PRODUCT_LINKS}) p")
+def q_resolve_urls(spark, sf):
+    return L.product_links(FX.listing_pages(spark, sf)).select("page_id", "pos", "href", "full_url")
+
+
+@register("first_seen_links",
+          f"SELECT full_url, r.page_id AS page_id, r.pos AS pos, r.page_number AS page_number FROM ({FIRST_SEEN}) f")
+def q_first_seen_links(spark, sf):
+    fs = L.first_seen(L.product_links(FX.listing_pages(spark, sf)))
+    return fs.select("full_url", "page_id", "pos", "page_number")
+
+
+@register("page_offsets",
+          f"SELECT page_id, url, {OFFSET_SQL} AS \"offset\", {OFFSET_SQL} + 1 AS page_number, "
+          f"{OFFSET_SQL} * 50 + 1 AS first_rank, ({OFFSET_SQL} + 1) * 50 AS last_rank "
+          f"FROM (SELECT page_id, url FROM pages UNION ALL SELECT page_id, url FROM ({LISTING}) l) u")
+def q_page_offsets(spark, sf):
+    from ..session import table
+    src = table(spark, sf, "pages").select("page_id", "url").unionByName(
+        FX.listing_pages(spark, sf).select("page_id", "url"))
+    return L.with_page_numbers(src)
+
+
+@register("missing_pages",
+          f"SELECT range AS \"offset\" FROM range(0, 3094) WHERE range NOT IN (SELECT {OFFSET_SQL} FROM ({LISTING}) l)")
+def q_missing_pages(spark, sf):
+    lp = FX.listing_pages(spark, sf).select(L.page_offset("url").alias("offset"))
+    return L.missing_pages(spark, lp)
+
+
+@register("page_batches",
+          f"SELECT CAST(floor(range / 100) + 1 AS INTEGER) AS batch_number, min(range) AS start_offset, "
+          f"max(range) AS end_offset, count(*) AS pages, count(o.off) AS pages_present "
+          f"FROM range(0, 3094) LEFT JOIN (SELECT DISTINCT {OFFSET_SQL} AS off FROM ({LISTING}) l) o "
+          f"ON o.off = range GROUP BY 1")
+def q_page_batches(spark, sf):
+    lp = FX.listing_pages(spark, sf).select(L.page_offset("url").alias("offset"))
+    return L.batch_plan(spark, lp)
+
+
+@register("resume_point",
+          f"SELECT coalesce(max({OFFSET_SQL}) + 1, 0) AS resume_offset FROM ({LISTING}) l")
+def q_resume_point(spark, sf):
+    lp = FX.listing_pages(spark, sf).select(L.page_offset("url").alias("last_offset"))
+    return L.resume_point(lp)
