@@ -348,22 +348,23 @@ def weighted_ratio(a, b) -> Column:
 # --------------------------------------------------------------------------
 
 def _lev_within(a, b, bound) -> Column:
-    """levenshtein(a, b) <= bound. Levenshtein never exceeds the indel
-    distance, so ``indel <= bound`` implies this condition."""
-    return (bound >= 0) & (F.levenshtein(a, b) <= bound)
+    """levenshtein(a, b) <= bound (thresholded, so the DP stops early).
+    Levenshtein never exceeds the indel distance, so ``indel <= bound``
+    implies this condition."""
+    return (bound >= 0) & (F.call_function("levenshtein", a, b, bound.cast("int")) >= 0)
 
 
 def ratio_may_reach(pa, pb, t) -> Column:
-    """Necessary for ratio(a, b) >= t: indel = S - 2L <= (1 - t/100) S."""
+    """Necessary for ratio(a, b) >= t: indel = S - 2L <= (1 - t/100) S.
+    The length band (ratio <= 200 * min / S) is tested first."""
     t = t if isinstance(t, Column) else F.lit(float(t))
     total = pa["n"] + pb["n"]
     bound = F.floor(total * (1.0 - t / 100.0) + 1e-9)
-    # length band: ratio <= 200 * min / S
     band = 200.0 * F.least(pa["n"], pb["n"]) >= t * total - 1e-9
     return band & _lev_within(pa["s"], pb["s"], bound)
 
 
-def weighted_may_reach(fa, fb, t) -> Column:
+def weighted_may_reach(fa, fb, t, inter: Column | None = None) -> Column:
     """A condition implied by ``weighted(a, b) >= t`` (t may be a column).
 
     * q < 1.5: ratio >= t, or token_sort / token_set >= t / 0.95 (the
@@ -379,7 +380,7 @@ def weighted_may_reach(fa, fb, t) -> Column:
     tt = t / 0.95
     short_ok = (ratio_may_reach(fa["raw"], fb["raw"], t)
                 | ratio_may_reach(fa["srt"], fb["srt"], tt)
-                | token_set_may_reach(fa, fb, tt))
+                | token_set_may_reach(fa, fb, tt, inter))
     longer = F.when(la >= lb, fa["raw"]["s"]).otherwise(fb["raw"]["s"])
     shorter = F.when(la >= lb, fb["raw"]["s"]).otherwise(fa["raw"]["s"])
     mid_ok = F.when(t >= 90, F.contains(longer, shorter)).otherwise(F.lit(True))
@@ -388,23 +389,33 @@ def weighted_may_reach(fa, fb, t) -> Column:
             .when(q <= 8, mid_ok)
             .otherwise(t <= 60))
 
-def token_set_may_reach(fa, fb, t) -> Column:
-    """Necessary for token_set(a, b) >= t, from built-ins only: the subset
-    case (100); the two closed-form intersection ratios exactly; and for
-    the difference ratio a levenshtein bound on the difference strings."""
+def token_set_may_reach(fa, fb, t, inter: Column | None = None) -> Column:
+    """Necessary for token_set(a, b) >= t, from built-ins only.
+
+    No common token: token_set is the ratio of the distinct-token strings.
+    Common tokens: the subset case (100), the two closed-form intersection
+    ratios exactly, and for the difference ratio a length band plus a
+    levenshtein bound on the difference strings. Lengths of joined token
+    strings come from per-row data (sum of token lengths + separators)."""
     t = t if isinstance(t, Column) else F.lit(float(t))
     ta, tb = fa["toks"], fb["toks"]
-    inter = F.array_intersect(ta, tb)
-    diff_a = F.sort_array(F.array_except(ta, tb))
-    diff_b = F.sort_array(F.array_except(tb, ta))
-    sa, sb = F.array_join(diff_a, " "), F.array_join(diff_b, " ")
-    la, lb = F.length(sa), F.length(sb)
-    s = F.length(F.array_join(F.sort_array(inter), " "))
-    e = F.when(s > 0, F.lit(1)).otherwise(F.lit(0))
-    total = (s + e + la) + (s + e + lb)
+    na, nb = F.size(ta), F.size(tb)
+    inter = F.array_intersect(ta, tb) if inter is None else inter
+    ni = F.size(inter)
+    sum_i = F.length(F.array_join(inter, ""))
+    sum_a = fa["dst"]["n"] - (na - 1)
+    sum_b = fb["dst"]["n"] - (nb - 1)
+    s = sum_i + ni - 1
+    la = F.when(na > ni, (sum_a - sum_i) + (na - ni - 1)).otherwise(F.lit(0))
+    lb = F.when(nb > ni, (sum_b - sum_i) + (nb - ni - 1)).otherwise(F.lit(0))
+    subset = (na == ni) | (nb == ni)
+    r2_ok = _norm(1 + la, s + (s + 1 + la)) >= t - 1e-9
+    r3_ok = _norm(1 + lb, s + (s + 1 + lb)) >= t - 1e-9
+    total = (s + 1 + la) + (s + 1 + lb)
     bound = F.floor(total * (1.0 - t / 100.0) + 1e-9)
+    sa = F.array_join(F.sort_array(F.array_except(ta, tb)), " ")
+    sb = F.array_join(F.sort_array(F.array_except(tb, ta)), " ")
     r1_ok = (F.abs(la - lb) <= bound) & _lev_within(sa, sb, bound)
-    r2_ok = (s > 0) & (_norm(e + la, s + (s + e + la)) >= t - 1e-9)
-    r3_ok = (s > 0) & (_norm(e + lb, s + (s + e + lb)) >= t - 1e-9)
-    subset = (F.size(inter) > 0) & ((F.size(diff_a) == 0) | (F.size(diff_b) == 0))
-    return ((F.size(ta) > 0) & (F.size(tb) > 0)) & (subset | r1_ok | r2_ok | r3_ok)
+    shared = subset | r2_ok | r3_ok | r1_ok
+    return ((na > 0) & (nb > 0)) & F.when(F.arrays_overlap(ta, tb), shared) \
+        .otherwise(ratio_may_reach(fa["dst"], fb["dst"], t))

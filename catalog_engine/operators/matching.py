@@ -87,25 +87,50 @@ def best_match(queries: DataFrame, catalogue: DataFrame, *, threshold: float = D
     and ``score`` (NULL when unmatched). Because only the best row *above*
     the threshold matters, pairs that provably cannot reach it are not
     scored (the result is identical to scoring every pair).
+
+    Each distinct query text is scored once (a partial + final aggregate
+    collapses repeated names, hot names included, before any pair work);
+    results go back to the query rows with an equi-join on the text, where
+    AQE may broadcast the result or split skewed keys.
     """
+    best = best_match_texts(queries.select(F.col(query_col).alias("_text")), catalogue,
+                            threshold=threshold, scorer=scorer, processor=processor,
+                            adaptive=adaptive, broadcast_rows=broadcast_rows)
+    res = queries.join(best, queries[query_col].eqNullSafe(best["_text"]), "left")
+    return res.select(
+        *queries.columns,
+        F.coalesce(F.col("matched"), F.lit(False)).alias("matched"),
+        "matched_name", "category", "score")
+
+
+def best_match_texts(texts: DataFrame, catalogue: DataFrame, *, threshold: float = DEFAULT_THRESHOLD,
+                     scorer: str = "weighted", processor: str | None = "none", adaptive: bool = True,
+                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Best match per distinct ``_text`` (see ``best_match``)."""
     cat = match_side(catalogue, processor).cache()
-    q = _spread(queries, key)
-    req = required_threshold(F.col(query_col), threshold) if adaptive else F.lit(float(threshold))
-    q = S.with_match_features(q.withColumn("_req", req), apply_processor(F.col(query_col), processor), "qf")
+    # explicit repartition: AQE would coalesce the small post-distinct
+    # shuffle into a single partition and run all pair work in one task
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = texts.filter(F.col("_text").isNotNull()).distinct().repartition(parts)
+    req = required_threshold(F.col("_text"), threshold) if adaptive else F.lit(float(threshold))
+    q = S.with_match_features(distinct.withColumn("_req", req), apply_processor(F.col("_text"), processor), "qf")
     pairs = _pairs(q, cat.select("idx", "full_name", "category", *S.feature_columns("cf")), broadcast_rows)
     qf, cf = S.Feat("qf"), S.Feat("cf")
+    # the pair's common tokens, computed once and read by several bounds
+    pairs = pairs.select("*", F.when(F.arrays_overlap(qf["toks"], cf["toks"]),
+                                     F.array_intersect(qf["toks"], cf["toks"])).alias("_inter"))
     if scorer == "weighted":
-        gate = S.weighted_may_reach(qf, cf, F.col("_req"))
+        gate = S.weighted_may_reach(qf, cf, F.col("_req"), F.col("_inter"))
     else:
         gate = F.lit(True)
     sc = F.when(gate, S.score(scorer, qf, cf))
-    scored = pairs.select(key, query_col, "_req", "idx", "full_name", "category", sc.alias("_score"))
+    scored = pairs.select("_text", "_req", "idx", "full_name", "category", sc.alias("_score"))
     hit = F.col("_score") >= F.col("_req")
-    best = (scored.groupBy(key, query_col)
+    best = (scored.groupBy("_text")
             .agg(F.max_by(F.struct("full_name", "category", "_score"),
                           F.when(hit, F.struct(F.col("_score"), -F.col("idx")))).alias("_b")))
     return best.select(
-        key, query_col,
+        "_text",
         F.col("_b").isNotNull().alias("matched"),
         F.col("_b.full_name").alias("matched_name"),
         F.col("_b.category").alias("category"),
