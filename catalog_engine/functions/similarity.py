@@ -39,6 +39,12 @@ def _long(v: int) -> Column:
     return F.lit(v).cast("long")
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable
+    (expressions inside a fold are otherwise re-evaluated at every step)."""
+    return F.transform(F.array(value), fn).getItem(0)
+
+
 def _shl(x, bits) -> Column:
     # the Python wrapper only takes an int shift; the SQL function takes a column
     return F.call_function("shiftleft", x, bits if isinstance(bits, Column) else F.lit(bits))
@@ -170,26 +176,29 @@ def _lcs_multi_word(masks, n, other) -> Column:
     def bits(k):
         return F.least(F.lit(WORD), n - k * WORD)
 
-    fulls = F.transform(ks, lambda k: _shl(_long(1), bits(k)) - 1)
-    zeros = F.transform(ks, lambda k: _long(0))
     empty = F.array().cast("array<bigint>")
 
-    def step(v, c):
-        m = F.coalesce(F.try_element_at(masks, c), zeros)
+    def run(fulls):
+        zeros = F.transform(fulls, lambda x: _long(0))
+
+        def step(v, c):
+            m = F.coalesce(F.try_element_at(masks, c), zeros)
+
+            def word(st, k):
+                x = v.getItem(k)
+                mk = m.getItem(k)
+                total = x + x.bitwiseAND(mk) + st["carry"]
+                new = total.bitwiseAND(fulls.getItem(k)).bitwiseOR(x.bitwiseAND(F.bitwise_not(mk)))
+                return F.struct(F.array_append(st["v"], new).alias("v"),
+                                _shr(total, bits(k)).alias("carry"))
 
-        def word(st, k):
-            x = v.getItem(k)
-            mk = m.getItem(k)
-            total = x + x.bitwiseAND(mk) + st["carry"]
-            new = total.bitwiseAND(fulls.getItem(k)).bitwiseOR(x.bitwiseAND(F.bitwise_not(mk)))
-            return F.struct(F.array_append(st["v"], new).alias("v"),
-                            _shr(total, bits(k)).alias("carry"))
+            return F.aggregate(ks, F.struct(empty.alias("v"), _long(0).alias("carry")), word,
+                               lambda st: st["v"])
 
-        return F.aggregate(ks, F.struct(empty.alias("v"), _long(0).alias("carry")), word,
-                           lambda st: st["v"])
+        v = F.aggregate(other, fulls, step)
+        return n - F.aggregate(v, _long(0), lambda acc, x: acc + F.bit_count(x))
 
-    v = F.aggregate(other, fulls, step)
-    return n - F.aggregate(v, _long(0), lambda acc, x: acc + F.bit_count(x))
+    return let(F.transform(ks, lambda k: _shl(_long(1), bits(k)) - 1), run)
 
 
 def lcs_length(chars_a, masks_a, chars_b) -> Column:
@@ -259,8 +268,10 @@ def token_set_f(fa, fb) -> Column:
     la, lb = F.length(sa), F.length(sb)
     s = F.length(F.array_join(inter, " "))
     e = F.when(s > 0, F.lit(1)).otherwise(F.lit(0))
-    ca, cb = char_array(sa), char_array(sb)
-    lcs = F.when(la <= lb, lcs_length(ca, bit_masks(ca), cb)).otherwise(lcs_length(cb, bit_masks(cb), ca))
+    def lcs_of(short, long_):
+        # masks of the per-pair string built once, then folded over
+        return let(char_array(short), lambda cs: let(bit_masks(cs), lambda ms: lcs_length(cs, ms, char_array(long_))))
+    lcs = F.when(la <= lb, lcs_of(sa, sb)).otherwise(lcs_of(sb, sa))
     dist = la + lb - 2 * lcs
     r1 = _norm(dist, (s + e + la) + (s + e + lb))
     mixed = F.greatest(r1, _norm(e + la, s + (s + e + la)), _norm(e + lb, s + (s + e + lb)))

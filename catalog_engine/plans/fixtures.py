@@ -27,11 +27,10 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("name"), F.col("p_type").alias("category"))
 
 
-def query_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One query per part row; the variant depends on ``p_partkey % 6``:
-    exact, tokens swapped, upper case, last character dropped, name only
-    (short), decorated (``&``, hyphens, ``®``)."""
-    p = table(spark, sf_dir, "part")
+def name_variant() -> "F.Column":
+    """The name variant of a part row (by ``p_partkey % 6``): exact, tokens
+    swapped, upper case, last character dropped, name only (short),
+    decorated (``&``, hyphens, ``®``)."""
     full = F.concat(F.col("p_brand"), F.lit(" "), F.col("p_name"))
     v = F.col("p_partkey") % 6
     q = (F.when(v == 0, full)
@@ -41,7 +40,13 @@ def query_names(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(v == 4, F.col("p_name"))
          .otherwise(F.concat(F.col("p_brand"), F.lit(" & "),
                              F.replace(F.col("p_name"), F.lit(" "), F.lit("-")), F.lit("®"))))
-    return p.select(F.col("p_partkey").alias("query_id"), q.alias("query"))
+    return q
+
+
+def query_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query per part row (see ``name_variant``)."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("query_id"), name_variant().alias("query"))
 
 
 def score_pairs_input(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,3 +108,40 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('">Next</a></body></html>'))
     url = F.concat(F.lit(SHOP + "/products/all?offset="), F.col("offset").cast("string"))
     return pages.select(F.col("offset").alias("page_id"), url.alias("url"), html.alias("html"))
+
+
+def product_url(k) -> "F.Column":
+    return F.concat(F.lit(SHOP + "/products/"), k.cast("string"))
+
+
+def state_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writes per part key: version 1 from an earlier crawl (rows with
+    ``key % 7 == 0`` were error rows without a name; a third matched) and
+    version 2 from a later crawl in which keys ``% 5 == 0`` got matched."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    full = F.concat(F.col("p_brand"), F.lit(" "), F.col("p_name"))
+    name = F.when(k % 7 != 0, name_variant())
+    m1 = (k % 3 == 0) & (k % 7 != 0)
+    m2 = m1 | ((k % 5 == 0) & (k % 7 != 0))
+    page = (F.floor(k / PAGE_SIZE) + 1).cast("int")
+
+    def version(m, v):
+        return p.select(product_url(k).alias("url"), name.alias("full_name"), m.alias("matched"),
+                        F.when(m, full).alias("matched_name"), F.when(m, F.col("p_type")).alias("category"),
+                        page.alias("page_number"), F.lit(v).alias("version"))
+    return version(m1, 1).unionByName(version(m2, 2))
+
+
+def state_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state_versions(spark, sf_dir).filter(F.col("version") == 1)
+
+
+def lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem is a URL request; ``l_partkey % 11 == 0`` asks for an
+    unknown URL (a miss)."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_partkey")
+    url = F.when(k % 11 == 0, F.concat(F.lit(SHOP + "/products/unknown-"), k.cast("string"))) \
+        .otherwise(product_url(k))
+    return li.select("l_orderkey", "l_linenumber", url.alias("url"))

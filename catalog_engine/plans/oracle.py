@@ -164,12 +164,36 @@ def _ratio_may_reach(a: str, b: str, t: str) -> str:
     return f"({band} AND {bound} >= 0 AND {lev})"
 
 
-def weighted_may_reach(a: str, b: str, t: str) -> str:
+def token_set_may_reach(a: str, b: str, t: str, inter: str) -> str:
+    """SQL twin of the Spark bound (``inter`` = list_intersect column)."""
+    na, nb, ni = f"len({a}_toks)", f"len({b}_toks)", f"len({inter})"
+    sum_i = f"length(array_to_string({inter}, ''))"
+    sum_a = f"(length({a}_dst) - ({na} - 1))"
+    sum_b = f"(length({b}_dst) - ({nb} - 1))"
+    s = f"({sum_i} + {ni} - 1)"
+    la = f"(CASE WHEN {na} > {ni} THEN ({sum_a} - {sum_i}) + ({na} - {ni} - 1) ELSE 0 END)"
+    lb = f"(CASE WHEN {nb} > {ni} THEN ({sum_b} - {sum_i}) + ({nb} - {ni} - 1) ELSE 0 END)"
+    subset = f"({na} = {ni} OR {nb} = {ni})"
+    r2 = f"({_norm(f'1 + {la}', f'{s} + ({s} + 1 + {la})')} >= ({t}) - 1e-9)"
+    r3 = f"({_norm(f'1 + {lb}', f'{s} + ({s} + 1 + {lb})')} >= ({t}) - 1e-9)"
+    total = f"(({s} + 1 + {la}) + ({s} + 1 + {lb}))"
+    bound = f"floor({total} * (1.0::DOUBLE - ({t}) / 100.0::DOUBLE) + 1e-9)"
+    x, y = _v("x"), _v("y")
+    sa = f"array_to_string(list_sort(list_filter({a}_toks, lambda {x}: NOT list_contains({b}_toks, {x}))), ' ')"
+    sb = f"array_to_string(list_sort(list_filter({b}_toks, lambda {y}: NOT list_contains({a}_toks, {y}))), ' ')"
+    lev = f"(NOT ({_ascii(sa)} AND {_ascii(sb)}) OR levenshtein({sa}, {sb}) <= {bound})"
+    r1 = f"(abs({la} - {lb}) <= {bound} AND {bound} >= 0 AND {lev})"
+    shared = f"({subset} OR {r2} OR {r3} OR {r1})"
+    return (f"({na} > 0 AND {nb} > 0 AND (CASE WHEN {ni} > 0 THEN {shared} "
+            f"ELSE {_ratio_may_reach(f'{a}_dst', f'{b}_dst', t)} END))")
+
+
+def weighted_may_reach(a: str, b: str, t: str, inter: str = "p_i") -> str:
     la, lb = f"length({a}_s)", f"length({b}_s)"
     q = f"(greatest({la}, {lb})::DOUBLE / least({la}, {lb}))"
     tt = f"(({t}) / 0.95::DOUBLE)"
     short = (f"({_ratio_may_reach(f'{a}_s', f'{b}_s', t)} OR {_ratio_may_reach(f'{a}_srt', f'{b}_srt', tt)} "
-             f"OR len(list_intersect({a}_toks, {b}_toks)) > 0 OR {_ratio_may_reach(f'{a}_dst', f'{b}_dst', tt)})")
+             f"OR {token_set_may_reach(a, b, tt, inter)})")
     longer = f"(CASE WHEN {la} >= {lb} THEN {a}_s ELSE {b}_s END)"
     shorter = f"(CASE WHEN {la} >= {lb} THEN {b}_s ELSE {a}_s END)"
     mid = f"(CASE WHEN ({t}) >= 90 THEN contains({longer}, {shorter}) ELSE true END)"

@@ -121,21 +121,23 @@ for _name in ["ratio", "token_sort", "token_set", "partial", "partial_token", "w
 # best match M7/M8/N4
 # --------------------------------------------------------------------------
 
-def _best_match_sql(threshold: float) -> str:
+def _best_match_sql(threshold: float, qsrc: str = QNAMES) -> str:
+    """Best match for ``qsrc`` rows ``(query_id, query)``; each distinct text
+    is scored (same result as scoring every row)."""
     req = (f"(CASE WHEN length(q_s) < 15 THEN greatest(90.0::DOUBLE, {float(threshold)}::DOUBLE) "
            f"ELSE {float(threshold)}::DOUBLE END)")
     return (
-        f"WITH qn AS ({QNAMES}), uc AS ({UNIQUE_CAT}), "
-        f"qf AS (SELECT query_id, query, {', '.join(O.features_cols('query', 'q'))} FROM qn), "
+        f"WITH qn AS ({qsrc}), uc AS ({UNIQUE_CAT}), "
+        f"qf AS (SELECT DISTINCT query, {', '.join(O.features_cols('query', 'q'))} FROM qn WHERE query IS NOT NULL), "
         f"cf AS (SELECT idx, full_name, category, {', '.join(O.features_cols('full_name', 'c'))} FROM uc), "
-        f"pr AS (SELECT qf.*, cf.*, {req} AS req FROM qf CROSS JOIN cf), "
-        f"cand AS (SELECT * FROM pr WHERE {O.weighted_may_reach('q', 'c', 'req')}), "
+        f"pr AS (SELECT qf.*, cf.*, {req} AS req, list_intersect(q_toks, c_toks) AS p_i FROM qf CROSS JOIN cf), "
+        f"cand AS (SELECT * FROM pr WHERE {O.weighted_may_reach('q', 'c', 'req', 'p_i')}), "
         f"g AS (SELECT *, {', '.join(O.pair_cols('q', 'c'))} FROM cand), "
-        f"sc AS (SELECT query_id, idx, full_name, category, req, {O.weighted('q', 'c')} AS score FROM g), "
-        f"best AS (SELECT query_id, arg_max(struct_pack(full_name := full_name, category := category, score := score), "
-        f"struct_pack(s := score, i := -idx)) AS b FROM sc WHERE score >= req GROUP BY query_id) "
+        f"sc AS (SELECT query, idx, full_name, category, req, {O.weighted('q', 'c')} AS score FROM g), "
+        f"best AS (SELECT query, arg_max(struct_pack(full_name := full_name, category := category, score := score), "
+        f"struct_pack(s := score, i := -idx)) AS b FROM sc WHERE score >= req GROUP BY query) "
         f"SELECT qn.query_id, qn.query, b IS NOT NULL AS matched, b.full_name AS matched_name, "
-        f"b.category AS category, round(b.score, 4) AS score FROM qn LEFT JOIN best USING (query_id)")
+        f"b.category AS category, round(b.score, 4) AS score FROM qn LEFT JOIN best USING (query)")
 
 
 @register("best_match", _best_match_sql(90))
@@ -317,3 +319,197 @@ def q_page_batches(spark, sf):
 def q_resume_point(spark, sf):
     lp = FX.listing_pages(spark, sf).select(L.page_offset("url").alias("last_offset"))
     return L.resume_point(lp)
+
+
+# --------------------------------------------------------------------------
+# keyed state C1-C12, routing, reports A1-A8, output batches K1, M17
+# --------------------------------------------------------------------------
+
+from ..operators import reports as R  # noqa: E402
+from ..operators import state as ST  # noqa: E402
+from ..sinks import writers as W  # noqa: E402
+
+VARIANT = QNAMES[len("SELECT p_partkey AS query_id, "):QNAMES.index(" AS query FROM part")]
+M1_SQL = "(p_partkey % 3 = 0 AND p_partkey % 7 <> 0)"
+M2_SQL = f"({M1_SQL} OR (p_partkey % 5 = 0 AND p_partkey % 7 <> 0))"
+
+
+def _state_version_sql(m: str, v: int) -> str:
+    return (f"SELECT '{SHOP}/products/' || p_partkey AS url, CASE WHEN p_partkey % 7 <> 0 THEN {VARIANT} END AS full_name, "
+            f"{m} AS matched, CASE WHEN {m} THEN {FULL} END AS matched_name, CASE WHEN {m} THEN p_type END AS category, "
+            f"CAST(floor(p_partkey / 50) + 1 AS INTEGER) AS page_number, {v} AS version FROM part")
+
+
+STATE_VERSIONS = f"{_state_version_sql(M1_SQL, 1)} UNION ALL {_state_version_sql(M2_SQL, 2)}"
+STATE = (f"SELECT url, r.full_name AS full_name, r.matched AS matched, r.matched_name AS matched_name, "
+         f"r.category AS category, r.page_number AS page_number, r.version AS version FROM ("
+         f"SELECT url, arg_max(struct_pack(full_name := full_name, matched := matched, matched_name := matched_name, "
+         f"category := category, page_number := page_number, version := version), version) AS r "
+         f"FROM ({STATE_VERSIONS}) v WHERE url IS NOT NULL GROUP BY url) s")
+LOOKUPS = (f"SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 11 = 0 THEN '{SHOP}/products/unknown-' || l_partkey "
+           f"ELSE '{SHOP}/products/' || l_partkey END AS url FROM lineitem")
+LOOKED_UP = (f"SELECT lk.*, st.url IS NOT NULL AS _hit, coalesce(st.matched, false) AS _matched "
+             f"FROM ({LOOKUPS}) lk LEFT JOIN ({STATE}) st USING (url)")
+LOOKUP_COUNTERS = (
+    f"SELECT hits, matched_hits, hits - matched_hits AS unmatched_hits, misses, "
+    f"coalesce(hits / nullif(hits + misses, 0), 0.0) AS hit_ratio, "
+    f"coalesce(matched_hits / nullif(hits + misses, 0), 0.0) AS effective_hit_ratio FROM ("
+    f"SELECT count(*) FILTER (WHERE _hit) AS hits, count(*) FILTER (WHERE _hit AND _matched) AS matched_hits, "
+    f"count(*) FILTER (WHERE NOT _hit) AS misses FROM ({LOOKED_UP}) x) c")
+SIZE_COUNTERS = (f"SELECT count(*) AS size, count(*) FILTER (WHERE coalesce(matched, false)) AS matched_count, "
+                 f"count(*) - count(*) FILTER (WHERE coalesce(matched, false)) AS unmatched_count FROM ({STATE}) s")
+
+
+def _state(spark, sf):
+    v = FX.state_versions(spark, sf)
+    return ST.upsert(v.filter(F.col("version") == 1), v.filter(F.col("version") == 2))
+
+
+@register("state_upsert", STATE)
+def q_state_upsert(spark, sf):
+    return _state(spark, sf)
+
+
+@register("state_semi", f"SELECT * FROM ({LOOKUPS}) lk WHERE url IN (SELECT url FROM ({STATE}) s)")
+def q_state_semi(spark, sf):
+    return ST.known(FX.lookups(spark, sf), _state(spark, sf))
+
+
+@register("state_anti", f"SELECT * FROM ({LOOKUPS}) lk WHERE url NOT IN (SELECT url FROM ({STATE}) s)")
+def q_state_anti(spark, sf):
+    return ST.unknown(FX.lookups(spark, sf), _state(spark, sf))
+
+
+@register("state_lookup_stats", LOOKUP_COUNTERS)
+def q_state_lookup_stats(spark, sf):
+    return ST.lookup_counters(ST.lookup(FX.lookups(spark, sf), _state(spark, sf)))
+
+
+@register("state_stats", f"SELECT * FROM ({SIZE_COUNTERS}) a CROSS JOIN ({LOOKUP_COUNTERS}) b")
+def q_state_stats(spark, sf):
+    return ST.stats(_state(spark, sf), FX.lookups(spark, sf))
+
+
+@register("state_clear",
+          f"SELECT 0::BIGINT AS size, 0::BIGINT AS matched_count, 0::BIGINT AS unmatched_count, "
+          f"0::BIGINT AS hits, 0::BIGINT AS matched_hits, 0::BIGINT AS unmatched_hits, count(*) AS misses, "
+          f"0.0::DOUBLE AS hit_ratio, 0.0::DOUBLE AS effective_hit_ratio FROM ({LOOKUPS}) lk")
+def q_state_clear(spark, sf):
+    return ST.stats(ST.clear(_state(spark, sf)), FX.lookups(spark, sf))
+
+
+LINKS_FS = (f"SELECT full_url, r.page_id AS page_id, r.pos AS pos, r.\"offset\" AS \"offset\", "
+            f"r.page_number AS page_number FROM ({FIRST_SEEN}) f")
+NEED = (f"SELECT DISTINCT st.full_name AS query_id, st.full_name AS query FROM ({LINKS_FS}) l "
+        f"JOIN ({STATE}) st ON st.url = l.full_url WHERE NOT coalesce(st.matched, false) AND st.full_name IS NOT NULL")
+ROUTED = (
+    f"SELECT l.full_url, l.page_id, l.pos, l.\"offset\", l.page_number, st.url IS NOT NULL AS cached, "
+    f"CASE WHEN st.url IS NULL OR st.full_name IS NULL THEN 'fetch' WHEN coalesce(st.matched, false) THEN 'emit_cached' "
+    f"WHEN coalesce(bm.matched, false) THEN 'emit_rematched' ELSE 'skip' END AS route, "
+    f"CASE WHEN st.url IS NULL OR st.full_name IS NULL THEN NULL WHEN coalesce(st.matched, false) THEN true "
+    f"WHEN coalesce(bm.matched, false) THEN true ELSE false END AS matched, "
+    f"CASE WHEN st.url IS NULL OR st.full_name IS NULL THEN NULL WHEN coalesce(st.matched, false) THEN st.matched_name "
+    f"WHEN coalesce(bm.matched, false) THEN bm.matched_name END AS matched_name, "
+    f"CASE WHEN st.url IS NULL OR st.full_name IS NULL THEN NULL WHEN coalesce(st.matched, false) THEN st.category "
+    f"WHEN coalesce(bm.matched, false) THEN bm.category END AS category "
+    f"FROM ({LINKS_FS}) l LEFT JOIN ({STATE}) st ON st.url = l.full_url "
+    f"LEFT JOIN ({_best_match_sql(90, NEED)}) bm ON bm.query = st.full_name")
+
+
+def _links(spark, sf):
+    fs = L.first_seen(L.product_links(FX.listing_pages(spark, sf)))
+    return fs.select("full_url", "page_id", "pos", "offset", "page_number")
+
+
+def _routed(spark, sf):
+    return ST.route_links(_links(spark, sf), _state(spark, sf), FX.catalogue(spark, sf))
+
+
+@register("route_links", ROUTED)
+def q_route_links(spark, sf):
+    return _routed(spark, sf)
+
+
+@register("time_saved",
+          f"SELECT count(*) FILTER (WHERE route = 'emit_cached') AS matched_cached, "
+          f"count(*) FILTER (WHERE route = 'emit_cached') * 2.5 AS time_saved_sec FROM ({ROUTED}) r")
+def q_time_saved(spark, sf):
+    return ST.time_saved(_routed(spark, sf))
+
+
+REMATCH_Q = (f"SELECT DISTINCT full_name AS query_id, full_name AS query FROM ({STATE}) s "
+             f"WHERE NOT coalesce(matched, false) AND full_name IS NOT NULL")
+
+
+@register("rematch_unmatched",
+          f"SELECT st.url, st.full_name, coalesce(bm.matched, false) AS matched, bm.matched_name, bm.category, bm.score "
+          f"FROM ({STATE}) st LEFT JOIN ({_best_match_sql(90, REMATCH_Q)}) bm ON bm.query = st.full_name "
+          f"WHERE NOT coalesce(st.matched, false) AND st.full_name IS NOT NULL")
+def q_rematch_unmatched(spark, sf):
+    return M.rematch_unmatched(_state(spark, sf), FX.catalogue(spark, sf))
+
+
+@register("page_stats",
+          f"SELECT page_number, count(*) AS page_products, count(*) FILTER (WHERE cached) AS cached_products, "
+          f"count(*) FILTER (WHERE route = 'emit_cached') AS matched_cached_products FROM ({ROUTED}) r GROUP BY page_number")
+def q_page_stats(spark, sf):
+    return R.page_stats(_routed(spark, sf))
+
+
+@register("run_totals",
+          f"SELECT count(DISTINCT page_number) AS total_pages, count(*) AS total_products, "
+          f"count(*) FILTER (WHERE coalesce(matched, false)) AS matched_products, "
+          f"coalesce(100.0 * (count(*) FILTER (WHERE coalesce(matched, false)) / nullif(count(*), 0)), 0.0) AS match_ratio "
+          f"FROM ({ROUTED}) r")
+def q_run_totals(spark, sf):
+    return R.run_totals(_routed(spark, sf))
+
+
+BATCH_SUMMARY = (
+    f"SELECT CAST(floor(\"offset\" / 100) + 1 AS INTEGER) AS batch_number, "
+    f"CAST((floor(\"offset\" / 100)) * 100 AS BIGINT) AS start_offset, 100::BIGINT AS pages_per_batch, "
+    f"count(DISTINCT \"offset\") AS total_pages, count(*) AS total_products, "
+    f"count(*) FILTER (WHERE coalesce(matched, false)) AS matched_products, max(\"offset\") AS end_offset "
+    f"FROM ({ROUTED}) r GROUP BY 1, 2")
+
+
+@register("batch_summary", BATCH_SUMMARY)
+def q_batch_summary(spark, sf):
+    return R.batch_summary(_routed(spark, sf))
+
+
+GLOBAL = (f"SELECT sum(coalesce(total_pages, 0))::BIGINT AS total_pages, sum(coalesce(total_products, 0))::BIGINT AS total_products, "
+          f"sum(coalesce(matched_products, 0))::BIGINT AS matched_products, count(*) AS total_batches FROM ({BATCH_SUMMARY}) b")
+
+
+@register("global_stats", GLOBAL)
+def q_global_stats(spark, sf):
+    return R.global_stats(R.batch_summary(_routed(spark, sf)))
+
+
+@register("final_summary",
+          f"SELECT g.*, l.batch_summaries, coalesce(100.0 * (g.matched_products / nullif(g.total_products, 0)), 0.0) AS match_percentage "
+          f"FROM ({GLOBAL}) g CROSS JOIN (SELECT to_json(list(struct_pack(batch_number := batch_number, start_offset := start_offset, "
+          f"pages_per_batch := pages_per_batch, total_pages := total_pages, total_products := total_products, "
+          f"matched_products := matched_products, end_offset := end_offset) ORDER BY batch_number))::VARCHAR AS batch_summaries "
+          f"FROM ({BATCH_SUMMARY}) b) l")
+def q_final_summary(spark, sf):
+    return R.final_summary(R.batch_summary(_routed(spark, sf)))
+
+
+@register("summary_rollup",
+          f"SELECT CAST(floor(\"offset\" / 100) + 1 AS INTEGER) AS batch_number, count(*) AS total_products, "
+          f"count(*) FILTER (WHERE coalesce(matched, false)) AS matched_products, count(DISTINCT \"offset\") AS total_pages, "
+          f"CAST(GROUPING(CAST(floor(\"offset\" / 100) + 1 AS INTEGER)) AS BIGINT) AS level "
+          f"FROM ({ROUTED}) r GROUP BY ROLLUP (CAST(floor(\"offset\" / 100) + 1 AS INTEGER))")
+def q_summary_rollup(spark, sf):
+    return R.summary_rollup(_routed(spark, sf))
+
+
+@register("output_batches",
+          f"SELECT full_url, page_number, route, CAST(ceil(row_number() OVER (ORDER BY \"offset\", pos) / 500.0) AS INTEGER) "
+          f"AS batch_number FROM ({ROUTED}) r WHERE route IN ('emit_cached', 'emit_rematched')")
+def q_output_batches(spark, sf):
+    emitted = _routed(spark, sf).filter(F.col("route").isin("emit_cached", "emit_rematched"))
+    return W.number_batches(emitted.select("full_url", "page_number", "route", "offset", "pos"),
+                            ["offset", "pos"]).select("full_url", "page_number", "route", "batch_number")
