@@ -145,3 +145,59 @@ def lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.when(k % 11 == 0, F.concat(F.lit(SHOP + "/products/unknown-"), k.cast("string"))) \
         .otherwise(product_url(k))
     return li.select("l_orderkey", "l_linenumber", url.alias("url"))
+
+
+def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product pages built from part rows by concatenation (the oracle can
+    select the source values). Variants by ``key % 9``: 1 no brand, 2 no
+    name, 3 no ingredient table, 4 duplicate ingredient row, 5 rating
+    titles without ':', 6 image without '@', 7 NBSP/newline around text,
+    8 blank link texts, 0 unclosed tags; ``key % 97 == 13`` has no body."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    v = k % 9
+    ks = k.cast("string")
+    ing1 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))
+    ing2 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
+    ing3 = F.lower(F.col("p_type"))
+
+    def row(x, link, role, irr, com, take):
+        return F.concat(F.lit('<tr><td><a href="/ingredients/'), link, F.lit('">'), x, F.lit("</a></td>"),
+                        F.lit('<td><a href="/roles/r">'), role, F.lit("</a></td>"),
+                        F.lit('<td><span title="'), irr, F.lit('"></span><span title="'), com, F.lit('"></span></td>'),
+                        F.lit('<td><span class="our-take">'), take, F.lit("</span></td></tr>"))
+
+    r1 = row(ing1, ing1, F.lit("solvent"), F.concat(F.lit("irritancy: "), (k % 3).cast("string")),
+             F.concat(F.lit("comedogenicity: "), (k % 5).cast("string")), F.lit("goodie"))
+    r2 = row(F.when(v == 8, F.lit(" ")).otherwise(ing2), ing2,
+             F.when(v == 8, F.lit(" ")).otherwise(F.lit("emollient")),
+             F.when(v == 5, F.lit("irritancy unknown")).otherwise(
+                 F.concat(F.lit("irritancy: "), (k % 4).cast("string"), F.lit(":x"))),
+             F.concat(F.lit("comedogenicity: "), (k % 2).cast("string")), F.lit("icky"))
+    r3 = row(ing3, ing3, F.lit("preservative"), F.lit("irritancy: 0"),
+             F.when(v == 5, F.lit("comedogenicity")).otherwise(F.lit("comedogenicity: 1")), F.lit(""))
+    rdup = row(ing1, F.concat(ing1, F.lit("-2")), F.lit("humectant"), F.lit("irritancy: 9"),
+               F.lit("comedogenicity: 9"), F.lit("superstar"))
+    table_html = F.when(v == 3, F.lit("")).otherwise(F.concat(
+        F.lit('<div id="ingredlist-table-section"><table class="product-skim"><thead><tr><th>Name</th></tr></thead><tbody>'),
+        r1, r2, F.when(v == 4, rdup).otherwise(F.lit("")), r3, F.lit("</tbody></table></div>")))
+    brand_text = F.when(v == 7, F.concat(F.lit(" "), F.col("p_brand"), F.lit("\n"))).otherwise(F.col("p_brand"))
+    brand = F.when(v == 1, F.lit("")).otherwise(F.concat(
+        F.lit('<span id="product-brand-title"><a href="/brands/'), F.col("p_brand"), F.lit('">'), brand_text,
+        F.lit("</a></span>")))
+    name_text = F.when(v == 7, F.concat(F.lit(" "), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_name"))
+    title = F.when(v == 2, F.lit("")).otherwise(F.concat(F.lit('<span id="product-title">'), name_text, F.lit("</span>")))
+    details = F.concat(F.lit('<span id="product-details">'), F.col("p_type"), F.lit(" size "),
+                       F.col("p_size").cast("string"), F.lit("</span>"))
+    image = F.concat(F.lit('<div class="image"><img alt="p" src="/img/'), ks,
+                     F.when(v == 6, F.lit(".jpeg")).otherwise(F.lit("@1x.jpeg")), F.lit('"></div>'))
+    hl = F.concat(F.lit('<div id="ingredlist-highlights-section"><span class="hashtag">#'), ing3,
+                  F.lit('</span><span class="hashtag"> </span><div class="ingredlist-by-function-block">'
+                        '<div><span class="bold"><a>solvent</a></span><span><a>'), ing1,
+                  F.lit('</a></span></div><div><span class="bold"><a> </a></span><span><a>'), ing3,
+                  F.lit("</a></span></div></div></div>"))
+    html = F.when(k % 97 == 13, F.lit(None).cast("string")).otherwise(F.concat(
+        F.lit("<html><head><title>"), F.col("p_name"), F.lit("</title></head><body>"), brand, title, details, image,
+        F.when(v == 0, F.lit("<p>note <b>bold")).otherwise(F.lit("")), table_html, hl, F.lit("</body></html>")))
+    return p.select(k.alias("page_id"), product_url(k).alias("url"),
+                    (F.floor(k / PAGE_SIZE) + 1).cast("int").alias("page_number"), html.alias("html"))

@@ -513,3 +513,250 @@ def q_output_batches(spark, sf):
     emitted = _routed(spark, sf).filter(F.col("route").isin("emit_cached", "emit_rematched"))
     return W.number_batches(emitted.select("full_url", "page_number", "route", "offset", "pos"),
                             ["offset", "pos"]).select("full_url", "page_number", "route", "batch_number")
+
+
+# --------------------------------------------------------------------------
+# product-page extraction E1-E19, end-to-end match M18, status A9
+# --------------------------------------------------------------------------
+
+from ..operators import extract as E  # noqa: E402
+
+
+def _resolve_sql(base: str, href: str) -> str:
+    return RESOLVE_SQL.replace("href", "§H").replace("url", base).replace("§H", href)
+
+
+def _sq(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def _first(s: str, pat: str) -> str:
+    return f"regexp_extract_all({s}, '{_sq(pat)}', 1)[1]"
+
+
+def _all(s: str, pat: str) -> str:
+    return f"regexp_extract_all({s}, '{_sq(pat)}', 1)"
+
+
+def _present(x: str) -> str:
+    return f"({x} IS NOT NULL AND {x} <> '')"
+
+
+def _strip_if(x: str) -> str:
+    return f"(CASE WHEN {_present(x)} THEN {O.ustrip(x)} END)"
+
+
+def _nonblank(arr: str) -> str:
+    a, b = O._v("nb"), O._v("nb")
+    return f"list_filter(list_transform({arr}, lambda {a}: {O.ustrip(a)}), lambda {b}: {b} <> '')"
+
+
+def _ratings(titles: str) -> str:
+    t, x = O._v("rt"), O._v("rx")
+    vals = (f"list_filter(list_transform({titles}, lambda {t}: CASE WHEN contains({t}, ':') THEN "
+            f"{O.ustrip(f'split_part({t}, chr(58), 2)')} END), lambda {x}: {x} IS NOT NULL)")
+    return f"(CASE WHEN len({vals}) > 0 THEN {vals} END)"
+
+
+def _ingredient_sql(r: str, url: str) -> str:
+    cells = _all(r, E.CELL_RE)
+    c = [f"{cells}[{i}]" for i in range(1, 5)]
+    name_raw, href = _first(c[0], E.LINK_TEXT_RE), _first(c[0], E.LINK_HREF_RE)
+    funcs = _all(c[1], E.LINK_TEXT_RE)
+    return (f"struct_pack(name := {_strip_if(name_raw)}, "
+            f"ingredient_link := CASE WHEN {_present(href)} THEN {_resolve_sql(url, href)} END, "
+            f"what_it_does := CASE WHEN len({funcs}) > 0 THEN {_nonblank(funcs)} END, "
+            f"irritancy_values := {_ratings(_all(c[2], E.IRRITANCY_RE))}, "
+            f"comedogenicity_values := {_ratings(_all(c[2], E.COMEDOGENICITY_RE))}, "
+            f"id_rating := {_strip_if(_first(c[3], E.OUR_TAKE_RE))})")
+
+
+def _ingredients_sql(html: str, url: str) -> str:
+    r, x, y, z, i = O._v("r"), O._v("x"), O._v("y"), O._v("z"), O._v("i")
+    table = _first(html, E.TABLE_RE)
+    body = f"coalesce({_first(table, E.TBODY_RE)}, '')"
+    items = f"list_transform({_all(body, E.ROW_RE)}, lambda {r}: {_ingredient_sql(r, url)})"
+    named = f"list_filter({items}, lambda {x}: {x}.name IS NOT NULL AND {x}.name <> '')"
+    names = f"list_transform({named}, lambda {y}: {y}.name)"
+    dedup = f"list_filter({named}, lambda {z}, {i}: list_position({names}, {z}.name) = {i})"
+    return f"(CASE WHEN {table} IS NULL THEN [] ELSE {dedup} END)"
+
+
+def _highlights_sql(section: str) -> str:
+    b, d, s_, x = O._v("b"), O._v("d"), O._v("s"), O._v("x")
+    divs = f"flatten(list_transform({_all(section, E.BLOCK_RE)}, lambda {b}: {_all(b, E.FUNC_DIV_RE)}))"
+    fn = _first(d, E.BOLD_LINK_RE)
+    names = f"flatten(list_transform({_all(d, E.PLAIN_SPAN_RE)}, lambda {s_}: {_all(s_, E.LINK_TEXT_RE)}))"
+    one = (f"CASE WHEN {_present(fn)} AND len({names}) > 0 THEN "
+           f"struct_pack(\"function\" := {O.ustrip(fn)}, ingredients := {_nonblank(names)}) END")
+    items = f"list_filter(list_transform({divs}, lambda {d}: {one}), lambda {x}: {x} IS NOT NULL)"
+    return f"(CASE WHEN len({items}) > 0 THEN {items} END)"
+
+
+def _product_pages_sql() -> str:
+    k = "p_partkey"
+    v = f"({k} % 9)"
+    ing1, ing2, ing3 = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)", "lower(p_type)"
+
+    def row(x, link, role, irr, com, take):
+        return (f"('<tr><td><a href=\"/ingredients/' || {link} || '\">' || {x} || '</a></td>' || "
+                f"'<td><a href=\"/roles/r\">' || {role} || '</a></td>' || "
+                f"'<td><span title=\"' || {irr} || '\"></span><span title=\"' || {com} || '\"></span></td>' || "
+                f"'<td><span class=\"our-take\">' || {take} || '</span></td></tr>')")
+    r1 = row(ing1, ing1, "'solvent'", f"'irritancy: ' || ({k} % 3)", f"'comedogenicity: ' || ({k} % 5)", "'goodie'")
+    r2 = row(f"CASE WHEN {v} = 8 THEN ' ' ELSE {ing2} END", ing2, f"CASE WHEN {v} = 8 THEN ' ' ELSE 'emollient' END",
+             f"CASE WHEN {v} = 5 THEN 'irritancy unknown' ELSE 'irritancy: ' || ({k} % 4) || ':x' END",
+             f"'comedogenicity: ' || ({k} % 2)", "'icky'")
+    r3 = row(ing3, ing3, "'preservative'", "'irritancy: 0'",
+             f"CASE WHEN {v} = 5 THEN 'comedogenicity' ELSE 'comedogenicity: 1' END", "''")
+    rdup = row(ing1, f"{ing1} || '-2'", "'humectant'", "'irritancy: 9'", "'comedogenicity: 9'", "'superstar'")
+    table_html = (f"CASE WHEN {v} = 3 THEN '' ELSE '<div id=\"ingredlist-table-section\"><table class=\"product-skim\">"
+                  f"<thead><tr><th>Name</th></tr></thead><tbody>' || {r1} || {r2} || CASE WHEN {v} = 4 THEN {rdup} ELSE '' END "
+                  f"|| {r3} || '</tbody></table></div>' END")
+    brand_text = f"CASE WHEN {v} = 7 THEN chr(160) || p_brand || chr(10) ELSE p_brand END"
+    brand = (f"CASE WHEN {v} = 1 THEN '' ELSE '<span id=\"product-brand-title\"><a href=\"/brands/' || p_brand || "
+             f"'\">' || {brand_text} || '</a></span>' END")
+    name_text = f"CASE WHEN {v} = 7 THEN ' ' || p_name || chr(160) ELSE p_name END"
+    title = f"CASE WHEN {v} = 2 THEN '' ELSE '<span id=\"product-title\">' || {name_text} || '</span>' END"
+    details = "'<span id=\"product-details\">' || p_type || ' size ' || p_size || '</span>'"
+    image = (f"'<div class=\"image\"><img alt=\"p\" src=\"/img/' || {k} || "
+             f"CASE WHEN {v} = 6 THEN '.jpeg' ELSE '@1x.jpeg' END || '\"></div>'")
+    hl = (f"'<div id=\"ingredlist-highlights-section\"><span class=\"hashtag\">#' || {ing3} || "
+          f"'</span><span class=\"hashtag\"> </span><div class=\"ingredlist-by-function-block\">"
+          f"<div><span class=\"bold\"><a>solvent</a></span><span><a>' || {ing1} || "
+          f"'</a></span></div><div><span class=\"bold\"><a> </a></span><span><a>' || {ing3} || "
+          f"'</a></span></div></div></div>'")
+    html = (f"CASE WHEN {k} % 97 = 13 THEN NULL ELSE '<html><head><title>' || p_name || '</title></head><body>' || "
+            f"({brand}) || ({title}) || {details} || {image} || CASE WHEN {v} = 0 THEN '<p>note <b>bold' ELSE '' END || "
+            f"({table_html}) || {hl} || '</body></html>' END")
+    return (f"SELECT {k} AS page_id, '{SHOP}/products/' || {k} AS url, CAST(floor({k} / 50) + 1 AS INTEGER) AS page_number, "
+            f"{html} AS html FROM part")
+
+
+def _extracted_sql() -> str:
+    h = "html"
+    brand_raw, name_raw = _first(h, E.BRAND_RE), _first(h, E.TITLE_RE)
+    image = f"(CASE WHEN {_present(_first(h, E.IMAGE_RE))} THEN {_first(h, E.IMAGE_RE)} END)"
+    section = _first(h, E.HIGHLIGHTS_RE)
+    tags = _all(section, E.HASHTAG_RE)
+    ok = "(html IS NOT NULL AND html <> '')"
+    return (
+        f"SELECT page_id, "
+        f"CASE WHEN {ok} AND {_present(brand_raw)} AND {_present(name_raw)} THEN {O.ustrip(brand_raw)} || ' ' || {O.ustrip(name_raw)} END AS full_name, "
+        f"CASE WHEN {ok} THEN {_strip_if(brand_raw)} END AS brand, CASE WHEN {ok} THEN {_strip_if(name_raw)} END AS name, "
+        f"CASE WHEN {ok} THEN {_strip_if(_first(h, E.DETAILS_RE))} END AS description, "
+        f"coalesce(page_number, 0) AS page_number, url, "
+        f"CASE WHEN {ok} THEN {image} END AS image_url, "
+        f"CASE WHEN {ok} AND contains({image}, '@') THEN split_part({image}, '@', 1) || '_original.jpeg' END AS high_res_image_url, "
+        f"CASE WHEN {ok} THEN {_ingredients_sql(h, 'url')} END AS ingredients, "
+        f"CASE WHEN {ok} AND {section} IS NOT NULL AND len({tags}) > 0 THEN {_nonblank(tags)} END AS hashtags, "
+        f"CASE WHEN {ok} THEN {_highlights_sql(section)} END AS highlights, "
+        f"CASE WHEN NOT {ok} THEN 'empty or missing page body' END AS error "
+        f"FROM ({_product_pages_sql()}) pp")
+
+
+EXTRACTED = _extracted_sql()
+
+
+def _extracted(spark, sf):
+    return E.extract_products(FX.product_pages(spark, sf))
+
+
+@register("product_fields",
+          f"SELECT url, full_name, brand, name, description, page_number, image_url, high_res_image_url, error FROM ({EXTRACTED}) e")
+def q_product_fields(spark, sf):
+    return _extracted(spark, sf).select("url", "full_name", "brand", "name", "description", "page_number",
+                                        "image_url", "high_res_image_url", "error")
+
+
+@register("high_res_image",
+          f"SELECT url, image_url, high_res_image_url FROM ({EXTRACTED}) e WHERE image_url IS NOT NULL")
+def q_high_res_image(spark, sf):
+    return _extracted(spark, sf).filter(F.col("image_url").isNotNull()).select("url", "image_url", "high_res_image_url")
+
+
+ING_FLAT = (f"SELECT url, g.pos AS pos, g.v.name AS name, g.v.ingredient_link AS ingredient_link, "
+            f"to_json(g.v.what_it_does)::VARCHAR AS what_it_does, to_json(g.v.irritancy_values)::VARCHAR AS irritancy_values, "
+            f"to_json(g.v.comedogenicity_values)::VARCHAR AS comedogenicity_values, g.v.id_rating AS id_rating "
+            f"FROM (SELECT url, UNNEST(list_transform(range(len(ingredients)), lambda ix: struct_pack(pos := ix, v := ingredients[ix + 1]))) AS g "
+            f"FROM ({EXTRACTED}) e) t")
+
+
+def _ing_flat(spark, sf):
+    fl = E.flatten_ingredients(_extracted(spark, sf))
+    return fl.select("url", "pos", "name", "ingredient_link", F.to_json("what_it_does").alias("what_it_does"),
+                     F.to_json("irritancy_values").alias("irritancy_values"),
+                     F.to_json("comedogenicity_values").alias("comedogenicity_values"), "id_rating")
+
+
+@register("ingredients", ING_FLAT)
+def q_ingredients(spark, sf):
+    return _ing_flat(spark, sf)
+
+
+@register("ingredient_dedup",
+          f"SELECT url, len(ingredients) AS ingredient_count, "
+          f"to_json(list_transform(ingredients, lambda z: z.name))::VARCHAR AS names FROM ({EXTRACTED}) e WHERE error IS NULL")
+def q_ingredient_dedup(spark, sf):
+    ex = _extracted(spark, sf).filter(F.col("error").isNull())
+    return ex.select("url", F.size("ingredients").alias("ingredient_count"),
+                     F.to_json(F.transform("ingredients", lambda z: z["name"])).alias("names"))
+
+
+@register("ingredient_ratings",
+          f"SELECT url, name, kind, value, TRY_CAST(value AS INTEGER) AS value_num FROM ("
+          f"SELECT url, g.v.name AS name, 'irritancy' AS kind, UNNEST(g.v.irritancy_values) AS value FROM "
+          f"(SELECT url, UNNEST(ingredients) AS g FROM (SELECT url, list_transform(ingredients, lambda q: struct_pack(v := q)) AS ingredients FROM ({EXTRACTED}) e0) e) t "
+          f"UNION ALL SELECT url, g.v.name AS name, 'comedogenicity' AS kind, UNNEST(g.v.comedogenicity_values) AS value FROM "
+          f"(SELECT url, UNNEST(ingredients) AS g FROM (SELECT url, list_transform(ingredients, lambda q: struct_pack(v := q)) AS ingredients FROM ({EXTRACTED}) e0) e) t2) u")
+def q_ingredient_ratings(spark, sf):
+    fl = E.flatten_ingredients(_extracted(spark, sf))
+    irr = fl.select("url", "name", F.lit("irritancy").alias("kind"), F.explode("irritancy_values").alias("value"))
+    com = fl.select("url", "name", F.lit("comedogenicity").alias("kind"), F.explode("comedogenicity_values").alias("value"))
+    both = irr.unionByName(com)
+    return both.withColumn("value_num", F.col("value").try_cast("int"))
+
+
+@register("hashtags", f"SELECT url, to_json(hashtags)::VARCHAR AS hashtags FROM ({EXTRACTED}) e")
+def q_hashtags(spark, sf):
+    return _extracted(spark, sf).select("url", F.to_json("hashtags").alias("hashtags"))
+
+
+@register("highlights", f"SELECT url, to_json(highlights)::VARCHAR AS highlights FROM ({EXTRACTED}) e")
+def q_highlights(spark, sf):
+    return _extracted(spark, sf).select("url", F.to_json("highlights").alias("highlights"))
+
+
+@register("extract_errors",
+          f"SELECT url, page_number, error, false AS matched FROM ({EXTRACTED}) e WHERE error IS NOT NULL")
+def q_extract_errors(spark, sf):
+    ex = _extracted(spark, sf)
+    return ex.filter(F.col("error").isNotNull()).select("url", "page_number", "error", F.lit(False).alias("matched"))
+
+
+@register("product_flatten",
+          f"SELECT url, pos, name, UNNEST(from_json(what_it_does, '[\"VARCHAR\"]')) AS function FROM ({ING_FLAT}) f")
+def q_product_flatten(spark, sf):
+    return E.flatten_functions(_extracted(spark, sf))
+
+
+PRODUCTS_MATCHED = (
+    f"SELECT e.url, e.full_name, e.page_number, e.error, coalesce(bm.matched, false) AS matched, bm.matched_name, bm.category "
+    f"FROM ({EXTRACTED}) e LEFT JOIN ({_best_match_sql(90, 'SELECT DISTINCT full_name AS query_id, full_name AS query FROM (' + EXTRACTED + ') x WHERE full_name IS NOT NULL')}) bm "
+    f"ON bm.query = e.full_name")
+
+
+def _matched_products(spark, sf):
+    return E.match_products(_extracted(spark, sf), FX.catalogue(spark, sf))
+
+
+@register("product_match", f"SELECT url, full_name, page_number, matched, matched_name, category FROM ({PRODUCTS_MATCHED}) p")
+def q_product_match(spark, sf):
+    return _matched_products(spark, sf).select("url", "full_name", "page_number", "matched", "matched_name", "category")
+
+
+@register("match_status",
+          f"SELECT CASE WHEN error IS NOT NULL THEN 'error' WHEN full_name IS NULL THEN 'missing_name' "
+          f"WHEN matched THEN 'matched' ELSE 'unmatched' END AS status, count(*) AS products FROM ({PRODUCTS_MATCHED}) p GROUP BY 1")
+def q_match_status(spark, sf):
+    return R.match_status(_matched_products(spark, sf))
