@@ -760,3 +760,72 @@ def q_product_match(spark, sf):
           f"WHEN matched THEN 'matched' ELSE 'unmatched' END AS status, count(*) AS products FROM ({PRODUCTS_MATCHED}) p GROUP BY 1")
 def q_match_status(spark, sf):
     return R.match_status(_matched_products(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# streaming T1-T5 (final tables compared with the batch results)
+# --------------------------------------------------------------------------
+
+from ..streaming import ingest as SI  # noqa: E402
+
+STREAM_FILES = 4
+
+
+def _stream_links(spark, sf, resume: bool = False):
+    run = SI.new_run_dir(spark, "links")
+    src, out, ck = (f"{run}/source", f"{run}/links", f"{run}/checkpoint")
+    pages = FX.listing_pages(spark, sf)
+    if resume:
+        # first half of the corpus, run to completion, then the rest arrives
+        # and the same checkpoint resumes with only the new files
+        mid = pages.agg(F.percentile_approx("page_id", 0.5)).first()[0]
+        SI.stage_files(pages.filter(F.col("page_id") <= mid), src, STREAM_FILES // 2, "page_id")
+        SI.run_link_stream(spark, src, out, ck, pages.schema)
+        SI.stage_files(pages.filter(F.col("page_id") > mid), src, STREAM_FILES // 2, "page_id")
+        SI.run_link_stream(spark, src, out, ck, pages.schema)
+    else:
+        SI.stage_files(pages, src, STREAM_FILES, "page_id")
+        SI.run_link_stream(spark, src, out, ck, pages.schema)
+    return spark.read.parquet(out)
+
+
+@register("stream_dedup",
+          f"SELECT full_url, r.page_id AS page_id, r.pos AS pos, r.page_number AS page_number FROM ({FIRST_SEEN}) f")
+def q_stream_dedup(spark, sf):
+    return _stream_links(spark, sf).select("full_url", "page_id", "pos", "page_number")
+
+
+@register("stream_ingest",
+          f"SELECT page_id, count(*) AS links FROM ({LINKS_FS}) l GROUP BY page_id")
+def q_stream_ingest(spark, sf):
+    return _stream_links(spark, sf).groupBy("page_id").agg(F.count(F.lit(1)).alias("links"))
+
+
+@register("stream_resume",
+          f"SELECT full_url, r.page_id AS page_id, r.pos AS pos, r.page_number AS page_number FROM ({FIRST_SEEN}) f")
+def q_stream_resume(spark, sf):
+    return _stream_links(spark, sf, resume=True).select("full_url", "page_id", "pos", "page_number")
+
+
+@register("stream_upsert",
+          f"SELECT url, full_name, matched, matched_name, category FROM ({PRODUCTS_MATCHED}) p")
+def q_stream_upsert(spark, sf):
+    run = SI.new_run_dir(spark, "state")
+    src, base, ck = f"{run}/source", f"{run}/state", f"{run}/checkpoint"
+    pages = FX.product_pages(spark, sf)
+    SI.stage_files(pages, src, STREAM_FILES, "page_id")
+    SI.run_state_stream(spark, src, base, ck, pages.schema, FX.catalogue(spark, sf))
+    st = spark.read.parquet(spark.read.parquet(f"{base}/_current").orderBy(F.col("version").desc()).first()["path"])
+    return st.select("url", "full_name", "matched", "matched_name", "category")
+
+
+@register("stream_stats",
+          f"SELECT count(*) AS total_products, count(full_name) AS named_products, "
+          f"count(error) AS error_products FROM ({EXTRACTED}) e")
+def q_stream_stats(spark, sf):
+    run = SI.new_run_dir(spark, "totals")
+    src, out, ck = f"{run}/source", f"{run}/totals", f"{run}/checkpoint"
+    pages = FX.product_pages(spark, sf)
+    SI.stage_files(pages, src, STREAM_FILES, "page_id")
+    SI.run_totals_stream(spark, src, out, ck, pages.schema)
+    return spark.read.parquet(out)
