@@ -19,8 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.similarity import let
 from ..functions.text import ustrip
 from ..functions.urls import resolve_url
+from ..session import spread_for_compute
 
 # Fixed values (must equal the reference's selectors and rules):
 TITLE_RE = r'<span\b[^>]*\bid="product-title"[^>]*>([^<]*)'
@@ -78,7 +80,11 @@ def _rating_values(titles: Column) -> Column:
     return F.when(F.size(vals) > 0, vals)
 
 
-def _ingredient(cells: Column, page_url: Column) -> Column:
+def _ingredient(row_html: Column, page_url: Column) -> Column:
+    return let(all_of(row_html, CELL_RE), lambda cells: _ingredient_of_cells(cells, page_url))
+
+
+def _ingredient_of_cells(cells: Column, page_url: Column) -> Column:
     c1 = F.try_element_at(cells, F.lit(1))
     c2 = F.try_element_at(cells, F.lit(2))
     c3 = F.try_element_at(cells, F.lit(3))
@@ -102,11 +108,14 @@ def ingredients(html: Column, page_url: Column) -> Column:
     table = first(html, TABLE_RE)
     body = F.coalesce(first(table, TBODY_RE), F.lit(""))
     rows = all_of(body, ROW_RE)
-    items = F.transform(rows, lambda r: _ingredient(all_of(r, CELL_RE), page_url))
-    named = F.filter(items, lambda x: x["name"].isNotNull() & (x["name"] != ""))
-    # first wins: keep an item when no earlier item has the same name
-    names = F.transform(named, lambda y: y["name"])
-    dedup = F.filter(named, lambda x, i: F.array_position(names, x["name"]) == i + 1)
+    items = F.transform(rows, lambda r: _ingredient(r, page_url))
+
+    def first_wins(named):
+        # keep an item when its name first occurs at its own position
+        return let(F.transform(named, lambda y: y["name"]),
+                   lambda names: F.filter(named, lambda x, i: F.array_position(names, x["name"]) == i + 1))
+
+    dedup = let(F.filter(items, lambda x: x["name"].isNotNull() & (x["name"] != "")), first_wins)
     return F.when(table.isNull(), F.array().cast(f"array<{INGREDIENT}>")).otherwise(dedup)
 
 
@@ -125,20 +134,24 @@ def highlights(section: Column) -> Column:
     divs = F.flatten(F.transform(blocks, lambda b: all_of(b, FUNC_DIV_RE)))
 
     def one(d):
-        fn = first(d, BOLD_LINK_RE)
-        names = F.flatten(F.transform(all_of(d, PLAIN_SPAN_RE), lambda s: all_of(s, LINK_TEXT_RE)))
-        keep = _present(fn) & (F.size(names) > 0)
-        return F.when(keep, F.struct(ustrip(fn).alias("function"),
-                                     _strip_nonblank(names).alias("ingredients")))
+        def build(fn, names):
+            keep = _present(fn) & (F.size(names) > 0)
+            return F.when(keep, F.struct(ustrip(fn).alias("function"),
+                                         _strip_nonblank(names).alias("ingredients")))
+        return let(first(d, BOLD_LINK_RE), lambda fn: let(
+            F.flatten(F.transform(all_of(d, PLAIN_SPAN_RE), lambda s: all_of(s, LINK_TEXT_RE))),
+            lambda names: build(fn, names)))
 
-    items = F.filter(F.transform(divs, one), lambda x: x.isNotNull())
-    return F.when(F.size(items) > 0, items)
+    return let(F.filter(F.transform(divs, one), lambda x: x.isNotNull()),
+               lambda items: F.when(F.size(items) > 0, items))
 
 
 def extract_products(pages: DataFrame, url: str = "url", html: str = "html",
                      page_number: str = "page_number") -> DataFrame:
     """E1-E18 in one projection per page. Pages without HTML become error
     rows (E17) instead of failing the job."""
+    if not pages.isStreaming:
+        pages = spread_for_compute(pages)
     h, u = F.col(html), F.col(url)
     brand_raw, name_raw = first(h, BRAND_RE), first(h, TITLE_RE)
     both = _present(brand_raw) & _present(name_raw)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..functions.text import apply_processor, col_
-from ..session import DEFAULT_BROADCAST_ROWS
+from ..session import DEFAULT_BROADCAST_ROWS, spread_for_compute
 from ..sources.catalogue import unique_catalogue
 
 # Fixed values (must equal the reference's rules):
@@ -142,6 +142,7 @@ def score_pairs(pairs: DataFrame, a: str, b: str, scorers=None,
                 processor: str | None = "none") -> DataFrame:
     """M1-M6 over a table of pairs: one rounded score column per scorer."""
     scorers = scorers or list(S.SCORERS)
+    pairs = spread_for_compute(pairs)
     tmp = S.with_match_features(pairs, apply_processor(F.col(a), processor), "fa")
     tmp = S.with_match_features(tmp, apply_processor(F.col(b), processor), "fb")
     out = tmp.select(*pairs.columns,

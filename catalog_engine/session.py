@@ -69,3 +69,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (Parquet); Catalyst prunes columns and pushes
     filters into this scan."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread_for_compute(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the session's parallelism when the input
+    has fewer partitions than that, before CPU-heavy per-row work (HTML
+    extraction, pair scoring). Inputs that are already well split (many
+    files at scale) are left as they are — no extra shuffle."""
+    target = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

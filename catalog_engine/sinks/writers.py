@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 # Fixed value (must equal the reference's default): products per file.
 BATCH_SIZE = 500
 
@@ -30,7 +32,9 @@ def number_batches(df: DataFrame, order: list[str], batch_size: int = BATCH_SIZE
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid").orderBy(*order)
-    ranked = ranged.withColumn("_local", F.row_number().over(local))
+    # range bounds come from sampling; materialise the ranks once (reliable
+    # checkpoint in the shared folder) so counts and rows agree on _pid
+    ranked = cut_lineage(ranged.withColumn("_local", F.row_number().over(local)))
     counts = ranked.groupBy("_pid").agg(F.max("_local").alias("_cnt"))
     offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_base"))
     out = ranked.join(F.broadcast(offsets), "_pid")
