@@ -94,3 +94,26 @@ def match_status(products: DataFrame) -> DataFrame:
               .when(F.coalesce(F.col("matched"), F.lit(False)), F.lit("matched"))
               .otherwise(F.lit("unmatched")))
     return products.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("products"))
+
+
+def crawl_summary(products: DataFrame, *, total_batches: int | None = None,
+                  products_per_batch: int = 500, reason: str = "finished") -> DataFrame:
+    """K3: the run's summary row — pages, products, matched, match ratio,
+    output batches, products per batch, last page processed, reason."""
+    t = run_totals(products)
+    last = products.agg(F.max("page_number").cast("bigint").alias("last_page_processed"))
+    nb = (F.lit(total_batches).cast("bigint") if total_batches is not None
+          else F.ceil(F.col("total_products") / F.lit(products_per_batch)).cast("bigint"))
+    return (t.crossJoin(last)
+            .withColumn("total_batches", nb)
+            .withColumn("products_per_batch", F.lit(products_per_batch).cast("bigint"))
+            .withColumn("reason", F.lit(reason)))
+
+
+def add_to_global(previous: DataFrame, summaries: DataFrame) -> DataFrame:
+    """S6 + A5/K5: previous global totals plus the new batch summaries."""
+    new = global_stats(summaries)
+    both = previous.select("total_pages", "total_products", "matched_products", "total_batches") \
+        .unionByName(new.select("total_pages", "total_products", "matched_products", "total_batches"))
+    return both.agg(*[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("bigint").alias(c)
+                      for c in ["total_pages", "total_products", "matched_products", "total_batches"]])

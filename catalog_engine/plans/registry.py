@@ -829,3 +829,47 @@ def q_stream_stats(spark, sf):
     SI.stage_files(pages, src, STREAM_FILES, "page_id")
     SI.run_totals_stream(spark, src, out, ck, pages.schema)
     return spark.read.parquet(out)
+
+
+# --------------------------------------------------------------------------
+# summaries as files: K3 crawl summary, K4/S7 batch summary files, K5/S6
+# --------------------------------------------------------------------------
+
+from ..sources import summaries as SS  # noqa: E402
+
+
+@register("crawl_summary",
+          f"SELECT count(DISTINCT page_number) AS total_pages, count(*) AS total_products, "
+          f"count(*) FILTER (WHERE coalesce(matched, false)) AS matched_products, "
+          f"coalesce(100.0 * (count(*) FILTER (WHERE coalesce(matched, false)) / nullif(count(*), 0)), 0.0) AS match_ratio, "
+          f"max(page_number)::BIGINT AS last_page_processed, CAST(ceil(count(*) / 500) AS BIGINT) AS total_batches, "
+          f"500::BIGINT AS products_per_batch, 'finished' AS reason FROM ({PRODUCTS_MATCHED}) p")
+def q_crawl_summary(spark, sf):
+    return R.crawl_summary(_matched_products(spark, sf))
+
+
+def _summary_files(spark, sf):
+    """K4 writes one summary folder per batch (``batch_number=N``, written by
+    the executors); S7 reads them back with a glob."""
+    run = SI.new_run_dir(spark, "summaries")
+    W.write_batch_summaries(R.batch_summary(_routed(spark, sf), pages_per_batch=10), run)
+    return run
+
+
+BATCH_SUMMARY_10 = BATCH_SUMMARY.replace("/ 100)", "/ 10)").replace(") * 100 AS", ") * 10 AS").replace(
+    "100::BIGINT AS pages_per_batch", "10::BIGINT AS pages_per_batch")
+
+
+@register("batch_summary_files", BATCH_SUMMARY_10)
+def q_batch_summary_files(spark, sf):
+    run = _summary_files(spark, sf)
+    return SS.read_batch_summaries(spark, run).drop("batch_dir")
+
+
+@register("global_stats_update",
+          f"SELECT sum(total_pages)::BIGINT AS total_pages, sum(total_products)::BIGINT AS total_products, "
+          f"sum(matched_products)::BIGINT AS matched_products, count(*)::BIGINT AS total_batches FROM ({BATCH_SUMMARY_10}) b")
+def q_global_stats_update(spark, sf):
+    run = _summary_files(spark, sf)
+    prev = SS.read_global_stats(spark, f"{run}/global_stats")   # none saved yet -> empty
+    return R.add_to_global(prev, SS.read_batch_summaries(spark, run))

@@ -48,6 +48,11 @@ def write_batches(df: DataFrame, path: str, fmt: str = "json") -> None:
     df.write.mode("overwrite").partitionBy("batch_number").format(fmt).save(path)
 
 
+def write_batch_summaries(summaries: DataFrame, run_dir: str) -> None:
+    """K4: one JSON summary per batch folder ``batch_number=N``."""
+    summaries.write.mode("overwrite").partitionBy("batch_number").json(run_dir)
+
+
 def write_summary(df: DataFrame, path: str) -> None:
     """K3-K6: one-row summaries as JSON (coalesced: a single row)."""
     df.coalesce(1).write.mode("overwrite").json(path)
