@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..functions.text import apply_processor, col_
-from ..session import DEFAULT_BROADCAST_ROWS, spread_for_compute
+from ..session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, spread_for_compute
 from ..sources.catalogue import unique_catalogue
 
 # Fixed values (must equal the reference's rules):
@@ -69,10 +69,27 @@ def _spread(queries: DataFrame, key: str) -> DataFrame:
     return queries.repartition(target, key)
 
 
-def _pairs(queries: DataFrame, cat: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Cross product of queries and the (counted) catalogue side."""
-    n = cat.count()
-    right = F.broadcast(cat) if n <= broadcast_rows else cat
+# Estimated bytes a catalogue row occupies on the broadcast side per code
+# point of its text: three strings, three char arrays (~24 B per element
+# in UnsafeArrayData with the string header) and three mask maps (key +
+# one-word array per distinct char), rounded up.
+BYTES_PER_CHAR = 160
+ROW_OVERHEAD = 256
+
+
+def _pairs(queries: DataFrame, cat: DataFrame, broadcast_rows: int,
+           broadcast_bytes: int | None = None) -> DataFrame:
+    """Cross product of queries and the catalogue side. The catalogue is
+    broadcast only when both its counted rows and its estimated size (from
+    the measured text lengths) are under the limits; otherwise the pair
+    work runs as a shuffled product (see README, known limits)."""
+    if broadcast_bytes is None:
+        broadcast_bytes = DEFAULT_BROADCAST_BYTES
+    row = cat.agg(F.count(F.lit(1)).alias("n"),
+                  F.coalesce(F.sum(F.length("cf_raw_s")), F.lit(0)).alias("chars")).first()
+    est = row["n"] * ROW_OVERHEAD + row["chars"] * BYTES_PER_CHAR
+    small = row["n"] <= broadcast_rows and est <= broadcast_bytes
+    right = F.broadcast(cat) if small else cat
     return queries.crossJoin(right)
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 # ``operators.matching.plan_candidates``); beyond it the match join uses a
 # shuffled plan instead.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# ... and only while its estimated in-memory size stays under this bound.
+DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
