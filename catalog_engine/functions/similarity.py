@@ -142,13 +142,18 @@ def with_match_features(df, text, prefix: str):
     }
     df = df.select("*", *[v.alias(f"{prefix}_{k}_s") for k, v in strings.items()],
                    F.array_distinct(toks).alias(f"{prefix}_toks"))
+    # 64-bit token signature: a token set contained in another has no bit
+    # outside the other's signature (a cheap necessary test for subsets)
+    df = df.select("*", F.aggregate(f"{prefix}_toks", _long(0),
+                                    lambda acc, tk: acc.bitwiseOR(_shl(_long(1), F.pmod(F.hash(tk), F.lit(64)))))
+                   .alias(f"{prefix}_sig"))
     df = df.select("*", *[F.length(f"{prefix}_{k}_s").alias(f"{prefix}_{k}_n") for k in strings],
                    *[char_array(f"{prefix}_{k}_s").alias(f"{prefix}_{k}_chars") for k in strings])
     return df.select("*", *[bit_masks(f"{prefix}_{k}_chars").alias(f"{prefix}_{k}_masks") for k in strings])
 
 
 def feature_columns(prefix: str) -> list[str]:
-    cols = [f"{prefix}_toks"]
+    cols = [f"{prefix}_toks", f"{prefix}_sig"]
     for k in Feat.PROFILES:
         cols += [f"{prefix}_{k}_{x}" for x in ("s", "n", "chars", "masks")]
     return cols
@@ -403,30 +408,42 @@ def weighted_may_reach(fa, fb, t, inter: Column | None = None) -> Column:
 def token_set_may_reach(fa, fb, t, inter: Column | None = None) -> Column:
     """Necessary for token_set(a, b) >= t, from built-ins only.
 
-    No common token: token_set is the ratio of the distinct-token strings.
-    Common tokens: the subset case (100), the two closed-form intersection
-    ratios exactly, and for the difference ratio a length band plus a
-    levenshtein bound on the difference strings. Lengths of joined token
-    strings come from per-row data (sum of token lengths + separators)."""
+    No common token: token_set is the ratio of the distinct-token strings
+    (length band + thresholded levenshtein). Common tokens: with the token
+    differences A, B (each computed once) and the distinct-token string
+    lengths n_a, n_b of the rows, the joined intersection has length
+    s = n_a - |A| - 1 and the difference ratio's total is n_a + n_b, so the
+    subset case (100), the two closed-form intersection ratios and the
+    difference-ratio bound (band + levenshtein of the joined differences)
+    need no intersection array. A length band on n_a, n_b or a possible
+    subset (64-bit token signatures) is tested first from row data only.
+    ``inter`` is accepted for compatibility and unused.
+    """
     t = t if isinstance(t, Column) else F.lit(float(t))
     ta, tb = fa["toks"], fb["toks"]
     na, nb = F.size(ta), F.size(tb)
-    inter = F.array_intersect(ta, tb) if inter is None else inter
-    ni = F.size(inter)
-    sum_i = F.length(F.array_join(inter, ""))
-    sum_a = fa["dst"]["n"] - (na - 1)
-    sum_b = fb["dst"]["n"] - (nb - 1)
-    s = sum_i + ni - 1
-    la = F.when(na > ni, (sum_a - sum_i) + (na - ni - 1)).otherwise(F.lit(0))
-    lb = F.when(nb > ni, (sum_b - sum_i) + (nb - ni - 1)).otherwise(F.lit(0))
-    subset = (na == ni) | (nb == ni)
-    r2_ok = _norm(1 + la, s + (s + 1 + la)) >= t - 1e-9
-    r3_ok = _norm(1 + lb, s + (s + 1 + lb)) >= t - 1e-9
-    total = (s + 1 + la) + (s + 1 + lb)
+    n_a, n_b = fa["dst"]["n"], fb["dst"]["n"]
+    total = n_a + n_b
     bound = F.floor(total * (1.0 - t / 100.0) + 1e-9)
-    sa = F.array_join(F.sort_array(F.array_except(ta, tb)), " ")
-    sb = F.array_join(F.sort_array(F.array_except(tb, ta)), " ")
-    r1_ok = (F.abs(la - lb) <= bound) & _lev_within(sa, sb, bound)
-    shared = subset | r2_ok | r3_ok | r1_ok
-    return ((na > 0) & (nb > 0)) & F.when(F.arrays_overlap(ta, tb), shared) \
+
+    def shared(da, db):
+        subset = (F.size(da) == 0) | (F.size(db) == 0)
+
+        def with_strings(sa, sb):
+            la, lb = F.length(sa), F.length(sb)
+            s = n_a - la - 1
+            r2_ok = (s > 0) & (_norm(1 + la, s + (s + 1 + la)) >= t - 1e-9)
+            r3_ok = (s > 0) & (_norm(1 + lb, s + (s + 1 + lb)) >= t - 1e-9)
+            r1_ok = (F.abs(la - lb) <= bound) & _lev_within(sa, sb, bound)
+            return r2_ok | r3_ok | r1_ok
+
+        return subset | let(F.array_join(F.sort_array(da), " "), lambda sa: let(
+            F.array_join(F.sort_array(db), " "), lambda sb: with_strings(sa, sb)))
+
+    band = 200.0 * F.least(n_a, n_b) >= t * total - 1e-9
+    sa_sig, sb_sig = fa["sig"], fb["sig"]
+    may_subset = ((sa_sig.bitwiseAND(F.bitwise_not(sb_sig)) == 0)
+                  | (sb_sig.bitwiseAND(F.bitwise_not(sa_sig)) == 0))
+    overlap_ok = let(F.array_except(ta, tb), lambda da: let(F.array_except(tb, ta), lambda db: shared(da, db)))
+    return ((na > 0) & (nb > 0) & (band | may_subset)) & F.when(F.arrays_overlap(ta, tb), overlap_ok) \
         .otherwise(ratio_may_reach(fa["dst"], fb["dst"], t))

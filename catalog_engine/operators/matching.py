@@ -133,19 +133,18 @@ def best_match_texts(texts: DataFrame, catalogue: DataFrame, *, threshold: float
     q = S.with_match_features(distinct.withColumn("_req", req), apply_processor(F.col("_text"), processor), "qf")
     pairs = _pairs(q, cat.select("idx", "full_name", "category", *S.feature_columns("cf")), broadcast_rows)
     qf, cf = S.Feat("qf"), S.Feat("cf")
-    # the pair's common tokens, computed once and read by several bounds
-    pairs = pairs.select("*", F.when(F.arrays_overlap(qf["toks"], cf["toks"]),
-                                     F.array_intersect(qf["toks"], cf["toks"])).alias("_inter"))
     if scorer == "weighted":
-        gate = S.weighted_may_reach(qf, cf, F.col("_req"), F.col("_inter"))
+        gate = S.weighted_may_reach(qf, cf, F.col("_req"))
     else:
         gate = F.lit(True)
     sc = F.when(gate, S.score(scorer, qf, cf))
     scored = pairs.select("_text", "_req", "idx", "full_name", "category", sc.alias("_score"))
-    hit = F.col("_score") >= F.col("_req")
-    best = (scored.groupBy("_text")
+    # only pairs at or above the threshold reach the aggregate (the gate is
+    # evaluated once per pair; gate + score again only for the few hits)
+    hits = scored.filter(F.col("_score") >= F.col("_req"))
+    best = (hits.groupBy("_text")
             .agg(F.max_by(F.struct("full_name", "category", "_score"),
-                          F.when(hit, F.struct(F.col("_score"), -F.col("idx")))).alias("_b")))
+                          F.struct(F.col("_score"), -F.col("idx"))).alias("_b")))
     return best.select(
         "_text",
         F.col("_b").isNotNull().alias("matched"),
