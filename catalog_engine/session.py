@@ -46,11 +46,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     system temp folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="catalog-engine-ckpt-")
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    current = sc.getCheckpointDir()
+    if current:                      # already set (cluster or earlier call)
+        return current
+    base = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="catalog-engine-ckpt-")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir() or base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
