@@ -77,7 +77,7 @@ def bit_masks(chars) -> Column:
         return F.aggregate(
             F.sequence(lo, hi), _long(0),
             lambda acc, i: acc.bitwiseOR(
-                F.when(chars.getItem(i) == c, _shl(_long(1), i - lo)).otherwise(_long(0))))
+                F.when(chars[i] == c, _shl(_long(1), i - lo)).otherwise(_long(0))))
 
     return F.map_from_arrays(
         uniq,
@@ -190,10 +190,10 @@ def _lcs_multi_word(masks, n, other) -> Column:
             m = F.coalesce(F.try_element_at(masks, c), zeros)
 
             def word(st, k):
-                x = v.getItem(k)
-                mk = m.getItem(k)
+                x = v[k]
+                mk = m[k]
                 total = x + x.bitwiseAND(mk) + st["carry"]
-                new = total.bitwiseAND(fulls.getItem(k)).bitwiseOR(x.bitwiseAND(F.bitwise_not(mk)))
+                new = total.bitwiseAND(fulls[k]).bitwiseOR(x.bitwiseAND(F.bitwise_not(mk)))
                 return F.struct(F.array_append(st["v"], new).alias("v"),
                                 _shr(total, bits(k)).alias("carry"))
 
