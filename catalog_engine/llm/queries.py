@@ -6,12 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalog_engine.llm import packing
+from catalog_engine.llm import decontaminate, embedding_dedup, html_text, line_dedup, ngram_join, ordered_shards, packing, sharding, token_rollup
+from catalog_engine.llm.common import new_folder
 from catalog_engine.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_stratified_shards": lambda spark, sf_dir: sharding.shard(table(spark, sf_dir, "documents")),
+    "op3_embedding_neardup": lambda spark, sf_dir: embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings")),
+    "op4_training_order": lambda spark, sf_dir: ordered_shards.materialise(table(spark, sf_dir, "documents"), ordered_shards.shards_folder(spark)),
     "op5_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents")),
+    "op6_decontamination": lambda spark, sf_dir: decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op7_ngram_join": lambda spark, sf_dir: ngram_join.link_classes(table(spark, sf_dir, "documents")),
+    "op8_line_dedup": lambda spark, sf_dir: line_dedup.drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text"),
+    "op9_token_counts": lambda spark, sf_dir: token_rollup.rollup(table(spark, sf_dir, "documents"), new_folder(spark, "token-rollup")),
+    "op10_html_text": lambda spark, sf_dir: html_text.extract(table(spark, sf_dir, "pages")),
 }
 
 #: DuckDB SQL for the queries that SQL can express over whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_line_dedup": line_dedup.ORACLE_SQL,
+}
