@@ -30,12 +30,14 @@ COSINE = 0.95
 BLOCK_DIMS = 8
 GRID_DIMS = 3
 #: Vectors of a cell that one chunk holds.
-CHUNK_ROWS = 4096
+CHUNK_ROWS = 8192
 #: Pairs that are verified at once.
 PAIRS = 20_000
 SEED = 11
 #: Rounding in the budgets; verification is exact.
 EPS = 1e-9
+#: Slack of the first look, which is in single precision.
+ROUGH = 1e-5
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -131,6 +133,20 @@ class _Forest:
                 up[up == max(x, y)] = min(x, y)
 
 
+def _near_rows(left: np.ndarray, right: np.ndarray, side: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows to look at, of a chunk of a cell (side 0) with itself, or of
+    one (0 or 1) with another (2) or with visitors (3)."""
+    first, own, second = np.flatnonzero(side <= 1), np.flatnonzero(side == 0), np.flatnonzero(side >= 2)
+    step = max(1, 4_000_000 // max(1, len(own) + len(second)))
+    for k in range(0, len(first), step):
+        rows = first[k : k + step]
+        cols = np.concatenate([own[k:], second])
+        a, b = np.nonzero(left[rows] @ right[cols].T >= least)
+        a, b = rows[a], cols[b]
+        once = (a < b) | (side[b] >= 2)
+        yield a[once], b[once]
+
+
 def _compared(cosine: float) -> Callable:
     """Links of a task, as weights per vector and a forest."""
 
@@ -138,23 +154,16 @@ def _compared(cosine: float) -> Callable:
         table = table.sort_by([("uid", "ascending"), ("side", "ascending")])
         dims, block = (table[c][0].as_py() for c in ("dims", "block"))
         x = _matrix(table["embedding"], dims)
-        uid, weight, home, side = (table[c].to_numpy() for c in ("uid", "weight", "home", "side"))
+        uid, weight, side = (table[c].to_numpy() for c in ("uid", "weight", "side"))
         u = unit(x)
         y = rotated(u)
         share = budget(y.shape[1], cosine)
         z = np.ascontiguousarray(y[:, block * BLOCK_DIMS : (block + 1) * BLOCK_DIMS])
         # z.z' - |z|^2 / 2 - |z'|^2 / 2 is minus half the squared distance
         half, one = -(z * z).sum(axis=1, keepdims=True) / 2, np.ones((len(z), 1))
-        left, right = np.hstack([z, half, one]), np.hstack([z, one, half])
-        first, second = (np.flatnonzero(side == 1), np.flatnonzero(side == 2)) if (side != 0).any() else (np.arange(len(x)),) * 2
+        left, right = (np.hstack(p).astype(np.float32) for p in ([z, half, one], [z, one, half]))
         links, forest, n = np.zeros(len(x), dtype=np.int64), _Forest(len(x)), len(x)
-        step = max(1, 4_000_000 // max(1, len(second)))
-        for k in range(0, len(first), step):
-            rows, cols = first[k : k + step], second if first is not second else second[k:]
-            a, b = np.nonzero(left[rows] @ right[cols].T >= -share / 2 - 1e-6)
-            a, b = rows[a], cols[b]
-            ok = (home[a] | home[b]) & (a != b) & ((a < b) | (first is not second))
-            a, b = a[ok], b[ok]
+        for a, b in _near_rows(left, right, side, -share / 2 - ROUGH):
             for s in range(0, len(a), PAIRS):
                 p, q = a[s : s + PAIRS], b[s : s + PAIRS]
                 apart = ((y[p] - y[q]) ** 2).reshape(len(p), -1, BLOCK_DIMS).sum(axis=2)
@@ -196,13 +205,20 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, chunk_rows: int = C
     dealt = classes.select("uid", "weight", "embedding").mapInArrow(_dealt(cosine), schema)
     # coordinates of unit vectors lie in [-1, 1], so there are at most
     # (2 / width + 2)^3 cells for each block and length of vectors
-    cells = cut(dealt.groupBy("dims", "block", "cell").count().withColumn("chunks", F.ceil(F.col("count") / chunk_rows).cast("int")))
-    crowded = cells.where("chunks > 1").drop("count")
-    dealt = dealt.join(F.broadcast(crowded), ["dims", "block", "cell"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("uid", F.lit(1)), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
-    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    dealt = dealt.select("dims", "block", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "home", "uid", "weight", "embedding")
+    home = F.count_if("home")
+    chunks = lambda n: F.ceil(n / chunk_rows).cast("int")
+    cells = cut(dealt.groupBy("dims", "block", "cell").agg(chunks(home).alias("homes"), chunks(F.count_if(~F.col("home"))).alias("visits")).where("homes > 0"))
+    dealt = dealt.join(F.broadcast(cells), ["dims", "block", "cell"])
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("uid", F.lit(1)), F.when(F.col("home"), F.col("homes")).otherwise(F.col("visits"))).cast("int"))
+    # a chunk of the cell meets every chunk (0 to homes - 1, itself too) and every
+    # chunk of visitors (homes + 1 on); the first chunk of visitors rides with
+    # each chunk that meets itself
+    partners = F.expr("if(home, filter(sequence(0, homes + visits - 1), x -> x <> homes or visits = 0), sequence(0, homes - 1))")
+    dealt = dealt.withColumn("other", F.explode(partners))
+    i = F.expr("case when not home then other when other < homes then least(own, other) else own end")
+    j = F.expr("case when not home then if(own = 0, other, homes + own) when other < homes then greatest(own, other) else other end")
+    side = F.expr("case when not home then 3 when other = own then 0 when other > own then 1 else 2 end")
+    dealt = dealt.select("dims", "block", "cell", i.alias("i"), j.alias("j"), side.alias("side"), "uid", "weight", "embedding")
     found = cut(dealt.groupBy("dims", "block", "cell", "i", "j").applyInArrow(_compared(cosine), "uid bigint, links bigint, root bigint"))
     links = found.groupBy("uid").agg(F.sum("links").alias("links"))
     joined = connected_components(found.where("uid != root"), "uid", "root").select(F.col("id").alias("uid"), "component")

@@ -8,7 +8,7 @@ search, and a partner must reach the overlap T that the threshold demands.
 
 Grouping, without loss: two sets of at most ``s`` shingles that reach the
 threshold differ in at most ``k`` shingles, so if shingles are dealt into
-k + 1 parts by their hash, the sets agree on a whole part. Sets are compared
+more than k parts by their hash, the sets agree on whole parts. Sets are compared
 in classes of similar size; a set emits one signature (hash of a part's
 content) for each part of its class, and for the next class if a partner there
 is possible. Sets that share a signature fall into one candidate group. Equal
@@ -17,7 +17,9 @@ sets are one set throughout, so copies cost nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,16 +28,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from catalog_engine.llm.common import connected_components, cut, need_columns, stored
+from catalog_engine.llm.common import connected_components, cut, free_name, need_columns
 
 SHINGLE_WORDS = 3
 #: Similarity in hundredths.
 THRESHOLD = 90
 #: Upper ends of neighbouring size classes differ by this factor.
 CLASS_RATIO = 1.3
+#: A class has so many parts that this many standard errors below the mean are
+#: still enough filled ones.
+FILLED_ERRORS = 2.0
 #: Shingles of a candidate group that one task searches; larger groups are
 #: split (see ``_split``).
-GROUP_SHINGLES = 4_000_000
+GROUP_SHINGLES = 2_000_000
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -62,14 +67,6 @@ def shingle_set(text: str | None, words: int = SHINGLE_WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-def size_classes(largest: int) -> list[int]:
-    """Upper ends of the size classes up to ``largest``."""
-    ends = [9]
-    while ends[-1] < largest:
-        ends.append(int(ends[-1] * CLASS_RATIO) + 1)
-    return ends
-
-
 def most_apart(size: int, threshold: int) -> int:
     """The most shingles in which two sets of at most ``size`` can differ.
 
@@ -78,28 +75,53 @@ def most_apart(size: int, threshold: int) -> int:
     return 2 * size * (100 - threshold) // (100 + threshold)
 
 
-_ENDS = np.array(size_classes(1 << 40), dtype=np.int64)
+@lru_cache
+def size_classes(threshold: int) -> tuple[np.ndarray, list[int]]:
+    """Upper ends of the size classes, and the parts of each.
+
+    Small classes end where one more difference becomes possible, others a
+    factor CLASS_RATIO above the last. Sets that differ in k shingles agree on all
+    but k of P parts. With k + 1 parts the only agreement could be a part
+    that is empty in both, which says nothing, so there are as many more
+    parts as leave k + 1 of them filled in nearly every set of the class."""
+    ends, parts = [0], []
+    while ends[-1] < 1 << 40:
+        apart = most_apart(ends[-1] + 1, threshold)
+        # the last size at which no more than ``apart`` differences are possible
+        same = ((apart + 1) * (100 + threshold) - 1) // (2 * (100 - threshold))
+        ends.append(max(same, int(ends[-1] * CLASS_RATIO)))
+        least, need = ends[-2] + 1, most_apart(ends[-1], threshold) + 1
+        p = need
+        while need > 1 and p < 2 * need + 2 and p * (1 - math.exp(-least / p)) - FILLED_ERRORS * math.sqrt(p * math.exp(-least / p)) < need:
+            p += max(1, p // 100)
+        parts.append(p)
+    return np.array(ends[1:], dtype=np.int64), parts
 
 
 def signatures(shingles: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    """The part signatures under which a set meets every partner."""
+    """The part signatures under which a set meets every partner: those of its
+    filled parts, and of all parts if fewer than k + 1 are filled (then a
+    partner may agree on empty ones alone, and has too few filled ones too)."""
     n = len(shingles)
     if not n:
         return np.empty(0, dtype=np.uint64)
-    at = int(np.searchsorted(_ENDS, n))
+    ends, counts = size_classes(threshold)
+    at = int(np.searchsorted(ends, n))
     classes = [at]
     # a larger partner has at most n / t shingles
-    while at + 1 < len(_ENDS) and (_ENDS[at] + 1) * threshold <= n * 100:
+    while (int(ends[at]) + 1) * threshold <= n * 100:
         at += 1
         classes.append(at)
     mixed, out = _mix(shingles ^ _M2), []
     for c in classes:
-        parts = most_apart(int(_ENDS[c]), threshold) + 1
+        parts = counts[c]
         part = ((shingles >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
         content = np.zeros(parts, dtype=np.uint64)
         np.add.at(content, part, mixed)
         label = np.arange(parts, dtype=np.uint64) * _M3 + np.uint64((c + 1) * int(_M1) & 0xFFFFFFFFFFFFFFFF)
-        out.append(_mix(content ^ _mix(label)))
+        sign = _mix(content ^ _mix(label))
+        filled = np.bincount(part, minlength=parts) > 0
+        out.append(sign[filled] if filled.sum() > most_apart(int(ends[c]), threshold) else sign)
     return np.concatenate(out)
 
 
@@ -107,35 +129,47 @@ def signatures(shingles: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
 BLOCK_DOCS = 1000
 
 
-def _described(threshold: int, words: int):
-    """Per document the size and a 128-bit hash of its set, and signatures.
-    What documents of a block share is settled here: a signature goes on with
-    the first document only, which the others name in ``near``."""
+def _described(words: int):
+    """Per document the size and a 128-bit hash of its set."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = []
+            for text in batch["text"]:
+                s = shingle_set(text, words)
+                keys.append((len(s), *(int(_mix(s ^ m).sum(dtype=np.uint64)) for m in (_M2, _M3))))
+            h = [np.array([k[i] for k in keys], dtype=np.uint64).view(np.int64) for i in (1, 2)]
+            yield batch[["doc_id", "uid"]].assign(n=[k[0] for k in keys], h1=h[0], h2=h[1])
+
+    return describe
+
+
+def _signed(threshold: int, words: int):
+    """The signatures of each document. Within a block of documents a signature
+    goes on with the first one that has it, and the others meet that one under a
+    signature of its own; so a hot signature costs one row per block."""
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), BLOCK_DOCS):
                 part = batch.iloc[at : at + BLOCK_DOCS]
-                uid, keys, signs = part["uid"].to_numpy(), [], []
-                for text in part["text"]:
-                    s = shingle_set(text, words)
-                    keys.append((len(s), *(int(_mix(s ^ m).sum(dtype=np.uint64)) for m in (_M2, _M3))))
-                    signs.append(signatures(s, threshold))
-                every, of = np.concatenate(signs), np.repeat(np.arange(len(signs)), [len(x) for x in signs])
+                uid, count = part["uid"].to_numpy(), len(part)
+                signs = [signatures(shingle_set(t, words), threshold) for t in part["text"]]
+                every, of = np.concatenate(signs), np.repeat(np.arange(count), [len(x) for x in signs])
                 _, first, group = np.unique(every, return_index=True, return_inverse=True)
                 leads = np.zeros(len(every), dtype=bool)
                 leads[first] = True
-                pairs = np.unique(np.stack([of[~leads], of[first[group[~leads]]]]), axis=1) if len(every) else np.empty((2, 0), dtype=np.int64)
-                kept = np.searchsorted(of[leads], np.arange(len(signs) + 1))
-                met = np.searchsorted(pairs[0], np.arange(len(signs) + 1))
-                own, other = every[leads].view(np.int64), uid[pairs[1]]
-                h = [np.array([k[i] for k in keys], dtype=np.uint64).view(np.int64) for i in (1, 2)]
-                yield pd.DataFrame({
-                    "doc_id": part["doc_id"].to_numpy(), "uid": uid, "n": [k[0] for k in keys], "h1": h[0], "h2": h[1],
-                    "signs": [own[a:b] for a, b in zip(kept, kept[1:])], "near": [other[a:b] for a, b in zip(met, met[1:])],
-                })
+                lead = of[first[group]] if len(every) else of
+                met = np.unique(np.stack([of[~leads], lead[~leads]]), axis=1)
+                own = _mix(uid.view(np.uint64) ^ _M1)
+                of = np.concatenate([of[leads], met[0], np.unique(met[1])])
+                every = np.concatenate([every[leads], own[met[1]], own[np.unique(met[1])]])
+                order = np.argsort(of, kind="stable")
+                ends = np.searchsorted(of[order], np.arange(count + 1))
+                every = every[order].view(np.int64)
+                yield pd.DataFrame({"uid": uid, "signs": [every[a:b] for a, b in zip(ends, ends[1:])]})
 
-    return describe
+    return sign
 
 
 class _Index:
@@ -255,6 +289,13 @@ def _split(large: DataFrame, texts: DataFrame, limit: int, threshold: int, words
     return star.union(found)
 
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """(doc_id, uid, text); equal rows get equal numbers, as they have the same
+    set and need no telling apart."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select("doc_id", F.xxhash64("doc_id", "text", F.length("text")).alias("uid"), "text")
+
+
 def link_classes(docs: DataFrame, threshold: int = THRESHOLD, words: int = SHINGLE_WORDS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id`` and
     ``set_id``.
@@ -268,17 +309,35 @@ def link_classes(docs: DataFrame, threshold: int = THRESHOLD, words: int = SHING
     columns are ignored; an empty table gives no rows.
     """
     need_columns(docs, "doc_id", "text")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # equal rows get equal numbers: they have the same set and need no telling apart
-    docs = docs.withColumn("uid", F.xxhash64("doc_id", "text", F.length("text")))
-    schema = "doc_id bigint, uid bigint, n bigint, h1 bigint, h2 bigint, signs array<bigint>, near array<bigint>"
-    described = stored(docs.select("doc_id", "uid", "text").mapInPandas(_described(threshold, words), schema), "ngram-signatures")
+    out = row_classes(_identified(docs), threshold, words, group_shingles)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("set_id", "doc_id").alias("set_id"))
+
+
+def one_of_each(docs: DataFrame, threshold: int = THRESHOLD, words: int = SHINGLE_WORDS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each class the row with the
+    least doc_id stays (a null id only where the class has no other). Texts
+    without words are in no class and stay. Of rows with equal doc_id and text
+    one stays, whatever their other columns."""
+    need_columns(docs, "doc_id", "text")
+    own = free_name(docs, "_uid")
+    rows = row_classes(_identified(docs), threshold, words, group_shingles)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
+    best = rows.groupBy(F.coalesce("class", "uid").alias("class")).agg(F.min(place)["uid"].alias(own)).select(own)
+    marked = docs.withColumn(own, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.length(F.col("text").cast("string"))))
+    return marked.join(best, own, "left_semi").dropDuplicates([own]).select(*docs.columns)
+
+
+def row_classes(docs: DataFrame, threshold: int, words: int, group_shingles: int) -> DataFrame:
+    """(doc_id, uid, n, class, component_id, set_id) for rows (doc_id, uid,
+    text); the last three are null for texts without words."""
+    described = cut(docs.mapInPandas(_described(words), "doc_id bigint, uid bigint, n bigint, h1 bigint, h2 bigint"))
     linkable = described.where("n > 0")
     sets = cut(linkable.groupBy("n", "h1", "h2").agg(F.min("uid").alias("set_uid"), F.min("doc_id").alias("set_id")))
-    signed = linkable.select("uid", F.explode("signs").alias("sign"))
+    # the texts are read once more, which is cheaper than to store signatures
+    signed = docs.select("uid", "text").mapInPandas(_signed(threshold, words), "uid bigint, signs array<bigint>")
+    signed = signed.select("uid", F.explode("signs").alias("sign"))
     first = F.min("uid").over(Window.partitionBy("sign"))
-    near = signed.select("uid", first.alias("first")).where("uid != first").distinct()
-    near = cut(near.union(linkable.select("uid", F.explode("near")).where("uid != col")).distinct())
+    near = cut(signed.select("uid", first.alias("first")).where("uid != first").distinct())
     set_of = linkable.join(sets, ["n", "h1", "h2"]).select("uid", "set_uid")
     near = near.join(set_of, "uid").select(F.col("first").alias("uid"), F.col("set_uid").alias("a")).join(set_of, "uid").select("a", F.col("set_uid").alias("b"))
     groups = connected_components(near, "a", "b").select(F.col("id").alias("set_uid"), F.col("component").alias("group"))
@@ -294,6 +353,5 @@ def link_classes(docs: DataFrame, threshold: int = THRESHOLD, words: int = SHING
     linked = connected_components(cut(links), "a", "b").select(F.col("id").alias("set_uid"), "component")
     classes = sets.join(linked, "set_uid", "left").withColumn("component", F.coalesce("component", "set_uid"))
     smallest = classes.groupBy("component").agg(F.min("set_id").alias("component_id"))
-    classes = classes.join(smallest, "component").select("n", "h1", "h2", "set_id", "component_id")
-    out = described.select("doc_id", "n", "h1", "h2").join(classes, ["n", "h1", "h2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("set_id", "doc_id").alias("set_id"))
+    classes = classes.join(smallest, "component").select("n", "h1", "h2", F.col("component").alias("class"), "component_id", "set_id")
+    return described.join(classes, ["n", "h1", "h2"], "left").select("doc_id", "uid", "n", "class", "component_id", "set_id")

@@ -5,13 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from catalog_engine.llm import decontaminate, embedding_dedup, html_text, line_dedup, ngram_join, ordered_shards, packing, sharding, token_rollup
+from catalog_engine.llm import decontaminate, embedding_dedup, html_text, line_dedup, ngram_join, ordered_shards, packing, quality, sharding, token_rollup
 from catalog_engine.llm.common import new_folder
 from catalog_engine.session import table
 
+
+
+def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier keeps."""
+    kept = quality.select_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return kept.select("doc_id", "expected_grade", "tail_probability", F.lit(True).alias("keep"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_stratified_shards": lambda spark, sf_dir: sharding.shard(table(spark, sf_dir, "documents")),
+    "op2_ordinal_quality": lambda spark, sf_dir: _selected(spark, sf_dir),
     "op3_embedding_neardup": lambda spark, sf_dir: embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings")),
     "op4_training_order": lambda spark, sf_dir: ordered_shards.materialise(table(spark, sf_dir, "documents"), ordered_shards.shards_folder(spark)),
     "op5_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents")),
