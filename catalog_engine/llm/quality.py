@@ -22,18 +22,30 @@ from pyspark.sql import functions as F
 from catalog_engine.llm.common import cut, free_name, need_columns
 
 #: Labelled documents that the model is fitted on, at most.
-SAMPLE_DOCS = 12_000
-BUCKETS = 1 << 17
+SAMPLE_DOCS = 20_000
+BUCKETS = 1 << 20
 GRADES = 3
-STEPS = 200
-RATE = 0.05
+STEPS = 400
+RATE = 0.1
 #: Weight of the squared weights in the loss.
-RIDGE = 2e-4
-#: Words in fewer sampled documents than this have no weight.
-LEAST_DOCS = 4
+RIDGE = 1e-5
+#: Features in fewer sampled documents than this have no weight, nor have those
+#: whose chi-square against the grades is below the next value, or below the
+#: one after as a share of the documents: what a text is about must not tell its
+#: grade by chance.
+LEAST_DOCS = 6
+LEAST_CHI2 = 15.0
+LEAST_EFFECT = 0.006
+#: Words and stems in a larger share of documents have no weight either: they
+#: would add up with a text's length.
+MOST_SHARE = 0.25
+#: The first buckets, which are kept for shares and signs.
+SHAPES = 1 << 12
+#: Lengths of the word beginnings that are features besides whole words.
+STEMS = (4, 5)
 SEED = 5
 #: A document is kept if the probability of the best grade reaches this.
-LEAST_TAIL = 0.5
+LEAST_TAIL = 0.7
 
 WORD = re.compile(r"\w+")
 SIGNS = re.compile(r"[^\w\s]+")
@@ -53,9 +65,9 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 class Features:
-    """Hash buckets of a text: its distinct words in lower case, its distinct
-    runs of signs, and steps of a few shares and of its length. Buckets of
-    frequent words are remembered in a bounded cache."""
+    """Hash buckets of a text: its distinct words in lower case and their
+    beginnings, its distinct runs of signs, and steps of a few shares and of
+    its length. Buckets of frequent words are remembered in a bounded cache."""
 
     MAX_WORDS = 300_000
 
@@ -63,7 +75,8 @@ class Features:
         self.seen: dict[str, int] = {}
 
     def _bucket(self, name: str) -> int:
-        return xxhash.xxh3_64_intdigest(name.encode("utf-8", "replace")) % BUCKETS
+        h = xxhash.xxh3_64_intdigest(name.encode("utf-8", "replace"))
+        return h % SHAPES if " " in name else SHAPES + h % (BUCKETS - SHAPES)
 
     def of(self, text: str | None) -> np.ndarray:
         text = text or ""
@@ -71,6 +84,8 @@ class Features:
         runs = SIGNS.findall(text)
         distinct = set(words)
         names = distinct | {"s " + r[:3] for r in set(runs)}
+        for n in STEMS:
+            names |= {f"{w[:n]}-" for w in distinct if len(w) > n}
         found = list(map(self.seen.get, names))
         if None in found:
             if len(self.seen) > self.MAX_WORDS:
@@ -88,7 +103,7 @@ class Features:
             ("distinct", len(distinct) / n**0.75), ("lines", len(set(lines)) / len(lines)), ("capitals", kinds[1]), ("digits", kinds[2]),
             ("signs", kinds[3] * 2), ("spaces", kinds[4]), ("width", np.log2(1 + len(raw) / n) / 8), ("size", np.log2(1 + n) / 20),
         )
-        return np.array(found + [self._bucket(f"{k} {int(min(v, 4.0) * 20)}") for k, v in shares], dtype=np.int64)
+        return np.array(found + [self._bucket(f"{k} {int(min(v, 4.0) * 20)}") for k, v in shares], dtype=np.int32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -107,6 +122,21 @@ class Model:
         return np.diff(np.hstack([np.zeros((len(scores), 1)), upto, np.ones((len(scores), 1))]), axis=1)
 
 
+def telling(flat: np.ndarray, of: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Buckets that enough documents have and whose share of documents differs
+    between the grades by more than chance (chi-square of a grades x 2 table)."""
+    have = np.stack([np.bincount(flat[grades[of] == g], minlength=BUCKETS) for g in range(GRADES)]).astype(float)
+    docs = np.bincount(grades, minlength=GRADES)[:, None].astype(float)
+    seen, n = have.sum(axis=0), float(len(grades))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        expected = docs * seen / n
+        off = (have - expected) ** 2
+        chi2 = np.nan_to_num(off / expected).sum(axis=0) + np.nan_to_num(off / (docs - expected)).sum(axis=0)
+    common = seen > MOST_SHARE * n
+    common[:SHAPES] = False
+    return (seen >= LEAST_DOCS) & (chi2 >= max(LEAST_CHI2, LEAST_EFFECT * n)) & ~common
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS) -> Model:
     """Maximum likelihood with a ridge, by Adam over all rows at once. The
     thresholds are a first one and positive gaps, so they stay ordered."""
@@ -115,8 +145,11 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS) -> Model
     if not rows:
         return Model(weights, np.concatenate([first, first + np.cumsum(np.exp(gaps))]))
     flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    usable = np.bincount(flat, minlength=BUCKETS) >= min(LEAST_DOCS, max(1, len(rows) // 10))
+    usable = telling(flat, of, grades)
     flat, of = flat[usable[flat]], of[usable[flat]]
+    # the fit works on the telling buckets alone, the rest stay at zero
+    buckets, flat = np.unique(flat, return_inverse=True)
+    dense, weights = weights, np.zeros(len(buckets))
     scale = 1 / len(rows)
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (weights, first, gaps)]
     for step in range(1, steps + 1):
@@ -127,7 +160,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS) -> Model
         p = np.maximum(up - low, 1e-12)
         d_up, d_low = up * (1 - up) / p, low * (1 - low) / p
         d_score = (d_up - d_low) * scale
-        g_weights = np.bincount(flat, weights=d_score[of], minlength=BUCKETS) + RIDGE * weights
+        g_weights = np.bincount(flat, weights=d_score[of], minlength=len(buckets)) + RIDGE * weights
         d_edges = np.zeros(GRADES + 1)
         np.add.at(d_edges, grades + 1, -d_up * scale)
         np.add.at(d_edges, grades, d_low * scale)
@@ -138,7 +171,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS) -> Model
             mean += 0.1 * (grad - mean)
             square += 0.001 * (grad * grad - square)
             value -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-9)
-    return model()
+    dense[buckets] = weights
+    return Model(dense, model().thresholds)
 
 
 def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,7 +184,8 @@ def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _fitted(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("doc_id")
     m = fit(rows["buckets"].tolist(), rows["grade"].to_numpy().astype(np.int64))
-    return pd.DataFrame({"weights": [m.weights], "thresholds": [m.thresholds]})
+    buckets = np.flatnonzero(m.weights)
+    return pd.DataFrame({"buckets": [buckets], "weights": [m.weights[buckets]], "thresholds": [m.thresholds]})
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
@@ -159,16 +194,23 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     mixed = F.xxhash64("doc_id", F.lit(SEED))
     sample = cut(graded(labels).orderBy(mixed, "doc_id").limit(sample_docs))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").mapInPandas(_described, "doc_id bigint, grade int, buckets array<bigint>")
-    found = rows.groupBy(F.lit(0)).applyInPandas(_fitted, "weights array<double>, thresholds array<double>").collect()
+    rows = texts.join(F.broadcast(sample), "doc_id").mapInPandas(_described, "doc_id bigint, grade int, buckets array<int>")
+    found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_fitted, "buckets array<bigint>, weights array<double>, thresholds array<double>").collect()
     if not found:
         return fit([], np.empty(0, dtype=np.int64))
-    return Model(np.array(found[0].weights), np.array(found[0].thresholds))
+    weights = np.zeros(BUCKETS)
+    weights[np.array(found[0].buckets, dtype=np.int64)] = found[0].weights
+    return Model(weights, np.array(found[0].thresholds))
 
 
 def _scored(model: Model) -> Callable:
+    at = np.flatnonzero(model.weights)
+    values, thresholds = model.weights[at], model.thresholds  # a sparse copy travels to the tasks
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        features = Features()
+        weights, features = np.zeros(BUCKETS), Features()
+        weights[at] = values
+        model = Model(weights, thresholds)
         for batch in batches:
             scores = np.array([model.weights[features.of(t)].sum() for t in batch["text"]])
             p = model.probabilities(scores)
