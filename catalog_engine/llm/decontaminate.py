@@ -35,9 +35,9 @@ EDIT_SHARE = 0.2
 RUN = 3
 #: Items with fewer words are matched by no near copy and left out.
 LEAST_WORDS = 5
-WALKS = 4
-SAMPLES_PER_WALK = 8
-PLACES = 6
+WALKS = 6
+SAMPLES_PER_WALK = 10
+PLACES = 4
 SEED = 97
 #: Bytes of item text that are sent to every task at once; larger benchmarks
 #: take several passes.
@@ -218,8 +218,8 @@ def _searched(items: list[tuple]) -> Callable:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """One row per document and benchmark item that it holds: ``doc_id,
-    item_id, start_word, edits, n_words`` (the place with the fewest edits, the
-    first of those; ``n_words`` of the item is not needed to read it).
+    item_id, start_word, edits`` (the place with the fewest edits, the
+    first of those).
 
     A match is a run of words that becomes the item by at most a fifth of the
     item's words in insertions, deletions and replacements; words are ``\\w+`` in

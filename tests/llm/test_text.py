@@ -78,7 +78,7 @@ def test_decontamination_recall_and_precision(spark):
 
 def test_decontamination_finds_all_exact_passages(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
-    docs = [(i, "Before it.\n" + t.upper().replace(" ", "  ") + "\nafter") for i, t in items]
+    docs = [(i, "Before it.\n" + "".join(c.upper() if c.isascii() else c for c in t).replace(" ", "  ") + "\nafter") for i, t in items]
     out = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in out}
     assert all(r.edits == 0 and r.start_word == 2 for r in out if r.doc_id == r.item_id)
