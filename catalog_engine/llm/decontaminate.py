@@ -9,10 +9,11 @@ repeated over several walks, make item-sized windows of the documents and the
 items collide with a target recall; what collides is verified by the exact edit
 distance.
 
-Windows are cut where they can matter: k edits leave a run of three words of an
-item of m words whole if (m - k) / (k + 1) > 2, which ``edits_allowed`` sees
-to, so a window starts where a three-word run of the document, found at its
-place in an item, puts the item's start.
+Windows are cut where they can matter: each of k edits breaks at most three of
+an item's m - 2 runs of three words, so a copy holds m - 2 - 3 k of them at
+places that differ from the item's by k at most. A window starts where a run of
+the document, found at its place in an item, puts the item's start, if as many
+runs put one nearby.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -55,10 +57,9 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_ids(text: str | None) -> np.ndarray:
-    """64-bit hashes of the words of a whole text, in lower case."""
-    words = WORD.findall((text or "").lower())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace")) for w in words), dtype=np.uint64, count=len(words))
+def words_of(text: str | None) -> list[str]:
+    """The words of a whole text, in lower case."""
+    return WORD.findall((text or "").lower())
 
 
 def edits_allowed(words: int) -> int:
@@ -70,15 +71,6 @@ def edits_allowed(words: int) -> int:
     return k
 
 
-def runs(ids: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of three words."""
-    n = max(0, len(ids) - RUN + 1)
-    out = np.zeros(n, dtype=np.uint64)
-    for k in range(RUN):
-        out = _mix(out * _M1 + ids[k : k + n])
-    return out
-
-
 def walk(windows: np.ndarray, seed: int) -> np.ndarray:
     """CGK strings of rows of word ids: 3 m places for windows of m words."""
     rows, m = windows.shape
@@ -123,82 +115,106 @@ def edit_distances(texts: np.ndarray, items: np.ndarray) -> np.ndarray:
 
 
 class Benchmark:
-    """Items by size, their run places and their LSH buckets."""
+    """Items by size, their run places and their LSH buckets. Words that no
+    item has are all one (``PAD``), which equals no word of an item."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
+        self.vocabulary: dict[str, int] = {}
         self.sizes: dict[int, np.ndarray] = {}
-        self.ids: dict[int, list] = {}
+        self.ids_of: dict[int, list] = {}
         by_size = defaultdict(list)
         for item_id, text in items:
-            ids = word_ids(text)
-            if len(ids) >= LEAST_WORDS:
-                by_size[len(ids)].append((item_id, ids))
+            words = words_of(text)
+            if len(words) >= LEAST_WORDS:
+                ids = [self.vocabulary.setdefault(w, xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace")) or 1) for w in words]
+                by_size[len(words)].append((item_id, np.array(ids, dtype=np.uint64)))
         found = []
-        self.buckets: dict[int, list[dict]] = {}
+        self.buckets: dict[int, list[tuple]] = {}
         for m, own in by_size.items():
-            self.ids[m], self.sizes[m] = [i for i, _ in own], np.stack([w for _, w in own])
+            self.ids_of[m], self.sizes[m] = [i for i, _ in own], np.stack([w for _, w in own])
             for w in self.sizes[m]:
-                r = runs(w)
+                r = runs_at(w, np.arange(len(w) - RUN + 1))
                 found += zip(r.tolist(), [m] * len(r), range(len(r)))
             self.buckets[m] = []
             for s in range(WALKS):
                 for column in bit_samples(walk(self.sizes[m], SEED + s), SEED + s).T:
-                    bucket = defaultdict(list)
-                    for at, h in enumerate(column.tolist()):
-                        bucket[h].append(at)
-                    keys = np.array(sorted(bucket), dtype=np.uint64)
-                    self.buckets[m].append((keys, [bucket[k] for k in keys.tolist()]))
+                    members = np.argsort(column, kind="stable")
+                    keys, firsts = np.unique(column[members], return_index=True)
+                    self.buckets[m].append((keys, np.r_[firsts, len(members)], members))
         found = sorted(set(found))
         self.run_keys, starts = np.unique(np.array([f[0] for f in found], dtype=np.uint64), return_index=True)
         self.run_starts = np.r_[starts, len(found)]
         self.run_sizes = np.array([f[1] for f in found], dtype=np.int64)
         self.run_places = np.array([f[2] for f in found], dtype=np.int64)
 
-    def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(size, start) of the windows of a document where an item may lie."""
-        if not len(self.run_keys):
-            return (np.empty(0, dtype=np.int64),) * 2
-        own = runs(ids)
+    def ids(self, text: str | None) -> np.ndarray:
+        words = words_of(text)
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), dtype=np.uint64, count=len(words))
+
+    def windows(self, ids: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(size, starts) of the windows where an item may lie; ``begins``
+        holds the document's first word for every word."""
+        known = np.flatnonzero((ids[:-2] != PAD) & (ids[1:-1] != PAD) & (ids[2:] != PAD)) if len(ids) >= RUN else np.empty(0, dtype=np.int64)
+        own = runs_at(ids, known)
+        if not len(self.run_keys) or not len(own):
+            return
         at = np.minimum(np.searchsorted(self.run_keys, own), len(self.run_keys) - 1)
-        hits = np.flatnonzero(self.run_keys[at] == own)
-        count = self.run_starts[at[hits] + 1] - self.run_starts[at[hits]]
-        entry = np.repeat(self.run_starts[at[hits]], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        start = np.maximum(0, np.repeat(hits, count) - self.run_places[entry])
-        both = np.unique(np.stack([self.run_sizes[entry], start]), axis=1)
-        return both[0], both[1]
-
-
-def _cut(ids: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    padded = np.r_[ids, np.full(width, PAD, dtype=np.uint64)]
-    return padded[starts[:, None] + np.arange(width)]
+        good = self.run_keys[at] == own
+        hits, at = known[good], at[good]
+        count = self.run_starts[at + 1] - self.run_starts[at]
+        entry = np.repeat(self.run_starts[at], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        hits = np.repeat(hits, count)
+        sizes, starts = self.run_sizes[entry], hits - self.run_places[entry]
+        for m in np.unique(sizes).tolist():
+            own, k = sizes == m, edits_allowed(m)
+            order = np.argsort(starts[own], kind="stable")
+            place, begin = starts[own][order], begins[hits[own]][order]
+            near = np.searchsorted(place, place + k, "right") - np.searchsorted(place, place - k, "left")
+            enough = near >= max(1, m - RUN + 1 - RUN * k)
+            # a start before the document tells that its first words are missing
+            yield m, np.unique(np.maximum(place, begin)[enough])
+
+
+def runs_at(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Hashes of the runs that begin at some places."""
+    out = np.zeros(len(places), dtype=np.uint64)
+    for k in range(RUN):
+        out = _mix(out * _M1 + ids[places + k])
+    return out
 
 
-def matches(benchmark: Benchmark, docs: list[np.ndarray]) -> list[tuple[int, int | None, int, int]]:
+def matches(benchmark: Benchmark, texts: list[str | None]) -> list[tuple[int, int | None, int, int]]:
     """(document, item id, start, edits) for every window that an item matches."""
-    found: dict[int, list] = defaultdict(list)
-    for d, ids in enumerate(docs):
-        for m, start in zip(*(x.tolist() for x in benchmark.windows(ids))):
-            found[m].append((d, start))
+    docs = [benchmark.ids(t) for t in texts]
+    gap = 2 * max(benchmark.sizes, default=0) + RUN
+    # documents one after another, with room between them that fits no item
+    line = np.concatenate([np.r_[d, np.full(gap, PAD, dtype=np.uint64)] for d in docs])
+    lengths = np.array([len(d) + gap for d in docs])
+    firsts = np.cumsum(lengths) - lengths
     out = []
-    for m, places in found.items():
+    for m, starts in benchmark.windows(line, np.repeat(firsts, lengths)):
         k = edits_allowed(m)
-        for s in range(0, len(places), WINDOWS):
-            part = places[s : s + WINDOWS]
-            wide = np.concatenate([_cut(docs[d], np.array([start]), m + k) for d, start in part])
-            candidates = set()
+        for s in range(0, len(starts), WINDOWS):
+            part = starts[s : s + WINDOWS]
+            wide = line[part[:, None] + np.arange(m + k)]
+            pairs = []
             for w in range(WALKS):
                 strings = walk(np.ascontiguousarray(wide[:, :m]), SEED + w)
                 for r, column in enumerate(bit_samples(strings, SEED + w).T):
-                    keys, members = benchmark.buckets[m][w * SAMPLES_PER_WALK + r]
+                    keys, firsts_of, members = benchmark.buckets[m][w * SAMPLES_PER_WALK + r]
                     at = np.minimum(np.searchsorted(keys, column), len(keys) - 1)
-                    candidates.update((row, i) for row in np.flatnonzero(keys[at] == column).tolist() for i in members[at[row]])
-            if not candidates:
-                continue
-            rows, items = np.array(sorted(candidates)).T
+                    rows = np.flatnonzero(keys[at] == column)
+                    count = firsts_of[at[rows] + 1] - firsts_of[at[rows]]
+                    which = np.repeat(firsts_of[at[rows]], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    pairs.append(np.repeat(rows, count) * len(benchmark.ids_of[m]) + members[which])
+            rows, items = np.divmod(np.unique(np.concatenate(pairs)), len(benchmark.ids_of[m]))
             for t in range(0, len(rows), WINDOWS):
                 r, i = rows[t : t + WINDOWS], items[t : t + WINDOWS]
                 edits = edit_distances(wide[r], benchmark.sizes[m][i])
-                out += [(part[r[x]][0], benchmark.ids[m][i[x]], part[r[x]][1], int(edits[x])) for x in np.flatnonzero(edits <= k)]
+                for x in np.flatnonzero(edits <= k).tolist():
+                    start = part[r[x]]
+                    d = int(np.searchsorted(firsts, start, "right")) - 1
+                    out.append((d, benchmark.ids_of[m][i[x]], int(start - firsts[d]), int(edits[x])))
     return out
 
 
@@ -209,7 +225,7 @@ def _searched(items: list[tuple]) -> Callable:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
                 own = part["doc_id"].to_numpy()
-                rows = [(own[d], item, start, edits) for d, item, start, edits in matches(benchmark, [word_ids(t) for t in part["text"]])]
+                rows = [(own[d], item, start, edits) for d, item, start, edits in matches(benchmark, part["text"].tolist())]
                 out = pd.DataFrame(rows, columns=["doc_id", "item_id", "start_word", "edits"])
                 yield out.astype({"doc_id": "Int64", "item_id": "Int64", "start_word": "int64", "edits": "int64"})
 
