@@ -22,6 +22,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -45,6 +46,8 @@ SEED = 97
 #: take several passes.
 PASS_BYTES = 32 << 20
 WINDOWS = 20_000
+#: Documents whose windows are embedded together.
+BLOCK_DOCS = 2500
 
 WORD = re.compile(r"\w+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -218,12 +221,18 @@ def matches(benchmark: Benchmark, texts: list[str | None]) -> list[tuple[int, in
     return out
 
 
-def _searched(items: list[tuple]) -> Callable:
+@lru_cache(maxsize=1)
+def _benchmark(items: tuple) -> Benchmark:
+    """Built once per Python worker."""
+    return Benchmark(list(items))
+
+
+def _searched(items: tuple) -> Callable:
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        benchmark = Benchmark(items)
+        benchmark = _benchmark(items)
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
+            for at in range(0, len(batch), BLOCK_DOCS):
+                part = batch.iloc[at : at + BLOCK_DOCS]
                 own = part["doc_id"].to_numpy()
                 rows = [(own[d], item, start, edits) for d, item, start, edits in matches(benchmark, part["text"].tolist())]
                 out = pd.DataFrame(rows, columns=["doc_id", "item_id", "start_word", "edits"])
@@ -252,7 +261,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, pass_bytes: int = PASS_B
     passes = total // pass_bytes + 1
     out = None
     for p in range(passes):
-        part = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p).collect()]
+        part = tuple(tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p).collect())
         found = docs.mapInPandas(_searched(part), "doc_id bigint, item_id bigint, start_word bigint, edits bigint")
         out = found if out is None else out.union(found)
     best = F.min(F.struct("edits", "start_word"))
