@@ -27,6 +27,8 @@ from catalog_engine.llm.common import cached_tokenizer, need_columns, new_folder
 
 SEQUENCE = 1024
 SLOTS_PER_SHARD = 8192
+#: zstd level of records on their way to their shard.
+RECORD_LEVEL = 6
 KEY = 0x5EED_0F_0DE5
 ROUNDS = 6
 #: Ids are stored as little-endian unsigned 16-bit integers; the vocabulary has 49,408.
@@ -65,7 +67,7 @@ def _sequences(vocabulary: str, length: int) -> Callable:
     end, pad, width = np.array([END_ID], dtype=DTYPE).tobytes(), np.array([PAD_ID], dtype=DTYPE).tobytes(), length * size
 
     def cut_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, compressor, partition = cached_tokenizer(vocabulary, DTYPE), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId()
+        tokens, compressor, partition = cached_tokenizer(vocabulary, DTYPE), zstandard.ZstdCompressor(level=RECORD_LEVEL), TaskContext.get().partitionId()
         stream, inside, rows, at = bytearray(), [], [], 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
