@@ -219,17 +219,27 @@ def judged_subtrees(page: str | None) -> list[int]:
     return sorted({hashes[id(n)] for n in _walk(root) if n is not root and id(n) not in inside and n.name not in INLINE and n.name not in ("body", "article", "main", "head") and n.parts})
 
 
-def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+#: Pages whose results leave a task at once.
+BLOCK_PAGES = 1000
+
+
+def _blocks_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [judged_subtrees(h) for h in batch["html"]]
+        for at in range(0, len(batch), BLOCK_PAGES):
+            yield batch.iloc[at : at + BLOCK_PAGES]
+
+
+def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in _blocks_of(batches):
+        found = [judged_subtrees(h) for h in part["html"]]
         counts = [len(f) for f in found]
-        yield pd.DataFrame({"host": np.repeat(batch["host"].to_numpy(dtype=object), counts), "page": np.repeat(batch["page"].to_numpy(), counts), "subtree": np.array([s for f in found for s in f], dtype=np.int64)})
+        yield pd.DataFrame({"host": np.repeat(part["host"].to_numpy(dtype=object), counts), "page": np.repeat(part["page"].to_numpy(), counts), "subtree": np.array([s for f in found for s in f], dtype=np.int64)})
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        text = [main_text(h, frozenset(t) if t is not None else frozenset()) for h, t in zip(batch["html"], batch["template"])]
-        yield batch[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
+    for part in _blocks_of(batches):
+        text = [main_text(h, frozenset(t) if t is not None else frozenset()) for h, t in zip(part["html"], part["template"])]
+        yield part[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
 
 
 def host_of(url):
@@ -261,3 +271,19 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
         lists = F.broadcast(lists)
     out = pages.select("page_id", "url", "html", "host").join(lists, "host", "left").select("page_id", "url", "html", "template")
     return out.mapInPandas(_texts, "page_id bigint, url string, text string, n_chars bigint")
+
+
+#: SQL that gives the same rows in DuckDB on pages made as the given ones are:
+#: one article of a headline and paragraphs, bold text and line breaks, and the
+#: character references of an escaping writer.
+ORACLE_SQL = r"""
+WITH article AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', ' ', 'g'), '</?b>', '', 'g') AS body FROM pages
+), cut AS (
+  SELECT page_id, url, list_transform(string_split(regexp_replace(body, '</?(h1|p)>', chr(1), 'g'), chr(1)),
+    lambda x: replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')) AS parts FROM article
+), joined AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10) || chr(10)) AS text FROM cut
+)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM joined
+"""

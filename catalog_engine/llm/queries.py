@@ -34,5 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the queries that SQL can express over whole tables.
 ORACLE: dict[str, str] = {
+    "op1_stratified_shards": sharding.oracle_sql(),
     "op8_line_dedup": line_dedup.ORACLE_SQL,
+    "op10_html_text": html_text.ORACLE_SQL,
 }

@@ -62,3 +62,34 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), F.col("shard").cast("int").alias("shard"),
         (F.col("place") - begins).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "source",
     )
+
+
+def oracle_sql(shards: int = SHARDS, seed: int = SEED) -> str:
+    """The same rows in DuckDB, which has no crc32: it is folded over the bytes
+    with the table of its polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    # the first element of a reduction is its start, which list_prepend puts there
+    fold = f"list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(({table})[(xor(c, b) & 255) + 1], c >> 8))"
+    return f"""
+WITH raw AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 'v' || source END AS stratum,
+         md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')) AS mixed, (length(h) // 2 + 8)::BIGINT AS size,
+         list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS bytes
+  FROM raw
+), summed AS (
+  SELECT * EXCLUDE (bytes), xor({fold}, 4294967295)::BIGINT AS text_crc32 FROM sized
+), ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY mixed, doc_id NULLS FIRST, size, text_crc32) - 0.5::DOUBLE)
+            / count(*) OVER (PARTITION BY stratum) AS share FROM summed
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY share, stratum, mixed, doc_id NULLS FIRST, size, text_crc32) - 1 AS place, count(*) OVER () AS total FROM ranked
+), dealt AS (SELECT *, place * {shards} // total AS shard FROM placed)
+SELECT doc_id, size, text_crc32, '{LAW}' AS law, shard::INTEGER AS shard,
+       (place - (shard * total + {shards - 1}) // {shards})::BIGINT AS slot, NULL::INTEGER AS grown_shard, source FROM dealt
+"""
