@@ -1,17 +1,16 @@
 """Product-page extraction (E1-E19) as built-in expressions.
 
 One projection turns a page ``(url, html, page_number)`` into the product
-record: regular expressions pick the elements the reference selects
-(first match in document order = first regex match; ``::text`` = the text
-directly after the opening tag), array functions build the ingredient,
-hashtag and highlight lists. Everything stays in the JVM, one pass per
-page, no UDF.
-
-Selector semantics kept: ``.get()`` returns the first match or nothing;
-a value is present when its raw text is non-empty (Python truthiness)
-and is then stripped of Unicode whitespace (so whitespace-only text
-becomes ''). Nested markup inside the selected element is not parsed
-(the first direct text node is taken only when it precedes any child).
+record. The elements that the reference selects are found by tag, id and class
+token and cut at their own end tag first, so that nothing outside them is
+taken; array functions build the ingredient, hashtag and highlight lists.
+Everything stays in the JVM, one pass per page, no UDF.
+
+Selector semantics kept: the first match is taken or nothing; ``::text`` is
+text directly in the element, not in its children; a value is present when its
+raw text is non-empty and is then stripped of Unicode whitespace (so
+whitespace-only text becomes ''). Comments are ignored, character references
+decoded.
 """
 
 from __future__ import annotations
@@ -19,46 +18,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions.similarity import let
 from ..functions.text import ustrip
 from ..functions.urls import resolve_url
 from ..session import spread_for_compute
 
 # Fixed values (must equal the reference's selectors and rules):
-TITLE_RE = r'<span\b[^>]*\bid="product-title"[^>]*>([^<]*)'
-BRAND_RE = r'(?s)<span\b[^>]*\bid="product-brand-title"[^>]*>.*?<a\b[^>]*>([^<]*)'
-DETAILS_RE = r'<span\b[^>]*\bid="product-details"[^>]*>([^<]*)'
-IMAGE_RE = r'(?s)<div\b[^>]*\bclass="image"[^>]*>.*?<img\b[^>]*\bsrc="([^"]*)"'
-TABLE_RE = r'(?s)<div\b[^>]*\bid="ingredlist-table-section"[^>]*>.*?<table\b[^>]*\bclass="product-skim"[^>]*>(.*?)</table>'
-TBODY_RE = r'(?s)<tbody\b[^>]*>(.*?)</tbody>'
-ROW_RE = r'(?s)<tr\b[^>]*>(.*?)</tr>'
-CELL_RE = r'(?s)<td\b[^>]*>(.*?)</td>'
-LINK_TEXT_RE = r'<a\b[^>]*>([^<]*)'
-LINK_HREF_RE = r'<a\b[^>]*\bhref="([^"]*)"'
-IRRITANCY_RE = r'<span\b[^>]*\btitle="([^"]*irritancy[^"]*)"'
-COMEDOGENICITY_RE = r'<span\b[^>]*\btitle="([^"]*comedogenicity[^"]*)"'
-OUR_TAKE_RE = r'<span\b[^>]*\bclass="our-take"[^>]*>([^<]*)'
-HIGHLIGHTS_RE = r'(?s)<div\b[^>]*\bid="ingredlist-highlights-section"[^>]*>(.*)'
-HASHTAG_RE = r'<span\b[^>]*\bclass="hashtag"[^>]*>([^<]*)'
-BLOCK_RE = r'(?s)<div\b[^>]*\bclass="ingredlist-by-function-block"[^>]*>(.*?</div>)\s*</div>'
-FUNC_DIV_RE = r'(?s)<div>(.*?)</div>'
-BOLD_LINK_RE = r'(?s)<span\b[^>]*\bclass="bold"[^>]*>\s*<a\b[^>]*>([^<]*)'
-PLAIN_SPAN_RE = r'(?s)<span>(.*?)</span>'
+TITLE_ID, BRAND_ID, DETAILS_ID = "product-title", "product-brand-title", "product-details"
+IMAGE_CLASS = "image"
+TABLE_SECTION_ID, TABLE_CLASS = "ingredlist-table-section", "product-skim"
+IRRITANCY, COMEDOGENICITY, OUR_TAKE_CLASS = "irritancy", "comedogenicity", "our-take"
+HIGHLIGHTS_ID, HASHTAG_CLASS = "ingredlist-highlights-section", "hashtag"
+BLOCK_CLASS, BOLD_CLASS = "ingredlist-by-function-block", "bold"
 HIGH_RES_SUFFIX = "_original.jpeg"
 
 INGREDIENT = ("struct<name:string,ingredient_link:string,what_it_does:array<string>,"
               "irritancy_values:array<string>,comedogenicity_values:array<string>,id_rating:string>")
 
 
-def first(s: Column, pattern: str) -> Column:
-    """First capture of ``pattern`` in ``s``, NULL when nothing matches."""
-    return F.try_element_at(F.regexp_extract_all(s, F.lit(pattern), 1), F.lit(1))
-
-
-def all_of(s: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(s, F.lit(pattern), 1)
-
-
 def _present(raw: Column) -> Column:
     return raw.isNotNull() & (raw != "")
 
@@ -81,48 +59,49 @@ def _rating_values(titles: Column) -> Column:
 
 
 def _ingredient(row_html: Column, page_url: Column) -> Column:
-    return let(all_of(row_html, CELL_RE), lambda cells: _ingredient_of_cells(cells, page_url))
+    return let(H.all_inner(row_html, "td"), lambda cells: _ingredient_of_cells(cells, page_url))
 
 
 def _ingredient_of_cells(cells: Column, page_url: Column) -> Column:
-    c1 = F.try_element_at(cells, F.lit(1))
-    c2 = F.try_element_at(cells, F.lit(2))
-    c3 = F.try_element_at(cells, F.lit(3))
-    c4 = F.try_element_at(cells, F.lit(4))
-    name_raw = first(c1, LINK_TEXT_RE)
-    href = first(c1, LINK_HREF_RE)
-    funcs = all_of(c2, LINK_TEXT_RE)
-    take = first(c4, OUR_TAKE_RE)
+    c1, c2, c3, c4 = (F.try_element_at(cells, F.lit(i)) for i in (1, 2, 3, 4))
+    name_raw = H.first_of(H.texts_of(c1, "a"))
+    href = H.attribute(c1, "a", "href")
+    funcs = H.texts_of(c2, "a")
+    titles = H.attributes(c3, "span", "title")
+    take = H.first_of(H.texts_of(c4, "span", H.has_class(OUR_TAKE_CLASS)))
     return F.struct(
         _strip_if_present(name_raw).alias("name"),
         F.when(_present(href), resolve_url(page_url, href)).alias("ingredient_link"),
         F.when(F.size(funcs) > 0, _strip_nonblank(funcs)).alias("what_it_does"),
-        _rating_values(all_of(c3, IRRITANCY_RE)).alias("irritancy_values"),
-        _rating_values(all_of(c3, COMEDOGENICITY_RE)).alias("comedogenicity_values"),
+        _rating_values(F.filter(titles, lambda t: F.contains(t, F.lit(IRRITANCY)))).alias("irritancy_values"),
+        _rating_values(F.filter(titles, lambda t: F.contains(t, F.lit(COMEDOGENICITY)))).alias("comedogenicity_values"),
         _strip_if_present(take).alias("id_rating"))
 
 
 def ingredients(html: Column, page_url: Column) -> Column:
-    """Ingredient rows of the product table, nameless rows dropped,
+    """Ingredient rows of the product tables, nameless rows dropped,
     first occurrence of a name kept, document order; [] without a table."""
-    table = first(html, TABLE_RE)
-    body = F.coalesce(first(table, TBODY_RE), F.lit(""))
-    rows = all_of(body, ROW_RE)
-    items = F.transform(rows, lambda r: _ingredient(r, page_url))
+    section = H.inner(html, "div", H.attr_is("id", TABLE_SECTION_ID))
+
+    def of_tables(tables):
+        bodies = F.flatten(F.transform(tables, lambda t: H.all_inner(t, "tbody")))
+        rows = F.flatten(F.transform(bodies, lambda b: H.all_inner(b, "tr")))
+        return F.transform(rows, lambda r: _ingredient(r, page_url))
 
     def first_wins(named):
         # keep an item when its name first occurs at its own position
         return let(F.transform(named, lambda y: y["name"]),
                    lambda names: F.filter(named, lambda x, i: F.array_position(names, x["name"]) == i + 1))
 
+    items = let(H.all_inner(section, "table", H.has_class(TABLE_CLASS)), of_tables)
     dedup = let(F.filter(items, lambda x: x["name"].isNotNull() & (x["name"] != "")), first_wins)
-    return F.when(table.isNull(), F.array().cast(f"array<{INGREDIENT}>")).otherwise(dedup)
+    return F.coalesce(dedup, F.array().cast(f"array<{INGREDIENT}>"))
 
 
 def hashtags(section: Column) -> Column:
     """Hashtag texts of the highlights section, blanks removed;
     absent when the section or its hashtags are missing."""
-    tags = all_of(section, HASHTAG_RE)
+    tags = H.texts_of(section, "span", H.has_class(HASHTAG_CLASS))
     return F.when(section.isNotNull() & (F.size(tags) > 0), _strip_nonblank(tags))
 
 
@@ -130,17 +109,19 @@ def highlights(section: Column) -> Column:
     """Per function block div, the bold link text (function) and the
     other link texts (ingredients); kept when both were found; absent when
     the list is empty."""
-    blocks = all_of(section, BLOCK_RE)
-    divs = F.flatten(F.transform(blocks, lambda b: all_of(b, FUNC_DIV_RE)))
+    block = ("div", H.has_class(BLOCK_CLASS))
+    blocks = F.transform(H.pieces_from(section, *block), lambda p: H.inner(p, *block))
+    divs = F.flatten(F.transform(blocks, lambda b: H.all_inner(b, "div")))
 
     def one(d):
         def build(fn, names):
             keep = _present(fn) & (F.size(names) > 0)
             return F.when(keep, F.struct(ustrip(fn).alias("function"),
                                          _strip_nonblank(names).alias("ingredients")))
-        return let(first(d, BOLD_LINK_RE), lambda fn: let(
-            F.flatten(F.transform(all_of(d, PLAIN_SPAN_RE), lambda s: all_of(s, LINK_TEXT_RE))),
-            lambda names: build(fn, names)))
+
+        bold = F.flatten(F.transform(H.all_inner(d, "span", H.has_class(BOLD_CLASS)), lambda s: H.texts_of(s, "a")))
+        other = F.flatten(F.transform(H.all_inner(d, "span", H.has_class(BOLD_CLASS, lacks=True)), lambda s: H.texts_of(s, "a")))
+        return let(H.first_of(bold), lambda fn: let(other, lambda names: build(fn, names)))
 
     return let(F.filter(F.transform(divs, one), lambda x: x.isNotNull()),
                lambda items: F.when(F.size(items) > 0, items))
@@ -152,18 +133,30 @@ def extract_products(pages: DataFrame, url: str = "url", html: str = "html",
     rows (E17) instead of failing the job."""
     if not pages.isStreaming:
         pages = spread_for_compute(pages)
-    h, u = F.col(html), F.col(url)
-    brand_raw, name_raw = first(h, BRAND_RE), first(h, TITLE_RE)
+    keep = [c for c in pages.columns if c not in (url, html, page_number)]
+    body = H.without_comments(F.col(html))
+    pages = pages.select(*keep, F.col(url).alias("_url"), F.col(page_number).alias("_page_number"), body.alias("_html"))
+    h = F.col("_html")
+
+    def span(ident):
+        return H.inner(h, "span", H.attr_is("id", ident))
+
+    # the raw values first: each is used several times below
+    pages = pages.select(
+        *keep, "_url", "_page_number", "_html",
+        H.first_of(H.texts_of(span(BRAND_ID), "a")).alias("_brand"), H.direct_text(span(TITLE_ID)).alias("_name"),
+        H.direct_text(span(DETAILS_ID)).alias("_details"),
+        H.attribute(H.inner(h, "div", H.has_class(IMAGE_CLASS)), "img", "src").alias("_image"),
+        H.inner(h, "div", H.attr_is("id", HIGHLIGHTS_ID)).alias("_section"))
+    u, brand_raw, name_raw, section = F.col("_url"), F.col("_brand"), F.col("_name"), F.col("_section")
     both = _present(brand_raw) & _present(name_raw)
-    image = first(h, IMAGE_RE)
-    image = F.when(_present(image), image)
-    section = first(h, HIGHLIGHTS_RE)
+    image = F.when(_present(F.col("_image")), F.col("_image"))
     ok = h.isNotNull() & (h != "")
     rec = [
         ("full_name", F.when(both, F.concat(ustrip(brand_raw), F.lit(" "), ustrip(name_raw)))),
         ("brand", _strip_if_present(brand_raw)),
         ("name", _strip_if_present(name_raw)),
-        ("description", _strip_if_present(first(h, DETAILS_RE))),
+        ("description", _strip_if_present(F.col("_details"))),
         ("image_url", image),
         ("high_res_image_url", F.when(F.contains(image, F.lit("@")),
                                       F.concat(F.substring_index(image, "@", 1), F.lit(HIGH_RES_SUFFIX)))),
@@ -171,11 +164,10 @@ def extract_products(pages: DataFrame, url: str = "url", html: str = "html",
         ("hashtags", hashtags(section)),
         ("highlights", highlights(section)),
     ]
-    keep = [c for c in pages.columns if c not in (url, html, page_number)]
     out = pages.select(
         *keep,
         *[F.when(ok, c).alias(n) for n, c in rec[:4]],
-        F.coalesce(F.col(page_number).cast("int"), F.lit(0)).alias("page_number"),
+        F.coalesce(F.col("_page_number").try_cast("int"), F.lit(0)).alias("page_number"),
         u.alias("url"),
         *[F.when(ok, c).alias(n) for n, c in rec[4:]],
         F.when(~ok, F.lit("empty or missing page body")).alias("error"))
@@ -189,7 +181,10 @@ def match_products(products: DataFrame, catalogue: DataFrame, threshold: float =
     from .matching import best_match_texts
     best = best_match_texts(products.select(F.col("full_name").alias("_text")), catalogue,
                             threshold=threshold, **kw)
-    j = products.join(best, products["full_name"].eqNullSafe(best["_text"]), "left")
+    named = products.filter(F.col("full_name").isNotNull())
+    nameless = products.filter(F.col("full_name").isNull())
+    j = (named.join(best, named["full_name"] == best["_text"], "left")
+         .unionByName(nameless, allowMissingColumns=True))
     return j.select(*[c for c in products.columns if c not in ("matched", "matched_name", "category")],
                     F.coalesce(F.col("matched"), F.lit(False)).alias("matched"),
                     "matched_name", "category")
