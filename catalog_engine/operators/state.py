@@ -20,15 +20,18 @@ ROUTES = ["emit_cached", "emit_rematched", "skip", "fetch"]
 
 
 def upsert(current: DataFrame, updates: DataFrame, key: str = "url",
-           order: tuple[str, ...] = ("version",)) -> DataFrame:
+           order: tuple[str, ...] = ("version", "pos")) -> DataFrame:
     """Last write wins per key; rows without a key are rejected.
 
-    ``order`` columns rank writes (later = larger). One shuffle on the key
-    with a partial arg-max on the map side, so a hot key collapses before
+    ``order`` columns rank writes (later = larger; those that the rows lack are
+    left out). Writes that tie in all of them are ranked by their content, so
+    the result does not depend on the order of the rows. One shuffle on the
+    key with a partial arg-max on the map side, so a hot key collapses before
     the exchange."""
     both = current.unionByName(updates, allowMissingColumns=True).filter(F.col(key).isNotNull())
     others = [c for c in both.columns if c != key]
-    latest = F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order]))
+    content = F.to_json(F.struct(*others))
+    latest = F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order if c in both.columns], content))
     return both.groupBy(key).agg(latest.alias("_r")).select(key, "_r.*")
 
 
@@ -91,7 +94,7 @@ def clear(state: DataFrame) -> DataFrame:
 
 def route_links(links: DataFrame, state: DataFrame, catalogue: DataFrame, *,
                 threshold: float = M.DEFAULT_THRESHOLD, key: str = "full_url",
-                broadcast_rows: int | None = None) -> DataFrame:
+                broadcast_rows: int | None = None, with_name: bool = False) -> DataFrame:
     """Route every link by its state row.
 
     * ``emit_cached``    cached and matched — served from the state;
@@ -101,7 +104,8 @@ def route_links(links: DataFrame, state: DataFrame, catalogue: DataFrame, *,
                          error rows).
 
     The page number comes from the link (refreshed for cached rows).
-    Re-matching scores each distinct stored name once.
+    Re-matching scores each distinct stored name once. ``with_name`` adds the
+    stored name as ``full_name``.
     """
     st = state.select(F.col("url").alias(key), F.lit(True).alias("cached"),
                       F.col("full_name").alias("cached_name"),
@@ -109,13 +113,16 @@ def route_links(links: DataFrame, state: DataFrame, catalogue: DataFrame, *,
                       F.col("matched_name").alias("cached_matched_name"),
                       F.col("category").alias("cached_category"))
     j = links.join(st, key, "left").withColumn("cached", F.coalesce("cached", F.lit(False)))
-    need = j.filter(F.col("cached") & ~F.col("cached_matched") & F.col("cached_name").isNotNull())
+    # only rows that need a match take part in the join on the name: links
+    # that are not in the state have none, and would all meet in one key
+    wants = F.coalesce(F.col("cached") & ~F.col("cached_matched") & F.col("cached_name").isNotNull(), F.lit(False))
+    need, settled = j.filter(wants), j.filter(~wants)
     kw = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
     rem = M.best_match_texts(need.select(F.col("cached_name").alias("_text")), catalogue,
                              threshold=threshold, **kw)
     rem = rem.select(F.col("_text").alias("cached_name"), F.col("matched").alias("re_matched"),
                      F.col("matched_name").alias("re_name"), F.col("category").alias("re_category"))
-    r = j.join(rem, "cached_name", "left")
+    r = need.join(rem, "cached_name", "left").unionByName(settled, allowMissingColumns=True)
     route = (F.when(~F.col("cached") | F.col("cached_name").isNull(), F.lit("fetch"))
              .when(F.col("cached_matched"), F.lit("emit_cached"))
              .when(F.coalesce(F.col("re_matched"), F.lit(False)), F.lit("emit_rematched"))
@@ -124,7 +131,7 @@ def route_links(links: DataFrame, state: DataFrame, catalogue: DataFrame, *,
     emitted_cached = F.col("route") == "emit_cached"
     emitted_re = F.col("route") == "emit_rematched"
     return out.select(
-        *links.columns, "cached", "route",
+        *links.columns, "cached", "route", *([F.col("cached_name").alias("full_name")] if with_name else []),
         F.when(emitted_cached | emitted_re, F.lit(True))
          .when(F.col("route") == "skip", F.lit(False)).alias("matched"),
         F.when(emitted_cached, F.col("cached_matched_name"))

@@ -42,14 +42,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) do we create one under the
-    system temp folder.
+    as is; when it is unset there, this raises, as no machine's own folder
+    would do. Only a local master gets a folder under the system temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:                      # already set (cluster or earlier call)
         return current
-    base = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="catalog-engine-ckpt-")
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    if not base and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = base or tempfile.mkdtemp(prefix="catalog-engine-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
 
@@ -61,6 +64,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its Hadoop file system. Storage errors are
+    raised, so that a failure is never taken for "not there"."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives
     executor loss, unlike a local checkpoint)."""
@@ -75,11 +85,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_for_compute(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the session's parallelism when the input
-    has fewer partitions than that, before CPU-heavy per-row work (HTML
-    extraction, pair scoring). Inputs that are already well split (many
-    files at scale) are left as they are — no extra shuffle."""
+    """Round-robin repartition to the session's parallelism before CPU-heavy
+    per-row work (HTML extraction, pair scoring). Whether the input needs it
+    is read from the size of the tables below it, without running any of its stages; inputs
+    that are already well split (many files at scale) are left as they are."""
     target = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if df.rdd.getNumPartitions() >= target:
+    per_task = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size >= target * per_task:
         return df
     return df.repartition(target)

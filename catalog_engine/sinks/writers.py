@@ -5,9 +5,10 @@
   the order keys, per-partition row numbers, per-partition counts turned
   into offsets over the (few) partitions, added back.
 * State snapshots (K2): every write goes to a new version folder below a
-  shared base path and is then published by writing a one-row pointer
-  table; readers follow the pointer, so a half-written version is never
-  seen and a re-run of the same version is idempotent (overwrite).
+  shared base path and is then published by a pointer row in a folder of its
+  own; pointers are never overwritten. Readers take the highest complete
+  pointer, so a half-written version is never seen. Only a missing folder
+  counts as an empty state; a storage failure is raised.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, path_exists
 
 # Fixed value (must equal the reference's default): products per file.
 BATCH_SIZE = 500
@@ -59,30 +60,53 @@ def write_summary(df: DataFrame, path: str) -> None:
 
 
 POINTER = T.StructType([T.StructField("version", T.LongType()),
-                        T.StructField("path", T.StringType())])
+                        T.StructField("path", T.StringType()),
+                        T.StructField("run_id", T.StringType()),
+                        T.StructField("batch_id", T.LongType()),
+                        T.StructField("size", T.LongType()),
+                        T.StructField("matched_count", T.LongType()),
+                        T.StructField("last_saved", T.TimestampType())])
 
 
-def publish_state(state: DataFrame, base: str, version: int, buckets: int = 64) -> str:
+def published(spark: SparkSession, base: str) -> DataFrame:
+    """K2: one row per published snapshot with its metadata (size, matched
+    count, time, and the run and micro-batch that wrote it)."""
+    folder = os.path.join(base, "_published")
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], POINTER)
+    # a pointer that broke off has no row: Spark commits the file as a whole
+    return spark.read.schema(POINTER).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def current_pointer(spark: SparkSession, base: str):
+    """The pointer row of the current snapshot, or None."""
+    return published(spark, base).orderBy(F.col("version").desc()).first()
+
+
+def publish_state(state: DataFrame, base: str, version: int, *, run_id: str = "", batch_id: int = -1,
+                  buckets: int | None = None) -> str:
     """K2: write ``state`` as snapshot ``version`` and publish it.
 
-    Rows are clustered by a hash of the url into ``buckets`` files so a
-    later incremental rewrite only touches the buckets it changes."""
+    Every version is a whole snapshot, clustered by a hash of the url;
+    ``buckets`` is the number of files (the session's shuffle parallelism
+    unless given)."""
     spark = state.sparkSession
     path = os.path.join(base, f"v={version:012d}")
-    (state.repartition(buckets, "url").sortWithinPartitions("url")
-     .write.mode("overwrite").parquet(path))
-    spark.createDataFrame([(version, path)], POINTER).coalesce(1) \
-        .write.mode("overwrite").parquet(os.path.join(base, "_current"))
+    spread = state.repartition(buckets, "url") if buckets else state.repartition("url")
+    spread.sortWithinPartitions("url").write.mode("overwrite").parquet(path)
+    written = spark.read.schema(state.schema).parquet(path)
+    matched = F.count_if(F.coalesce(F.col("matched"), F.lit(False))) if "matched" in state.columns else F.lit(0)
+    row = written.agg(F.lit(version).cast("long").alias("version"), F.lit(path).alias("path"),
+                      F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("long").alias("batch_id"),
+                      F.count(F.lit(1)).alias("size"), matched.cast("long").alias("matched_count"),
+                      F.current_timestamp().alias("last_saved"))
+    row.coalesce(1).write.mode("overwrite").parquet(os.path.join(base, "_published", f"v={version:012d}"))
     return path
 
 
 def read_state(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """The published snapshot, or an empty state when none exists."""
-    ptr = os.path.join(base, "_current")
-    try:
-        row = spark.read.parquet(ptr).orderBy(F.col("version").desc()).first()
-    except Exception:  # no pointer yet -> empty state
-        row = None
+    row = current_pointer(spark, base)
     if row is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(row["path"])

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists
+
 BATCH_SUMMARY = T.StructType([
     T.StructField("batch_number", T.IntegerType()),
     T.StructField("start_offset", T.LongType()),
@@ -36,7 +38,16 @@ def read_batch_summaries(spark: SparkSession, run_dir: str, schema: T.StructType
 def read_global_stats(spark: SparkSession, path: str) -> DataFrame:
     """Previous totals (other keys such as processed URLs are
     ignored by the schema); empty when nothing was saved yet."""
-    try:
-        return spark.read.schema(GLOBAL_STATS).json(path)
-    except Exception:  # no earlier stats
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], GLOBAL_STATS)
+    return spark.read.schema(GLOBAL_STATS).json(path)
+
+
+def read_latest_global_stats(spark: SparkSession, base: str) -> DataFrame:
+    """The totals that the last run below ``base`` left; empty before the
+    first run."""
+    folder = f"{base}/global_stats"
+    if not path_exists(spark, folder):
         return spark.createDataFrame([], GLOBAL_STATS)
+    rows = spark.read.schema(T.StructType([*GLOBAL_STATS, T.StructField("v", T.LongType())])).json(folder)
+    return rows.orderBy(F.col("v").desc()).limit(1).drop("v")

@@ -4,14 +4,16 @@
   ``maxFilesPerTrigger`` and ``trigger(availableNow=True)`` processes the
   pages present now in groups of files, then stops.
 * T2 resume: the query's ``checkpointLocation`` records which files were
-  committed; sinks are idempotent per ``batchId`` (each micro-batch
-  overwrites its own ``batch_id=N`` folder, or publishes state version
-  ``N``), so a replayed batch after a crash writes the same result.
+  committed; sinks are idempotent per run and ``batchId`` (a run is named by
+  its checkpoint): each micro-batch overwrites its own ``run=R/batch_id=N``
+  folder, or publishes the next state version with that mark, once; so a
+  replayed batch after a crash writes the same result, and a new run with a
+  new checkpoint adds to what earlier runs left.
 * T3 cross-batch URL dedup: inside each micro-batch the first occurrence
-  (offset, position) is kept, then URLs already written by earlier
-  batches are removed with an anti join against the output table.
+  (offset, page, position) is kept, then URLs already written by earlier
+  batches or runs are removed with an anti join against the output table.
 * T4 stream -> extract -> match -> state upsert, one state version per
-  micro-batch.
+  micro-batch, numbered on from the last published one.
 * T5 running totals: a streaming aggregation in complete mode whose
   result table is overwritten each micro-batch.
 
@@ -20,16 +22,18 @@ All folders live below the shared checkpoint folder (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import extract as E
 from ..operators import links as L
 from ..operators import state as ST
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 from ..sinks import writers as W
 
 
@@ -37,38 +41,52 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stage_files(df: DataFrame, path: str, files: int, order: str) -> None:
-    """Write ``df`` as ``files`` increments, one append after the other in
-    ``order`` (files arrive in crawl order, as they would from a crawler),
-    so a file stream sees the data in several micro-batches."""
+def run_name(checkpoint: str) -> str:
+    """A run is what one checkpoint records."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
+#: Files of one increment of ``stage_files``; a micro-batch takes as many.
+FILES_PER_INCREMENT = 2
+
+
+def stage_files(df: DataFrame, path: str, increments: int, order: str) -> None:
+    """Write ``df`` as ``increments`` increments, one append after the other
+    in ``order`` (files arrive in crawl order, as they would from a crawler),
+    so a file stream sees the data in several micro-batches. The table is
+    computed once; rows without an order key arrive first."""
+    spark, staged = df.sparkSession, f"{path}-staged"
     lo, hi = df.agg(F.min(order), F.max(order)).first()
-    if lo is None:
-        return
-    width = (hi - lo + 1) / files
-    bucket = F.floor((F.col(order) - F.lit(lo)) / F.lit(width))
-    for b in range(files):
-        df.filter(bucket == b).coalesce(1).write.mode("append").parquet(path)
+    width = ((hi - lo + 1) / increments) if lo is not None else 1
+    bucket = F.coalesce(F.floor((F.col(order) - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(0))
+    df.withColumn("_increment", bucket).write.partitionBy("_increment").parquet(staged)
+    rows = spark.read.schema(T.StructType([*df.schema, T.StructField("_increment", T.IntegerType())])).parquet(staged)
+    for b in range(increments):
+        (rows.filter(F.col("_increment") == b).drop("_increment")
+         .repartitionByRange(FILES_PER_INCREMENT, order).write.mode("append").parquet(path))
 
 
 def _read_done(spark: SparkSession, out: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(out)
-    except Exception:  # nothing written yet
+    if not path_exists(spark, out):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out)
 
 
 def run_link_stream(spark: SparkSession, source: str, out: str, checkpoint: str,
-                    schema, files_per_trigger: int = 1) -> None:
-    """T1 + T2 + T3: listing pages -> first-seen product links."""
-    link_cols = ["full_url", "page_id", "pos", "offset", "page_number", "batch_id"]
+                    schema, files_per_trigger: int = FILES_PER_INCREMENT) -> None:
+    """T1 + T2 + T3: listing pages -> first-seen product links. The links of
+    earlier runs below ``out`` count as seen."""
+    link_cols = ["full_url", "page_id", "pos", "offset", "page_number"]
+    run = run_name(checkpoint)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        links = L.first_seen(L.product_links(batch)).select(*link_cols[:-1])
-        done = _read_done(spark, out, links.schema.add("batch_id", "long"))
-        earlier = done.filter(F.col("batch_id") < batch_id).select("full_url")
-        new = links.join(earlier, "full_url", "left_anti")
-        # idempotent per batch: a replay overwrites its own folder
-        new.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        links = L.first_seen(L.product_links(batch)).select(*link_cols)
+        done = _read_done(spark, out, T.StructType([*links.schema, T.StructField("run", T.StringType()),
+                                                    T.StructField("batch_id", T.LongType())]))
+        own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+        new = links.join(done.filter(~own).select("full_url"), "full_url", "left_anti")
+        # idempotent: a replay overwrites its own folder
+        new.write.mode("overwrite").parquet(os.path.join(out, f"run={run}", f"batch_id={batch_id}"))
 
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
          .writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
@@ -77,19 +95,29 @@ def run_link_stream(spark: SparkSession, source: str, out: str, checkpoint: str,
 
 
 def run_state_stream(spark: SparkSession, source: str, state_base: str, checkpoint: str, schema,
-                     catalogue: DataFrame, threshold: float = 90, files_per_trigger: int = 1) -> None:
-    """T4: product pages -> extract -> match -> upsert into the state; the
-    state after micro-batch N is published as version N + 1."""
+                     catalogue: DataFrame, threshold: float = 90, files_per_trigger: int = FILES_PER_INCREMENT,
+                     after_publish=None) -> None:
+    """T4: product pages -> extract -> match -> upsert into the state. Each
+    micro-batch publishes the next version; one that is published already
+    (a replay after a crash) is left as it is. ``after_publish`` is called with
+    the batch id when a version stands."""
     from ..operators.extract import match_products
 
+    run = run_name(checkpoint)
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        products = match_products(E.extract_products(batch), catalogue, threshold=threshold)
-        rows = products.select("url", "full_name", "matched", "matched_name", "category", "page_number",
-                               "error", F.lit(batch_id).cast("long").alias("version"))
-        current = W.read_state(spark, state_base, rows.schema)
-        # a replayed batch must not see its own earlier write
-        current = current.filter(F.col("version") < batch_id)
-        W.publish_state(ST.upsert(current, rows), state_base, batch_id + 1)
+        earlier = W.published(spark, state_base)
+        if earlier.filter((F.col("run_id") == run) & (F.col("batch_id") == batch_id)).isEmpty():
+            last = W.current_pointer(spark, state_base)
+            version = last["version"] + 1 if last else 1
+            placed = batch.withColumn("pos", F.monotonically_increasing_id())
+            products = match_products(E.extract_products(placed), catalogue, threshold=threshold)
+            rows = products.select("url", "full_name", "matched", "matched_name", "category", "page_number",
+                                   "error", "pos", F.lit(version).cast("long").alias("version"))
+            current = W.read_state(spark, state_base, rows.schema)
+            W.publish_state(ST.upsert(current, rows), state_base, version, run_id=run, batch_id=batch_id)
+        if after_publish:
+            after_publish(batch_id)
 
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
          .writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
@@ -98,7 +126,7 @@ def run_state_stream(spark: SparkSession, source: str, state_base: str, checkpoi
 
 
 def run_totals_stream(spark: SparkSession, source: str, out: str, checkpoint: str, schema,
-                      files_per_trigger: int = 1) -> None:
+                      files_per_trigger: int = FILES_PER_INCREMENT) -> None:
     """T5: running totals over extracted products (complete mode)."""
     products = E.extract_products(
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source))
