@@ -38,13 +38,6 @@ HIGH_QUALITY_SCORE = 90
 RECOMMENDATION_BANDS = [90, 80, 70]
 SUSPICIOUS_TERMS = ["head", "head shoulders", "h s", "dove", "loreal", "l'oreal"]
 
-PRESETS = {
-    # main matching: weighted scorer on raw names
-    "pipeline": dict(scorer="weighted", processor="none"),
-    # threshold study: three scorers on normalised names
-    "study": dict(scorers=STUDY_SCORERS, processor="normalize"),
-}
-
 
 def required_threshold(query: Column, threshold: float) -> Column:
     """M8: names shorter than 15 code points need max(90, threshold)."""
@@ -59,16 +52,6 @@ def match_side(catalogue: DataFrame, processor: str | None = "none") -> DataFram
                                  apply_processor(F.col("full_name"), processor), "cf")
 
 
-def _spread(queries: DataFrame, key: str) -> DataFrame:
-    """Hash-partition the query side on its key so the pair work uses every
-    core; skipped when the input is already well split."""
-    spark = queries.sparkSession
-    target = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if queries.rdd.getNumPartitions() >= target:
-        return queries
-    return queries.repartition(target, key)
-
-
 # Estimated bytes a catalogue row occupies on the broadcast side per code
 # point of its text: three strings, three char arrays (~24 B per element
 # in UnsafeArrayData with the string header) and three mask maps (key +
@@ -113,7 +96,9 @@ def best_match(queries: DataFrame, catalogue: DataFrame, *, threshold: float = D
     best = best_match_texts(queries.select(F.col(query_col).alias("_text")), catalogue,
                             threshold=threshold, scorer=scorer, processor=processor,
                             adaptive=adaptive, broadcast_rows=broadcast_rows)
-    res = queries.join(best, queries[query_col].eqNullSafe(best["_text"]), "left")
+    named = queries.filter(F.col(query_col).isNotNull())
+    res = (named.join(best, named[query_col] == best["_text"], "left")
+           .unionByName(queries.filter(F.col(query_col).isNull()), allowMissingColumns=True))
     return res.select(
         *queries.columns,
         F.coalesce(F.col("matched"), F.lit(False)).alias("matched"),
@@ -124,7 +109,7 @@ def best_match_texts(texts: DataFrame, catalogue: DataFrame, *, threshold: float
                      scorer: str = "weighted", processor: str | None = "none", adaptive: bool = True,
                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Best match per distinct ``_text`` (see ``best_match``)."""
-    cat = match_side(catalogue, processor).cache()
+    cat = match_side(catalogue, processor)
     # explicit repartition: AQE would coalesce the small post-distinct
     # shuffle into a single partition and run all pair work in one task
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -171,28 +156,27 @@ def score_pairs(pairs: DataFrame, a: str, b: str, scorers=None,
 # --------------------------------------------------------------------------
 
 def study_topk(queries: DataFrame, catalogue: DataFrame, *, top_matches: int = 5,
-               query_col: str = "query", key: str = "query_id",
-               floor: float = min(STUDY_THRESHOLDS), literal_merge: bool = True,
+               query_col: str = "query", key: str = "query_id", literal_merge: bool = True,
                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
     """Per scorer the top ``2 * top_matches`` catalogue rows
     (normalised text), merged by max score per catalogue row, final top-K.
 
-    Only scores >= ``floor`` can change what the study reports (display
-    threshold, threshold counts, recommendation bands), so lower entries are
-    dropped before ranking; pass ``floor=0`` for the unfiltered lists.
+    No score is cut: a query without any good candidate still gets its best
+    ones, however low.
 
     Returns ``(per_scorer, merged)``.
     """
     k2 = 2 * top_matches
-    cat = match_side(catalogue, "normalize").cache()
-    q = S.with_match_features(_spread(queries, key), apply_processor(F.col(query_col), "normalize"), "qf")
+    cat = match_side(catalogue, "normalize")
+    # explicit count: AQE would coalesce a small set of queries into one task
+    spread = queries.repartition(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    q = S.with_match_features(spread, apply_processor(F.col(query_col), "normalize"), "qf")
     pairs = _pairs(q, cat.select("idx", "full_name", *S.feature_columns("cf")), broadcast_rows)
     scored = pairs.select(
         key, query_col, "idx", "full_name",
         F.array(*[F.struct(F.lit(n).alias("scorer"), S.score(n, S.Feat("qf"), S.Feat("cf")).alias("score"))
                   for n in STUDY_SCORERS]).alias("_s"))
-    long_ = (scored.select(key, query_col, "idx", "full_name", F.inline("_s"))
-             .filter(F.col("score") >= F.lit(float(floor))))
+    long_ = scored.select(key, query_col, "idx", "full_name", F.inline("_s"))
     w = Window.partitionBy(key, "scorer").orderBy(F.col("score").desc(), F.col("idx"))
     per_scorer = (long_.withColumn("rank", F.row_number().over(w))
                   .filter(F.col("rank") <= k2))
@@ -229,13 +213,13 @@ def threshold_sweep(queries: DataFrame, merged: DataFrame, *, query_col: str = "
                                F.lit(0)).cast("long").alias("matching_products")))
 
 
-def recommendation(queries: DataFrame, merged: DataFrame, catalogue_rows: Column | None = None, *,
-                   query_col: str = "query", key: str = "query_id") -> DataFrame:
-    """M14 + M15 + P11: recommended threshold band from the best score, the
-    short-name note (raw query length < 15) and the short-input warning."""
+def recommendation(queries: DataFrame, merged: DataFrame, *, query_col: str = "query", key: str = "query_id") -> DataFrame:
+    """M14 + M15 + P11: recommended threshold band from the best score
+    ("none" when there is no candidate at all, as with an empty catalogue),
+    the short-name note (raw query length < 15) and the short-input warning."""
     best = merged.groupBy(key).agg(F.max("score").alias("best_score"))
     b = F.col("best_score")
-    band = (F.when(b >= 90, F.lit("high")).when(b >= 80, F.lit("good"))
+    band = (F.when(b.isNull(), F.lit("none")).when(b >= 90, F.lit("high")).when(b >= 80, F.lit("good"))
             .when(b >= 70, F.lit("fair")).otherwise(F.lit("poor")))
     rec = F.when(b >= 90, F.lit(90)).when(b >= 80, F.lit(80)).when(b >= 70, F.lit(70))
     return (queries.select(key, query_col).join(best, key, "left")

@@ -23,12 +23,13 @@ def page_stats(routed: DataFrame) -> DataFrame:
         F.count_if(F.col("route") == "emit_cached").alias("matched_cached_products"))
 
 
-def run_totals(products: DataFrame) -> DataFrame:
-    """A2 + A3: pages, products, matched and the match ratio in percent."""
+def run_totals(products: DataFrame, *more) -> DataFrame:
+    """A2 + A3: pages, products, matched and the match ratio in percent;
+    ``more`` aggregates ride along in the same pass."""
     agg = products.agg(
         F.count_distinct("page_number").alias("total_pages"),
         F.count(F.lit(1)).alias("total_products"),
-        F.count_if(F.coalesce(F.col("matched"), F.lit(False))).alias("matched_products"))
+        F.count_if(F.coalesce(F.col("matched"), F.lit(False))).alias("matched_products"), *more)
     return agg.withColumn(
         "match_ratio",
         F.coalesce(100.0 * F.try_divide(F.col("matched_products"), F.col("total_products")), F.lit(0.0)))
@@ -52,25 +53,24 @@ def batch_summary(products: DataFrame, pages_per_batch: int = PAGES_PER_BATCH, s
         F.max("offset").alias("end_offset"))
 
 
-def global_stats(summaries: DataFrame) -> DataFrame:
-    """A5: totals over batch summaries, absent fields count as 0."""
+def _totals(summaries: DataFrame) -> list:
     def z(c):
         return F.coalesce(F.col(c), F.lit(0)) if c in summaries.columns else F.lit(0)
-    return summaries.agg(
-        F.sum(z("total_pages")).cast("bigint").alias("total_pages"),
-        F.sum(z("total_products")).cast("bigint").alias("total_products"),
-        F.sum(z("matched_products")).cast("bigint").alias("matched_products"),
-        F.count(F.lit(1)).alias("total_batches"))
+    return [*[F.sum(z(c)).cast("bigint").alias(c) for c in ("total_pages", "total_products", "matched_products")],
+            F.count(F.lit(1)).alias("total_batches")]
+
+
+def global_stats(summaries: DataFrame) -> DataFrame:
+    """A5: totals over batch summaries, absent fields count as 0."""
+    return summaries.agg(*_totals(summaries))
 
 
 def final_summary(summaries: DataFrame) -> DataFrame:
     """Global totals, match percentage and the batch list nested
     in batch order as a JSON document (bounded by the number of plan
-    batches)."""
-    g = global_stats(summaries)
-    lst = summaries.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in summaries.columns]))))
-                        .alias("batch_summaries"))
-    return (g.crossJoin(lst)
+    batches), in one pass over the summaries."""
+    lst = F.to_json(F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in summaries.columns]))))
+    return (summaries.agg(*_totals(summaries), lst.alias("batch_summaries"))
             .withColumn("match_percentage",
                         F.coalesce(100.0 * F.try_divide(F.col("matched_products"), F.col("total_products")),
                                    F.lit(0.0))))
@@ -100,12 +100,10 @@ def crawl_summary(products: DataFrame, *, total_batches: int | None = None,
                   products_per_batch: int = 500, reason: str = "finished") -> DataFrame:
     """K3: the run's summary row — pages, products, matched, match ratio,
     output batches, products per batch, last page processed, reason."""
-    t = run_totals(products)
-    last = products.agg(F.max("page_number").cast("bigint").alias("last_page_processed"))
+    t = run_totals(products, F.max("page_number").cast("bigint").alias("last_page_processed"))
     nb = (F.lit(total_batches).cast("bigint") if total_batches is not None
           else F.ceil(F.col("total_products") / F.lit(products_per_batch)).cast("bigint"))
-    return (t.crossJoin(last)
-            .withColumn("total_batches", nb)
+    return (t.withColumn("total_batches", nb)
             .withColumn("products_per_batch", F.lit(products_per_batch).cast("bigint"))
             .withColumn("reason", F.lit(reason)))
 

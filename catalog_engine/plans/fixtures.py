@@ -90,8 +90,8 @@ def _href(k):
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing corpus: 50 products per page (``offset = key div 50``), plus
-    skip-list noise, a repeated link, a link to the next page's first
-    product and a pagination link. Groups are bounded by the page size."""
+    skip-list noise, a commented-out link, a ``data-href``, a repeated link, a
+    link to the next page's first product and a pagination link. Groups are bounded by the page size."""
     p = table(spark, sf_dir, "part")
     off = F.floor(F.col("p_partkey") / PAGE_SIZE).cast("bigint")
     items = p.select(off.alias("offset"), F.col("p_partkey").alias("k"), _href(F.col("p_partkey")).alias("href"))
@@ -100,7 +100,8 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.min("k").alias("first"))
     nxt = (F.col("offset") + 1).cast("string")
     html = F.concat(
-        F.lit('<html><body><nav><a href="/products/new">New</a> <a href="/products/create">Create</a></nav><ul>'),
+        F.lit('<html><body><!-- <a href="/products/old">Old</a> --><a data-href="/products/no">No</a>'
+              '<nav><a href="/products/new">New</a> <a href="/products/create">Create</a></nav><ul>'),
         F.array_join(F.transform("items", li), ""),
         F.lit('</ul><a href="/products/'), F.col("first").cast("string"), F.lit('">again</a>'),
         F.lit('<a href="/products/'), ((F.col("offset") + 1) * PAGE_SIZE).cast("string"), F.lit('">featured</a>'),
@@ -148,56 +149,71 @@ def lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product pages built from part rows by concatenation (the oracle can
-    select the source values). Variants by ``key % 9``: 1 no brand, 2 no
-    name, 3 no ingredient table, 4 duplicate ingredient row, 5 rating
-    titles without ':', 6 image without '@', 7 NBSP/newline around text,
-    8 blank link texts, 0 unclosed tags; ``key % 97 == 13`` has no body."""
+    """Product pages built from part rows by concatenation (the oracle
+    selects the source values). Variants by ``key % 9``: 1 empty brand before a
+    stray link, 2 no name, 3 no ingredient section, 4 duplicate ingredient row,
+    5 rating titles without ':', 6 image without '@', 7 NBSP/newline around text,
+    8 blank link texts, 0 unclosed tags; by ``key % 5``: 1 character
+    reference in the brand, 2 single quotes, 3 several classes and attributes
+    on inner elements, 4 markup before an ingredient's name and a second table;
+    ``key % 97 == 13`` has no body. Every page also holds what must not be
+    taken: a commented-out title, a table and a hashtag outside their sections,
+    a login link and a footer logo."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    v = k % 9
+    v, w = k % 9, k % 5
     ks = k.cast("string")
     ing1 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))
     ing2 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
     ing3 = F.lower(F.col("p_type"))
+    lit = F.lit
+
+    def pick(cond, yes, no):
+        return F.when(cond, lit(yes)).otherwise(lit(no))
 
     def row(x, link, role, irr, com, take):
-        return F.concat(F.lit('<tr><td><a href="/ingredients/'), link, F.lit('">'), x, F.lit("</a></td>"),
-                        F.lit('<td><a href="/roles/r">'), role, F.lit("</a></td>"),
-                        F.lit('<td><span title="'), irr, F.lit('"></span><span title="'), com, F.lit('"></span></td>'),
-                        F.lit('<td><span class="our-take">'), take, F.lit("</span></td></tr>"))
-
-    r1 = row(ing1, ing1, F.lit("solvent"), F.concat(F.lit("irritancy: "), (k % 3).cast("string")),
-             F.concat(F.lit("comedogenicity: "), (k % 5).cast("string")), F.lit("goodie"))
-    r2 = row(F.when(v == 8, F.lit(" ")).otherwise(ing2), ing2,
-             F.when(v == 8, F.lit(" ")).otherwise(F.lit("emollient")),
-             F.when(v == 5, F.lit("irritancy unknown")).otherwise(
-                 F.concat(F.lit("irritancy: "), (k % 4).cast("string"), F.lit(":x"))),
-             F.concat(F.lit("comedogenicity: "), (k % 2).cast("string")), F.lit("icky"))
-    r3 = row(ing3, ing3, F.lit("preservative"), F.lit("irritancy: 0"),
-             F.when(v == 5, F.lit("comedogenicity")).otherwise(F.lit("comedogenicity: 1")), F.lit(""))
-    rdup = row(ing1, F.concat(ing1, F.lit("-2")), F.lit("humectant"), F.lit("irritancy: 9"),
-               F.lit("comedogenicity: 9"), F.lit("superstar"))
-    table_html = F.when(v == 3, F.lit("")).otherwise(F.concat(
-        F.lit('<div id="ingredlist-table-section"><table class="product-skim"><thead><tr><th>Name</th></tr></thead><tbody>'),
-        r1, r2, F.when(v == 4, rdup).otherwise(F.lit("")), r3, F.lit("</tbody></table></div>")))
-    brand_text = F.when(v == 7, F.concat(F.lit(" "), F.col("p_brand"), F.lit("\n"))).otherwise(F.col("p_brand"))
-    brand = F.when(v == 1, F.lit("")).otherwise(F.concat(
-        F.lit('<span id="product-brand-title"><a href="/brands/'), F.col("p_brand"), F.lit('">'), brand_text,
-        F.lit("</a></span>")))
-    name_text = F.when(v == 7, F.concat(F.lit(" "), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_name"))
-    title = F.when(v == 2, F.lit("")).otherwise(F.concat(F.lit('<span id="product-title">'), name_text, F.lit("</span>")))
-    details = F.concat(F.lit('<span id="product-details">'), F.col("p_type"), F.lit(" size "),
-                       F.col("p_size").cast("string"), F.lit("</span>"))
-    image = F.concat(F.lit('<div class="image"><img alt="p" src="/img/'), ks,
-                     F.when(v == 6, F.lit(".jpeg")).otherwise(F.lit("@1x.jpeg")), F.lit('"></div>'))
-    hl = F.concat(F.lit('<div id="ingredlist-highlights-section"><span class="hashtag">#'), ing3,
-                  F.lit('</span><span class="hashtag"> </span><div class="ingredlist-by-function-block">'
-                        '<div><span class="bold"><a>solvent</a></span><span><a>'), ing1,
-                  F.lit('</a></span></div><div><span class="bold"><a> </a></span><span><a>'), ing3,
-                  F.lit("</a></span></div></div></div>"))
-    html = F.when(k % 97 == 13, F.lit(None).cast("string")).otherwise(F.concat(
-        F.lit("<html><head><title>"), F.col("p_name"), F.lit("</title></head><body>"), brand, title, details, image,
-        F.when(v == 0, F.lit("<p>note <b>bold")).otherwise(F.lit("")), table_html, hl, F.lit("</body></html>")))
+        return F.concat(lit('<tr><td><a href="/ingredients/'), link, lit('">'), pick(w == 4, "<i>new</i>", ""), x, lit("</a></td>"),
+                        lit('<td><a href="/roles/r">'), role, lit("</a></td>"),
+                        lit('<td><span title="'), irr, lit('"></span><span title="'), com, lit('"></span></td>'),
+                        lit("<td><span"), pick(w == 3, ' data-class="x" class="small our-take"', ' class="our-take"'), lit(">"),
+                        take, lit("</span></td></tr>"))
+
+    r1 = row(ing1, ing1, lit("solvent"), F.concat(lit("irritancy: "), (k % 3).cast("string")),
+             F.concat(lit("comedogenicity: "), (k % 5).cast("string")), lit("goodie"))
+    r2 = row(F.when(v == 8, lit(" ")).otherwise(ing2), ing2, pick(v == 8, " ", "emollient"),
+             F.when(v == 5, lit("irritancy unknown")).otherwise(
+                 F.concat(lit("irritancy: "), (k % 4).cast("string"), lit(":x"))),
+             F.concat(lit("comedogenicity: "), (k % 2).cast("string")), lit("icky"))
+    r3 = row(ing3, ing3, lit("preservative"), lit("irritancy: 0"), pick(v == 5, "comedogenicity", "comedogenicity: 1"), lit(""))
+    rdup = row(ing1, F.concat(ing1, lit("-2")), lit("humectant"), lit("irritancy: 9"), lit("comedogenicity: 9"), lit("superstar"))
+    outside = '<table class="product-skim"><tbody><tr><td><a href="/o">Outside</a></td></tr></tbody></table>'
+    open_table = '<table class="product-skim"><thead><tr><th>Name</th></tr></thead><tbody>'
+    table_html = F.when(v == 3, lit("")).otherwise(F.concat(
+        lit('<div id="ingredlist-table-section"><div class="tools"><a>Filter</a></div>'), lit(open_table),
+        r1, r2, F.when(v == 4, rdup).otherwise(lit("")), pick(w == 4, "</tbody></table>" + open_table, ""), r3,
+        lit("</tbody></table></div>")))
+    brand_core = F.concat(F.col("p_brand"), pick(w == 1, " &amp; Co", ""))
+    brand_text = F.when(v == 7, F.concat(lit("\u00a0"), brand_core, lit("\n"))).otherwise(brand_core)
+    brand = F.concat(
+        lit('<span id="product-brand-title">'),
+        F.when(v == 1, lit("")).otherwise(F.concat(lit('<a href="/brands/'), F.col("p_brand"), lit('">'), brand_text, lit("</a>"))),
+        lit('</span><a href="/login">Log in</a>'))
+    name_text = F.when(v == 7, F.concat(lit(" "), F.col("p_name"), lit("\u00a0"))).otherwise(F.col("p_name"))
+    title = F.when(v == 2, lit("")).otherwise(F.concat(lit('<span class="t" id="product-title">'), name_text, lit("</span>")))
+    details = F.concat(lit('<span id="product-details">'), F.col("p_type"), lit(" size "), F.col("p_size").cast("string"), lit("</span>"))
+    image = F.concat(lit("<div class="), pick(w == 3, '"hero image big"', '"image"'), lit('><img alt="p" data-src="/no.png" src="/img/'), ks,
+                     pick(v == 6, ".jpeg", "@1x.jpeg"), lit('"></div>'))
+    fdiv, bold, plain = (pick(w == 3, yes, no) for yes, no in (
+        ('<div class="f">', "<div>"), ('<span class="x bold">', '<span class="bold">'), ('<span class="y">', "<span>")))
+    hl = F.concat(lit('<div id="ingredlist-highlights-section"><span class="hashtag">#'), ing3,
+                  lit('</span><span class="hashtag"> </span><div class="ingredlist-by-function-block">'),
+                  fdiv, bold, lit("<a>solvent</a></span>"), plain, lit("<a>"), ing1, lit("</a></span></div>"),
+                  fdiv, bold, lit("<a> </a></span>"), plain, lit("<a>"), ing3, lit("</a></span></div></div></div>"))
+    head = F.concat(brand, title, details, image)
+    head = F.when(w == 2, F.replace(head, lit('"'), lit("'"))).otherwise(head)
+    html = F.when(k % 97 == 13, lit(None).cast("string")).otherwise(F.concat(
+        lit('<html><head><title>'), F.col("p_name"), lit('</title></head><body><!-- <span id="product-title">Old</span> -->'), head,
+        pick(v == 0, "<p>note <b>bold", ""), lit(outside), table_html, hl,
+        lit('<div class="footer image-strip"><img src="/logo.png"></div><span class="hashtag">#footer</span></body></html>')))
     return p.select(k.alias("page_id"), product_url(k).alias("url"),
                     (F.floor(k / PAGE_SIZE) + 1).cast("int").alias("page_number"), html.alias("html"))

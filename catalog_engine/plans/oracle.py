@@ -4,6 +4,10 @@ Independent re-statement of the contract in SQL: the LCS is a bit-parallel
 ``list_reduce`` over HUGEINT masks (strings up to 125 code points), all
 arithmetic in DOUBLE in the same operation order as the Spark side, scores
 rounded to 4 places. Helpers return SQL expressions over column names.
+
+The pruning condition (``weighted_may_reach``) repeats the bound that the Spark
+side uses, to keep the oracle quick; it is no independent check of that bound.
+The tests run the best match against the SQL without it (``pruned=False``).
 """
 
 from __future__ import annotations

@@ -121,9 +121,12 @@ for _name in ["ratio", "token_sort", "token_set", "partial", "partial_token", "w
 # best match M7/M8/N4
 # --------------------------------------------------------------------------
 
-def _best_match_sql(threshold: float, qsrc: str = QNAMES) -> str:
+def _best_match_sql(threshold: float, qsrc: str = QNAMES, pruned: bool = True) -> str:
     """Best match for ``qsrc`` rows ``(query_id, query)``; each distinct text
-    is scored (same result as scoring every row)."""
+    is scored (same result as scoring every row). ``pruned`` leaves out pairs
+    that cannot reach the threshold; the tests compare with the SQL that
+    scores all pairs."""
+    keep = f"WHERE {O.weighted_may_reach('q', 'c', 'req', 'p_i')}" if pruned else ""
     req = (f"(CASE WHEN length(q_s) < 15 THEN greatest(90.0::DOUBLE, {float(threshold)}::DOUBLE) "
            f"ELSE {float(threshold)}::DOUBLE END)")
     return (
@@ -131,7 +134,7 @@ def _best_match_sql(threshold: float, qsrc: str = QNAMES) -> str:
         f"qf AS (SELECT DISTINCT query, {', '.join(O.features_cols('query', 'q'))} FROM qn WHERE query IS NOT NULL), "
         f"cf AS (SELECT idx, full_name, category, {', '.join(O.features_cols('full_name', 'c'))} FROM uc), "
         f"pr AS (SELECT qf.*, cf.*, {req} AS req, list_intersect(q_toks, c_toks) AS p_i FROM qf CROSS JOIN cf), "
-        f"cand AS (SELECT * FROM pr WHERE {O.weighted_may_reach('q', 'c', 'req', 'p_i')}), "
+        f"cand AS (SELECT * FROM pr {keep}), "
         f"g AS (SELECT *, {', '.join(O.pair_cols('q', 'c'))} FROM cand), "
         f"sc AS (SELECT query, idx, full_name, category, req, {O.weighted('q', 'c')} AS score FROM g), "
         f"best AS (SELECT query, arg_max(struct_pack(full_name := full_name, category := category, score := score), "
@@ -166,7 +169,7 @@ def _study_sql_prefix() -> str:
         f"pr AS (SELECT * FROM qf CROSS JOIN cf), "
         f"g AS (SELECT *, {', '.join(O.pair_cols(q, c))} FROM pr), "
         f"sc AS (SELECT query_id, query, idx, full_name, {scores} FROM g), "
-        f"lg AS (SELECT * FROM ({unions}) u WHERE score >= {float(min(M.STUDY_THRESHOLDS))}), "
+        f"lg AS (SELECT * FROM ({unions}) u), "
         f"ps AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, scorer ORDER BY score DESC, idx) AS rank FROM lg) r "
         f"WHERE rank <= 10), "
         f"mg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, idx) AS rank FROM "
@@ -193,7 +196,7 @@ def q_topk_merged(spark, sf):
           _study_sql_prefix() +
           "SELECT sq.query_id, sq.query, t.threshold, coalesce(max(mg.score) >= t.threshold, false) AS would_match, "
           "count(mg.score) FILTER (WHERE mg.score >= t.threshold) AS matching_products "
-          "FROM sq CROSS JOIN (SELECT unnest([95, 90, 85, 80, 75, 70, 65, 60]) AS threshold) t "
+          "FROM sq CROSS JOIN (SELECT unnest(" + str(M.STUDY_THRESHOLDS) + ") AS threshold) t "
           "LEFT JOIN mg ON mg.query_id = sq.query_id GROUP BY sq.query_id, sq.query, t.threshold")
 def q_threshold_sweep(spark, sf):
     sq = FX.study_queries(spark, sf)
@@ -204,7 +207,7 @@ def q_threshold_sweep(spark, sf):
 @register("recommendation",
           _study_sql_prefix() +
           "SELECT sq.query_id, sq.query, round(b.best, 4) AS best_score, "
-          "CASE WHEN b.best >= 90 THEN 'high' WHEN b.best >= 80 THEN 'good' WHEN b.best >= 70 THEN 'fair' ELSE 'poor' END AS quality, "
+          "CASE WHEN b.best IS NULL THEN 'none' WHEN b.best >= 90 THEN 'high' WHEN b.best >= 80 THEN 'good' WHEN b.best >= 70 THEN 'fair' ELSE 'poor' END AS quality, "
           "CASE WHEN b.best >= 90 THEN 90 WHEN b.best >= 80 THEN 80 WHEN b.best >= 70 THEN 70 END AS recommended_threshold, "
           "length(sq.query) < 15 AS short_name_note, "
           f"(len({O.tokens('sq.query')}) <= 1 OR lower(sq.query) IN ('head', 'head shoulders', 'h s', 'dove', 'loreal', 'l''oreal')) "
@@ -228,18 +231,22 @@ HREF_SQL = (f"CASE WHEN p_partkey % 7 = 1 THEN '{SHOP}/products/' || p_partkey "
             f"ELSE '/products/' || p_partkey END")
 LISTING = (
     "SELECT pg AS page_id, '" + SHOP + "/products/all?offset=' || pg AS url, "
-    "'<html><body><nav><a href=\"/products/new\">New</a> <a href=\"/products/create\">Create</a></nav><ul>' || "
+    "'<html><body><!-- <a href=\"/products/old\">Old</a> --><a data-href=\"/products/no\">No</a>"
+    "<nav><a href=\"/products/new\">New</a> <a href=\"/products/create\">Create</a></nav><ul>' || "
     "string_agg('<li><a href=\"' || href || '\">' || p_partkey || '</a></li>', '' ORDER BY p_partkey) || "
     "'</ul><a href=\"/products/' || min(p_partkey) || '\">again</a><a href=\"/products/' || ((pg + 1) * 50) || "
     "'\">featured</a><a href=\"/about\">About</a><a class=\"next\" href=\"/products/all?offset=' || (pg + 1) || "
     "'\">Next</a></body></html>' AS html "
     f"FROM (SELECT CAST(floor(p_partkey / 50) AS BIGINT) AS pg, p_partkey, {HREF_SQL} AS href FROM part) x GROUP BY pg")
-ANCHOR = r'<a\b[^>]*?href="([^"]*)"'
+ANCHOR = r'<a\b[^>]*?\shref="([^"]*)"'
+UNESCAPED = ("replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), "
+             "'&amp;', '&')")
 
 
 def _links_sql(src: str, contains: str) -> str:
     return (f"SELECT * FROM (SELECT page_id, url, UNNEST(range(len(h))) AS pos, UNNEST(h) AS href FROM "
-            f"(SELECT page_id, url, regexp_extract_all(html, '{ANCHOR}', 1) AS h FROM ({src}) s) t) u "
+            f"(SELECT page_id, url, list_transform(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '{ANCHOR}', 1), "
+            f"lambda x: {UNESCAPED}) AS h FROM ({src}) s) t) u "
             f"WHERE contains(href, '{contains}')")
 
 
@@ -257,7 +264,7 @@ PRODUCT_LINKS = (f"SELECT *, {RESOLVE_SQL} AS full_url, {OFFSET_SQL} AS \"offset
                  f"CAST({OFFSET_SQL} + 1 AS INTEGER) AS page_number FROM ({_links_sql(LISTING, '/products/')}) l "
                  f"WHERE {SKIP_SQL}")
 FIRST_SEEN = (f"SELECT full_url, arg_min(struct_pack(page_id := page_id, url := url, pos := pos, href := href, "
-              f"\"offset\" := \"offset\", page_number := page_number), struct_pack(o := \"offset\", p := pos)) AS r "
+              f"\"offset\" := \"offset\", page_number := page_number), struct_pack(o := \"offset\", g := page_id, u := url, p := pos)) AS r "
               f"FROM ({PRODUCT_LINKS}) pl GROUP BY full_url")
 
 
@@ -297,8 +304,11 @@ def q_page_offsets(spark, sf):
     return L.with_page_numbers(src)
 
 
+PLAN_SQL = f"SELECT unnest(range(0, (SELECT greatest({L.TOTAL_PAGES}, max({OFFSET_SQL}) + 1) FROM ({LISTING}) l))) AS range"
+
+
 @register("missing_pages",
-          f"SELECT range AS \"offset\" FROM range(0, 3094) WHERE range NOT IN (SELECT {OFFSET_SQL} FROM ({LISTING}) l)")
+          f"SELECT range AS \"offset\" FROM ({PLAN_SQL}) p WHERE range NOT IN (SELECT {OFFSET_SQL} FROM ({LISTING}) l)")
 def q_missing_pages(spark, sf):
     lp = FX.listing_pages(spark, sf).select(L.page_offset("url").alias("offset"))
     return L.missing_pages(spark, lp)
@@ -307,7 +317,7 @@ def q_missing_pages(spark, sf):
 @register("page_batches",
           f"SELECT CAST(floor(range / 100) + 1 AS INTEGER) AS batch_number, min(range) AS start_offset, "
           f"max(range) AS end_offset, count(*) AS pages, count(o.off) AS pages_present "
-          f"FROM range(0, 3094) LEFT JOIN (SELECT DISTINCT {OFFSET_SQL} AS off FROM ({LISTING}) l) o "
+          f"FROM ({PLAN_SQL}) p LEFT JOIN (SELECT DISTINCT {OFFSET_SQL} AS off FROM ({LISTING}) l) o "
           f"ON o.off = range GROUP BY 1")
 def q_page_batches(spark, sf):
     lp = FX.listing_pages(spark, sf).select(L.page_offset("url").alias("offset"))
@@ -518,141 +528,43 @@ def q_output_batches(spark, sf):
 # --------------------------------------------------------------------------
 # product-page extraction E1-E19, end-to-end match M18, status A9
 # --------------------------------------------------------------------------
+# product pages E1-E19, M18
+# --------------------------------------------------------------------------
 
 from ..operators import extract as E  # noqa: E402
 
 
-def _resolve_sql(base: str, href: str) -> str:
-    return RESOLVE_SQL.replace("href", "§H").replace("url", base).replace("§H", href)
-
-
-def _sq(s: str) -> str:
-    return s.replace("'", "''")
-
-
-def _first(s: str, pat: str) -> str:
-    return f"regexp_extract_all({s}, '{_sq(pat)}', 1)[1]"
-
-
-def _all(s: str, pat: str) -> str:
-    return f"regexp_extract_all({s}, '{_sq(pat)}', 1)"
-
-
-def _present(x: str) -> str:
-    return f"({x} IS NOT NULL AND {x} <> '')"
-
-
-def _strip_if(x: str) -> str:
-    return f"(CASE WHEN {_present(x)} THEN {O.ustrip(x)} END)"
-
-
-def _nonblank(arr: str) -> str:
-    a, b = O._v("nb"), O._v("nb")
-    return f"list_filter(list_transform({arr}, lambda {a}: {O.ustrip(a)}), lambda {b}: {b} <> '')"
-
-
-def _ratings(titles: str) -> str:
-    t, x = O._v("rt"), O._v("rx")
-    vals = (f"list_filter(list_transform({titles}, lambda {t}: CASE WHEN contains({t}, ':') THEN "
-            f"{O.ustrip(f'split_part({t}, chr(58), 2)')} END), lambda {x}: {x} IS NOT NULL)")
-    return f"(CASE WHEN len({vals}) > 0 THEN {vals} END)"
-
-
-def _ingredient_sql(r: str, url: str) -> str:
-    cells = _all(r, E.CELL_RE)
-    c = [f"{cells}[{i}]" for i in range(1, 5)]
-    name_raw, href = _first(c[0], E.LINK_TEXT_RE), _first(c[0], E.LINK_HREF_RE)
-    funcs = _all(c[1], E.LINK_TEXT_RE)
-    return (f"struct_pack(name := {_strip_if(name_raw)}, "
-            f"ingredient_link := CASE WHEN {_present(href)} THEN {_resolve_sql(url, href)} END, "
-            f"what_it_does := CASE WHEN len({funcs}) > 0 THEN {_nonblank(funcs)} END, "
-            f"irritancy_values := {_ratings(_all(c[2], E.IRRITANCY_RE))}, "
-            f"comedogenicity_values := {_ratings(_all(c[2], E.COMEDOGENICITY_RE))}, "
-            f"id_rating := {_strip_if(_first(c[3], E.OUR_TAKE_RE))})")
-
-
-def _ingredients_sql(html: str, url: str) -> str:
-    r, x, y, z, i = O._v("r"), O._v("x"), O._v("y"), O._v("z"), O._v("i")
-    table = _first(html, E.TABLE_RE)
-    body = f"coalesce({_first(table, E.TBODY_RE)}, '')"
-    items = f"list_transform({_all(body, E.ROW_RE)}, lambda {r}: {_ingredient_sql(r, url)})"
-    named = f"list_filter({items}, lambda {x}: {x}.name IS NOT NULL AND {x}.name <> '')"
-    names = f"list_transform({named}, lambda {y}: {y}.name)"
-    dedup = f"list_filter({named}, lambda {z}, {i}: list_position({names}, {z}.name) = {i})"
-    return f"(CASE WHEN {table} IS NULL THEN [] ELSE {dedup} END)"
-
-
-def _highlights_sql(section: str) -> str:
-    b, d, s_, x = O._v("b"), O._v("d"), O._v("s"), O._v("x")
-    divs = f"flatten(list_transform({_all(section, E.BLOCK_RE)}, lambda {b}: {_all(b, E.FUNC_DIV_RE)}))"
-    fn = _first(d, E.BOLD_LINK_RE)
-    names = f"flatten(list_transform({_all(d, E.PLAIN_SPAN_RE)}, lambda {s_}: {_all(s_, E.LINK_TEXT_RE)}))"
-    one = (f"CASE WHEN {_present(fn)} AND len({names}) > 0 THEN "
-           f"struct_pack(\"function\" := {O.ustrip(fn)}, ingredients := {_nonblank(names)}) END")
-    items = f"list_filter(list_transform({divs}, lambda {d}: {one}), lambda {x}: {x} IS NOT NULL)"
-    return f"(CASE WHEN len({items}) > 0 THEN {items} END)"
-
-
-def _product_pages_sql() -> str:
-    k = "p_partkey"
-    v = f"({k} % 9)"
+def _extracted_sql() -> str:
+    """What the product pages must give, selected from the values that they are
+    built from; no pattern is shared with the extraction."""
+    k, v, w = "p_partkey", "(p_partkey % 9)", "(p_partkey % 5)"
+    ok = f"({k} % 97 <> 13)"
+    brand = f"(CASE WHEN {v} <> 1 THEN p_brand || CASE WHEN {w} = 1 THEN ' & Co' ELSE '' END END)"
+    name = f"(CASE WHEN {v} <> 2 THEN p_name END)"
+    image = f"('/img/' || {k} || CASE WHEN {v} = 6 THEN '.jpeg' ELSE '@1x.jpeg' END)"
     ing1, ing2, ing3 = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)", "lower(p_type)"
 
-    def row(x, link, role, irr, com, take):
-        return (f"('<tr><td><a href=\"/ingredients/' || {link} || '\">' || {x} || '</a></td>' || "
-                f"'<td><a href=\"/roles/r\">' || {role} || '</a></td>' || "
-                f"'<td><span title=\"' || {irr} || '\"></span><span title=\"' || {com} || '\"></span></td>' || "
-                f"'<td><span class=\"our-take\">' || {take} || '</span></td></tr>')")
-    r1 = row(ing1, ing1, "'solvent'", f"'irritancy: ' || ({k} % 3)", f"'comedogenicity: ' || ({k} % 5)", "'goodie'")
-    r2 = row(f"CASE WHEN {v} = 8 THEN ' ' ELSE {ing2} END", ing2, f"CASE WHEN {v} = 8 THEN ' ' ELSE 'emollient' END",
-             f"CASE WHEN {v} = 5 THEN 'irritancy unknown' ELSE 'irritancy: ' || ({k} % 4) || ':x' END",
-             f"'comedogenicity: ' || ({k} % 2)", "'icky'")
-    r3 = row(ing3, ing3, "'preservative'", "'irritancy: 0'",
-             f"CASE WHEN {v} = 5 THEN 'comedogenicity' ELSE 'comedogenicity: 1' END", "''")
-    rdup = row(ing1, f"{ing1} || '-2'", "'humectant'", "'irritancy: 9'", "'comedogenicity: 9'", "'superstar'")
-    table_html = (f"CASE WHEN {v} = 3 THEN '' ELSE '<div id=\"ingredlist-table-section\"><table class=\"product-skim\">"
-                  f"<thead><tr><th>Name</th></tr></thead><tbody>' || {r1} || {r2} || CASE WHEN {v} = 4 THEN {rdup} ELSE '' END "
-                  f"|| {r3} || '</tbody></table></div>' END")
-    brand_text = f"CASE WHEN {v} = 7 THEN chr(160) || p_brand || chr(10) ELSE p_brand END"
-    brand = (f"CASE WHEN {v} = 1 THEN '' ELSE '<span id=\"product-brand-title\"><a href=\"/brands/' || p_brand || "
-             f"'\">' || {brand_text} || '</a></span>' END")
-    name_text = f"CASE WHEN {v} = 7 THEN ' ' || p_name || chr(160) ELSE p_name END"
-    title = f"CASE WHEN {v} = 2 THEN '' ELSE '<span id=\"product-title\">' || {name_text} || '</span>' END"
-    details = "'<span id=\"product-details\">' || p_type || ' size ' || p_size || '</span>'"
-    image = (f"'<div class=\"image\"><img alt=\"p\" src=\"/img/' || {k} || "
-             f"CASE WHEN {v} = 6 THEN '.jpeg' ELSE '@1x.jpeg' END || '\"></div>'")
-    hl = (f"'<div id=\"ingredlist-highlights-section\"><span class=\"hashtag\">#' || {ing3} || "
-          f"'</span><span class=\"hashtag\"> </span><div class=\"ingredlist-by-function-block\">"
-          f"<div><span class=\"bold\"><a>solvent</a></span><span><a>' || {ing1} || "
-          f"'</a></span></div><div><span class=\"bold\"><a> </a></span><span><a>' || {ing3} || "
-          f"'</a></span></div></div></div>'")
-    html = (f"CASE WHEN {k} % 97 = 13 THEN NULL ELSE '<html><head><title>' || p_name || '</title></head><body>' || "
-            f"({brand}) || ({title}) || {details} || {image} || CASE WHEN {v} = 0 THEN '<p>note <b>bold' ELSE '' END || "
-            f"({table_html}) || {hl} || '</body></html>' END")
-    return (f"SELECT {k} AS page_id, '{SHOP}/products/' || {k} AS url, CAST(floor({k} / 50) + 1 AS INTEGER) AS page_number, "
-            f"{html} AS html FROM part")
-
-
-def _extracted_sql() -> str:
-    h = "html"
-    brand_raw, name_raw = _first(h, E.BRAND_RE), _first(h, E.TITLE_RE)
-    image = f"(CASE WHEN {_present(_first(h, E.IMAGE_RE))} THEN {_first(h, E.IMAGE_RE)} END)"
-    section = _first(h, E.HIGHLIGHTS_RE)
-    tags = _all(section, E.HASHTAG_RE)
-    ok = "(html IS NOT NULL AND html <> '')"
+    def row(name, link, role, irr, com, take):
+        return (f"struct_pack(name := {name}, ingredient_link := '{SHOP}/ingredients/' || {link}, what_it_does := ['{role}'], "
+                f"irritancy_values := {irr}, comedogenicity_values := {com}, id_rating := {take})")
+    none, text = "NULL::VARCHAR[]", "::VARCHAR"
+    r1 = row(ing1, ing1, "solvent", f"[({k} % 3){text}]", f"[({k} % 5){text}]", "'goodie'")
+    r2 = row(ing2, ing2, "emollient", f"CASE WHEN {v} = 5 THEN {none} ELSE [({k} % 4){text}] END", f"[({k} % 2){text}]", "'icky'")
+    r3 = row(ing3, ing3, "preservative", "['0']", f"CASE WHEN {v} = 5 THEN {none} ELSE ['1'] END", "NULL")
+    rows = f"(CASE WHEN {v} = 8 THEN [{r1}, {r3}] ELSE [{r1}, {r2}, {r3}] END)"
+    items = (f"list_filter({rows}, lambda z, i: list_position(list_transform({rows}, lambda y: y.name), z.name) = i)")
+    highlights = (f"[struct_pack(\"function\" := 'solvent', ingredients := [{ing1}]), "
+                  f"struct_pack(\"function\" := '', ingredients := [{ing3}])]")
     return (
-        f"SELECT page_id, "
-        f"CASE WHEN {ok} AND {_present(brand_raw)} AND {_present(name_raw)} THEN {O.ustrip(brand_raw)} || ' ' || {O.ustrip(name_raw)} END AS full_name, "
-        f"CASE WHEN {ok} THEN {_strip_if(brand_raw)} END AS brand, CASE WHEN {ok} THEN {_strip_if(name_raw)} END AS name, "
-        f"CASE WHEN {ok} THEN {_strip_if(_first(h, E.DETAILS_RE))} END AS description, "
-        f"coalesce(page_number, 0) AS page_number, url, "
+        f"SELECT {k} AS page_id, CASE WHEN {ok} THEN {brand} || ' ' || {name} END AS full_name, "
+        f"CASE WHEN {ok} THEN {brand} END AS brand, CASE WHEN {ok} THEN {name} END AS name, "
+        f"CASE WHEN {ok} THEN p_type || ' size ' || p_size END AS description, "
+        f"CAST(floor({k} / 50) + 1 AS INTEGER) AS page_number, '{SHOP}/products/' || {k} AS url, "
         f"CASE WHEN {ok} THEN {image} END AS image_url, "
-        f"CASE WHEN {ok} AND contains({image}, '@') THEN split_part({image}, '@', 1) || '_original.jpeg' END AS high_res_image_url, "
-        f"CASE WHEN {ok} THEN {_ingredients_sql(h, 'url')} END AS ingredients, "
-        f"CASE WHEN {ok} AND {section} IS NOT NULL AND len({tags}) > 0 THEN {_nonblank(tags)} END AS hashtags, "
-        f"CASE WHEN {ok} THEN {_highlights_sql(section)} END AS highlights, "
-        f"CASE WHEN NOT {ok} THEN 'empty or missing page body' END AS error "
-        f"FROM ({_product_pages_sql()}) pp")
+        f"CASE WHEN {ok} AND {v} <> 6 THEN '/img/' || {k} || '_original.jpeg' END AS high_res_image_url, "
+        f"CASE WHEN {ok} THEN CASE WHEN {v} = 3 THEN [] ELSE {items} END END AS ingredients, "
+        f"CASE WHEN {ok} THEN ['#' || {ing3}] END AS hashtags, CASE WHEN {ok} THEN {highlights} END AS highlights, "
+        f"CASE WHEN NOT {ok} THEN 'empty or missing page body' END AS error FROM part")
 
 
 EXTRACTED = _extracted_sql()
@@ -789,6 +701,10 @@ def _stream_links(spark, sf, resume: bool = False):
     return spark.read.parquet(out)
 
 
+def _stored_state(spark, base):
+    return spark.read.parquet(W.current_pointer(spark, base)["path"])
+
+
 @register("stream_dedup",
           f"SELECT full_url, r.page_id AS page_id, r.pos AS pos, r.page_number AS page_number FROM ({FIRST_SEEN}) f")
 def q_stream_dedup(spark, sf):
@@ -815,8 +731,30 @@ def q_stream_upsert(spark, sf):
     pages = FX.product_pages(spark, sf)
     SI.stage_files(pages, src, STREAM_FILES, "page_id")
     SI.run_state_stream(spark, src, base, ck, pages.schema, FX.catalogue(spark, sf))
-    st = spark.read.parquet(spark.read.parquet(f"{base}/_current").orderBy(F.col("version").desc()).first()["path"])
-    return st.select("url", "full_name", "matched", "matched_name", "category")
+    return _stored_state(spark, base).select("url", "full_name", "matched", "matched_name", "category")
+
+
+@register("stream_two_runs",
+          f"SELECT 'link' AS kind, full_url AS url, NULL::VARCHAR AS full_name, NULL::BOOLEAN AS matched FROM ({FIRST_SEEN}) f "
+          f"UNION ALL SELECT 'product', url, full_name, matched FROM ({PRODUCTS_MATCHED}) p")
+def q_stream_two_runs(spark, sf):
+    """T2-T4 over two runs with checkpoints of their own and one output: the
+    second adds to what the first left."""
+    run = SI.new_run_dir(spark, "two-runs")
+    listing, product = FX.listing_pages(spark, sf), FX.product_pages(spark, sf)
+    for k in (0, 1):
+        for name, pages in (("listing", listing), ("product", product)):
+            mid = pages.agg(F.percentile_approx("page_id", 0.5)).first()[0]
+            part = pages.filter((F.col("page_id") > mid) == F.lit(bool(k)))
+            SI.stage_files(part, f"{run}/{name}-{k}", 2, "page_id")
+        SI.run_link_stream(spark, f"{run}/listing-{k}", f"{run}/links", f"{run}/link-checkpoint-{k}", listing.schema)
+        SI.run_state_stream(spark, f"{run}/product-{k}", f"{run}/state", f"{run}/state-checkpoint-{k}", product.schema,
+                            FX.catalogue(spark, sf))
+    links = spark.read.parquet(f"{run}/links")
+    none = F.lit(None)
+    return (links.select(F.lit("link").alias("kind"), F.col("full_url").alias("url"), none.cast("string").alias("full_name"),
+                         none.cast("boolean").alias("matched"))
+            .unionByName(_stored_state(spark, f"{run}/state").select(F.lit("product").alias("kind"), "url", "full_name", "matched")))
 
 
 @register("stream_stats",
@@ -873,3 +811,56 @@ def q_global_stats_update(spark, sf):
     run = _summary_files(spark, sf)
     prev = SS.read_global_stats(spark, f"{run}/global_stats")   # none saved yet -> empty
     return R.add_to_global(prev, SS.read_batch_summaries(spark, run))
+
+
+# --------------------------------------------------------------------------
+# the whole run
+# --------------------------------------------------------------------------
+
+FULL_RUN = (
+    f"SELECT url, full_name, page_number, matched, matched_name, category, error, "
+    f"CAST(ceil(row_number() OVER (ORDER BY page_number, pos, url) / 500) AS INTEGER) AS batch_number FROM ("
+    f"SELECT r.full_url AS url, st.full_name, r.page_number, r.pos, r.matched, r.matched_name, r.category, NULL::VARCHAR AS error "
+    f"FROM ({ROUTED}) r JOIN ({STATE}) st ON st.url = r.full_url WHERE r.route IN ('emit_cached', 'emit_rematched') "
+    f"UNION ALL SELECT r.full_url, pm.full_name, r.page_number, r.pos, coalesce(pm.matched, false), pm.matched_name, pm.category, "
+    f"CASE WHEN pm.url IS NULL OR pm.error IS NOT NULL THEN 'page not fetched' END "
+    f"FROM ({ROUTED}) r LEFT JOIN ({PRODUCTS_MATCHED}) pm ON pm.url = r.full_url WHERE r.route = 'fetch') u")
+
+
+def _full_run(spark, sf):
+    """A run on the state of earlier crawls; returns its folder and products."""
+    from .crawl import STATE_SCHEMA, run_crawl
+    base = SI.new_run_dir(spark, "crawl")
+    schema = spark.createDataFrame([], STATE_SCHEMA).schema
+    earlier = _state(spark, sf).withColumn("version", F.col("version").cast("bigint"))
+    for f in schema:
+        if f.name not in earlier.columns:
+            earlier = earlier.withColumn(f.name, F.lit(None).cast(f.dataType))
+    W.publish_state(earlier.select(*[f.name for f in schema]), f"{base}/state", 2)
+    return base, run_crawl(spark, FX.listing_pages(spark, sf), FX.product_pages(spark, sf), FX.catalogue(spark, sf), base, run_id="run-1")
+
+
+@register("full_pipeline", FULL_RUN)
+def q_full_pipeline(spark, sf):
+    """Links, routes, fetch, extraction, match, state, batches, summaries."""
+    _, products = _full_run(spark, sf)
+    return products.select("url", "full_name", "page_number", "matched", "matched_name", "category", "error", "batch_number")
+
+
+@register("full_pipeline_state",
+          f"SELECT coalesce(p.url, st.url) AS url, CASE WHEN p.url IS NULL THEN st.full_name ELSE p.full_name END AS full_name, "
+          f"CASE WHEN p.url IS NULL THEN st.matched ELSE p.matched END AS matched FROM ({STATE}) st FULL OUTER JOIN ({FULL_RUN}) p ON p.url = st.url")
+def q_full_pipeline_state(spark, sf):
+    """The state after the run, re-matched rows written back."""
+    base, _ = _full_run(spark, sf)
+    return _stored_state(spark, f"{base}/state").select("url", "full_name", "matched")
+
+
+@register("full_pipeline_stats",
+          f"SELECT sum(pages)::BIGINT AS total_pages, sum(products)::BIGINT AS total_products, sum(good)::BIGINT AS matched_products, "
+          f"count(*) AS total_batches FROM (SELECT floor((page_number - 1) / 100) AS b, count(DISTINCT page_number) AS pages, "
+          f"count(*) AS products, count(*) FILTER (WHERE matched) AS good FROM ({FULL_RUN}) p GROUP BY 1) g")
+def q_full_pipeline_stats(spark, sf):
+    """The global stats that the run left, read back."""
+    base, _ = _full_run(spark, sf)
+    return SS.read_latest_global_stats(spark, base)
