@@ -14,7 +14,7 @@ FAST = ["catalogue_validate", "normalize_names", "catalogue_dedup", "duplicate_c
         "missing_pages", "page_batches", "resume_point", "state_upsert", "state_semi", "state_anti",
         "state_stats", "state_clear", "route_links", "output_batches", "product_fields", "ingredients",
         "ingredient_ratings", "hashtags", "highlights", "extract_errors", "product_match", "stream_dedup",
-        "stream_resume", "stream_stats"]
+        "stream_resume", "stream_stats", "stream_two_runs", "topk_per_scorer", "recommendation"]
 
 
 @pytest.fixture(scope="module")
@@ -26,9 +26,19 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
-    assert not [k for k in queries() if "pipeline" in k]
+    from catalog_engine.plans.registry import ORACLE, QUERIES
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("threshold", [80, 90, 95])
+def test_best_match_is_the_best_of_all_pairs(spark, con, threshold):
+    """The pruned join against SQL that scores every pair."""
+    from catalog_engine.operators import matching as M
+    from catalog_engine.plans import fixtures as FX
+    from catalog_engine.plans.registry import _best_match_sql
+    run = lambda s, sf: M.best_match(FX.query_names(s, sf), FX.catalogue(s, sf), threshold=threshold)
+    r = compare(spark, con, f"best_match_{threshold}", run, _best_match_sql(threshold, pruned=False), SF_SMALL)
+    assert r["status"] == "ok", r
 
 
 @pytest.mark.parametrize("name", FAST)

@@ -70,3 +70,63 @@ def test_skip_modes_and_offsets(spark):
     assert keep_s == ["/products/all-day-cream", "/products/7"]
     u = spark.createDataFrame([("x?offset=12&offset=3",), ("x?page=2",), ("x?offset=",)], "url string")
     assert [r.o for r in u.select(L.page_offset("url").alias("o")).collect()] == [12, 0, 0]
+
+
+def test_dot_segments_at_any_depth(spark):
+    from urllib.parse import urljoin
+    from catalog_engine.functions.urls import resolve_url
+    base = "https://s.com/a/b/c/d/e/p?x=1#f"
+    hrefs = ["../../../../z", "../../../../../../../z", "..", ".", "a/..", "a/./b", "/q/../w", "/../w", "/a/b/../../..", "./x?y=../z", "g;x/../y",
+             "a//b", "//h.com/a/../b", "https://o.com/a/../b", "", "?q", "#g", "../x#../y"]
+    rows = spark.createDataFrame([(base, h) for h in hrefs], "b string, h string")
+    for r in rows.select("h", resolve_url("b", "h").alias("u")).collect():
+        assert r.u == (urljoin(base, r.h) if r.h else base.partition("#")[0]), r.h
+
+
+def test_links_from_ordinary_markup(spark):
+    html = """<!-- <a href="/products/old">x</a> --><a data-href="/products/no">n</a><a class='c' href='/products/1?a=1&amp;b=&#50;'>1</a>
+    <A HREF=/products/2>2</A><a href="/products/3?offset=99999999999999999999">3</a>"""
+    from catalog_engine.operators import links as L
+    page = spark.createDataFrame([(1, "https://s.com/products/all?offset=9223372036854775807", html)], "page_id long, url string, html string")
+    assert [r.href for r in L.extract_links(page).orderBy("pos").collect()] == ["/products/1?a=1&b=2", "/products/2", "/products/3?offset=99999999999999999999"]
+    assert L.product_links(page).select("page_number").first().page_number is None
+    L.with_page_numbers(page.select("page_id", "url")).collect()
+
+
+def test_product_page_probes(spark):
+    from catalog_engine.operators.extract import extract_products
+
+    def one(body):
+        row = spark.createDataFrame([("https://s.com/p", body, 1)], "url string, html string, page_number int")
+        return extract_products(row).first()
+
+    r = one("""<span id='product-brand-title'><a>Head &amp; Shoulders&#33;</a></span><span class="x" id=product-title>A &eacute;&#x42;</span>
+    <div class="image big"><div><b></b></div><img src='/i@2.png'></div>""")
+    assert (r.brand, r.name, r.full_name, r.image_url) == ("Head & Shoulders!", "A éB", "Head & Shoulders! A éB", "/i@2.png")
+    r = one("""<span id="product-brand-title"></span><a>Log in</a><table class="product-skim"><tbody><tr><td><a>no</a></td></tr></tbody></table>
+    <div class="image"></div><footer><img src="/logo.png"><span class="hashtag">#no</span></footer>""")
+    assert r.brand is None and r.image_url is None and r.ingredients == [] and r.hashtags is None
+    r = one("""<div id="ingredlist-table-section"><div>x</div><table class="a product-skim"><tbody><tr><td><a href="/w"><b>x</b>Aqua</a></td></tr></tbody></table>
+    <table class="product-skim"><tbody><tr><td><a>Two</a></td></tr></tbody></table></div>
+    <div id="ingredlist-highlights-section"><div class="ingredlist-by-function-block"><div class="k"><span class="a bold" x="1"><a>F</a></span>
+    <span y="2"><a>I</a></span></div></div></div><div><span class="hashtag">#out</span></div>""")
+    assert [(i.name, i.ingredient_link) for i in r.ingredients] == [("Aqua", "https://s.com/w"), ("Two", None)]
+    assert [(h.function, h.ingredients) for h in r.highlights] == [("F", ["I"])] and r.hashtags is None
+
+
+def test_plan_grows_with_the_corpus(spark):
+    from catalog_engine.operators import links as L
+    offsets = spark.createDataFrame([(0,), (4000,), (4005,)], "offset long")
+    plan = {r.batch_number: (r.pages, r.pages_present) for r in L.batch_plan(spark, offsets).collect()}
+    assert plan[1] == (100, 1) and plan[41] == (6, 2)
+    assert L.missing_pages(spark, offsets).count() == 4006 - 3
+
+
+def test_study_keeps_every_score(spark):
+    from catalog_engine.operators import matching as M
+    cat = spark.createDataFrame([(0, "dove", "shampoo", "c")], "idx long, brand string, name string, category string")
+    q = spark.createDataFrame([(1, "zzz qqq")], "query_id long, query string")
+    per, merged = M.study_topk(q, cat)
+    assert per.count() == 3 and merged.count() == 1
+    assert M.recommendation(q, merged).first().quality == "poor"
+    assert M.recommendation(q, M.study_topk(q, cat.limit(0))[1]).first().quality == "none"

@@ -43,3 +43,60 @@ def test_routes_partition_links(spark):
     counts = {x.route: x["count"] for x in r.groupBy("route").count().collect()}
     assert set(counts) <= set(ST.ROUTES)
     assert sum(counts.values()) == r.count()
+
+
+def test_upsert_does_not_depend_on_row_order(spark):
+    rows = [("u", str(k), False, 1) for k in range(4)]
+    schema = "url string, full_name string, matched boolean, version int"
+    got = set()
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        got.add(ST.upsert(spark.createDataFrame([], schema), spark.createDataFrame(order, schema).coalesce(1)).first().full_name)
+    assert len(got) == 1
+    placed = spark.createDataFrame([("u", "late", False, 1, 9), ("u", "zzz", False, 1, 3)], schema + ", pos long")
+    assert ST.upsert(placed.limit(0), placed).first().full_name == "late"
+
+
+def test_published_metadata(spark):
+    base = scratch_path(spark, "test-meta")
+    state = spark.createDataFrame([("u", True), ("v", False)], "url string, matched boolean")
+    W.publish_state(state, base, 1, run_id="r", batch_id=4)
+    W.publish_state(state.limit(1), base, 2)
+    rows = W.published(spark, base).orderBy("version").collect()
+    assert [(r.version, r.run_id, r.batch_id, r.size) for r in rows] == [(1, "r", 4, 2), (2, "", -1, 1)]
+    assert rows[0].matched_count == 1 and rows[0].last_saved is not None
+
+
+def test_only_a_missing_path_is_an_empty_state(spark):
+    import pytest
+    base = scratch_path(spark, "test-broken")
+    schema = T.StructType([T.StructField("url", T.StringType())])
+    W.publish_state(spark.createDataFrame([("u",)], schema), base, 1)
+    # the snapshot's folder is gone: an error, not an empty state
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(W.current_pointer(spark, base)["path"])
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        W.read_state(spark, base, schema).count()
+
+
+def test_stream_replay_after_a_crash(spark):
+    """A micro-batch that fails after its version stands is not applied again."""
+    from catalog_engine.plans import fixtures as FX
+    from catalog_engine.streaming import ingest as SI
+    from conftest import SF_SMALL
+    import pytest
+    run = SI.new_run_dir(spark, "crash")
+    pages = FX.product_pages(spark, SF_SMALL).filter("page_id <= 40")
+    SI.stage_files(pages, f"{run}/source", 2, "page_id")
+    args = (spark, f"{run}/source", f"{run}/state", f"{run}/checkpoint", pages.schema, FX.catalogue(spark, SF_SMALL))
+
+    def fail(batch_id):
+        raise RuntimeError(f"stopped after batch {batch_id}")
+
+    with pytest.raises(Exception, match="stopped after batch 0"):
+        SI.run_state_stream(*args, after_publish=fail)
+    assert [r.version for r in W.published(spark, f"{run}/state").collect()] == [1]
+    SI.run_state_stream(*args)
+    rows = W.published(spark, f"{run}/state").orderBy("version").collect()
+    assert [(r.version, r.batch_id) for r in rows] == [(1, 0), (2, 1)]
+    state = spark.read.parquet(rows[-1].path)
+    assert sorted(r.url for r in state.select("url").collect()) == sorted(r.url for r in pages.select("url").collect())
