@@ -155,62 +155,74 @@ def score_pairs(pairs: DataFrame, a: str, b: str, scorers=None,
 # threshold study
 # --------------------------------------------------------------------------
 
-def study_topk(queries: DataFrame, catalogue: DataFrame, *, top_matches: int = 5,
-               query_col: str = "query", key: str = "query_id", literal_merge: bool = True,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Per scorer the top ``2 * top_matches`` catalogue rows
-    (normalised text), merged by max score per catalogue row, final top-K.
-
-    No score is cut: a query without any good candidate still gets its best
-    ones, however low.
-
-    Returns ``(per_scorer, merged)``.
-    """
-    k2 = 2 * top_matches
+def study_scores(queries: DataFrame, catalogue: DataFrame, *, query_col: str = "query", key: str = "query_id",
+                 carry: tuple[str, ...] = (), broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """M9: every (query, catalogue row, scorer) with its score on normalised
+    text. No score is cut: a query without any good candidate still gets its
+    best ones, however low. ``carry`` names query columns to keep."""
     cat = match_side(catalogue, "normalize")
     # explicit count: AQE would coalesce a small set of queries into one task
     spread = queries.repartition(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
     q = S.with_match_features(spread, apply_processor(F.col(query_col), "normalize"), "qf")
     pairs = _pairs(q, cat.select("idx", "full_name", *S.feature_columns("cf")), broadcast_rows)
     scored = pairs.select(
-        key, query_col, "idx", "full_name",
+        key, query_col, *carry, "idx", "full_name",
         F.array(*[F.struct(F.lit(n).alias("scorer"), S.score(n, S.Feat("qf"), S.Feat("cf")).alias("score"))
                   for n in STUDY_SCORERS]).alias("_s"))
-    long_ = scored.select(key, query_col, "idx", "full_name", F.inline("_s"))
+    return scored.select(key, query_col, *carry, "idx", "full_name", F.inline("_s"))
+
+
+def study_topk(queries: DataFrame, catalogue: DataFrame, *, top_matches: int | str = 5,
+               query_col: str = "query", key: str = "query_id", literal_merge: bool = True,
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Per scorer the top ``2 * top_matches`` catalogue rows,
+    merged by max score per catalogue row, final top-K. ``top_matches`` is a
+    number or the query column that holds each row's own.
+
+    Returns ``(per_scorer, merged)``.
+    """
+    carry = (top_matches,) if isinstance(top_matches, str) else ()
+    k = F.col(top_matches) if carry else F.lit(top_matches)
+    long_ = study_scores(queries, catalogue, query_col=query_col, key=key, carry=carry, broadcast_rows=broadcast_rows)
     w = Window.partitionBy(key, "scorer").orderBy(F.col("score").desc(), F.col("idx"))
-    per_scorer = (long_.withColumn("rank", F.row_number().over(w))
-                  .filter(F.col("rank") <= k2))
-    if literal_merge:
-        merged_src = per_scorer.groupBy(key, query_col, "idx", "full_name").agg(F.max("score").alias("score"))
-    else:
-        merged_src = long_.groupBy(key, query_col, "idx", "full_name").agg(F.max("score").alias("score"))
+    per_scorer = long_.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 2 * k)
+    merged_src = (per_scorer if literal_merge else long_).groupBy(key, query_col, *carry, "idx", "full_name") \
+        .agg(F.max("score").alias("score"))
     w2 = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("idx"))
-    merged = merged_src.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= top_matches)
-    return per_scorer, merged
+    merged = merged_src.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
+    return per_scorer.drop(*carry), merged.drop(*carry)
+
+
+def study_all(queries: DataFrame, catalogue: DataFrame, *, query_col: str = "query", key: str = "query_id") -> DataFrame:
+    """M13 over the whole catalogue: every row's best score over the scorers,
+    for ``threshold_sweep`` without the top-K cut."""
+    return (study_scores(queries, catalogue, query_col=query_col, key=key)
+            .groupBy(key, query_col, "idx", "full_name").agg(F.max("score").alias("score")))
 
 
-def study_matches(merged: DataFrame, show_threshold: float = 70, key: str = "query_id") -> DataFrame:
-    """Displayed rows (score >= show_threshold) and the >= 90 flag."""
-    return (merged.filter(F.col("score") >= show_threshold)
+def study_matches(merged: DataFrame, show_threshold: float | str = 70, key: str = "query_id") -> DataFrame:
+    """Displayed rows (score >= show_threshold, a number or a column
+    with each query's own) and the >= 90 flag."""
+    shown = F.col(show_threshold) if isinstance(show_threshold, str) else F.lit(show_threshold)
+    return (merged.filter(F.col("score") >= shown)
             .withColumn("high_quality", F.col("score") >= HIGH_QUALITY_SCORE))
 
 
 def threshold_sweep(queries: DataFrame, merged: DataFrame, *, query_col: str = "query",
-                    key: str = "query_id", scope: str = "topk") -> DataFrame:
+                    key: str = "query_id") -> DataFrame:
     """Per query and threshold, MATCH/NO MATCH from the best score
-    and the number of top-K rows at or above the threshold.
+    and the number of rows of ``merged`` (the top-K, or ``study_all``) at or
+    above the threshold.
 
     ``queries`` keeps queries without any candidate (NO MATCH, 0)."""
     per_q = merged.groupBy(key).agg(
         F.max("score").alias("best_score"),
-        F.collect_list("score").alias("_scores"))
-    th = F.explode(F.array(*[F.lit(t) for t in STUDY_THRESHOLDS])).alias("threshold")
-    base = queries.select(key, query_col).join(per_q, key, "left")
-    return (base.select(key, query_col, "best_score", "_scores", th)
-            .select(key, query_col, "threshold",
-                    F.coalesce(F.col("best_score") >= F.col("threshold"), F.lit(False)).alias("would_match"),
-                    F.coalesce(F.size(F.filter("_scores", lambda s: s >= F.col("threshold"))),
-                               F.lit(0)).cast("long").alias("matching_products")))
+        *[F.count_if(F.col("score") >= t).alias(f"_n{t}") for t in STUDY_THRESHOLDS])
+    each = F.inline(F.array(*[F.struct(F.lit(t).alias("threshold"),
+                                       F.coalesce(F.col("best_score") >= t, F.lit(False)).alias("would_match"),
+                                       F.coalesce(F.col(f"_n{t}"), F.lit(0)).cast("long").alias("matching_products"))
+                              for t in STUDY_THRESHOLDS]))
+    return queries.select(key, query_col).join(per_q, key, "left").select(key, query_col, each)
 
 
 def recommendation(queries: DataFrame, merged: DataFrame, *, query_col: str = "query", key: str = "query_id") -> DataFrame:

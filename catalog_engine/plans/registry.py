@@ -204,6 +204,19 @@ def q_threshold_sweep(spark, sf):
     return M.threshold_sweep(sq, mg)
 
 
+@register("threshold_sweep_all",
+          _study_sql_prefix() +
+          "SELECT sq.query_id, sq.query, t.threshold, coalesce(max(al.score) >= t.threshold, false) AS would_match, "
+          "count(al.score) FILTER (WHERE al.score >= t.threshold) AS matching_products "
+          "FROM sq CROSS JOIN (SELECT unnest(" + str(M.STUDY_THRESHOLDS) + ") AS threshold) t "
+          "LEFT JOIN (SELECT query_id, idx, max(score) AS score FROM lg GROUP BY ALL) al ON al.query_id = sq.query_id "
+          "GROUP BY sq.query_id, sq.query, t.threshold")
+def q_threshold_sweep_all(spark, sf):
+    """The sweep over the whole catalogue instead of the top-K."""
+    sq = FX.study_queries(spark, sf)
+    return M.threshold_sweep(sq, M.study_all(sq, FX.catalogue(spark, sf)))
+
+
 @register("recommendation",
           _study_sql_prefix() +
           "SELECT sq.query_id, sq.query, round(b.best, 4) AS best_score, "

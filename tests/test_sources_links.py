@@ -130,3 +130,14 @@ def test_study_keeps_every_score(spark):
     assert per.count() == 3 and merged.count() == 1
     assert M.recommendation(q, merged).first().quality == "poor"
     assert M.recommendation(q, M.study_topk(q, cat.limit(0))[1]).first().quality == "none"
+
+
+def test_study_takes_each_query_s_own_count_and_threshold(spark):
+    from catalog_engine.operators import matching as M
+    cat = spark.createDataFrame([(i, "brand", f"name {i}", "c") for i in range(9)], "idx long, brand string, name string, category string")
+    q = spark.createDataFrame([(1, "brand name 1", 2, 101.0), (2, "brand name 2", 4, 0.0)], "query_id long, query string, n int, t double")
+    per, merged = M.study_topk(q, cat, top_matches="n")
+    assert {r.query_id: r["count"] for r in merged.groupBy("query_id").count().collect()} == {1: 2, 2: 4}
+    assert {r.query_id: r["count"] for r in per.groupBy("query_id").count().collect()} == {1: 12, 2: 24}
+    shown = M.study_matches(merged.join(q.select("query_id", "t"), "query_id"), "t")
+    assert {r.query_id for r in shown.collect()} == {2}
