@@ -55,7 +55,7 @@ def stage_files(df: DataFrame, path: str, increments: int, order: str) -> None:
     in ``order`` (files arrive in crawl order, as they would from a crawler),
     so a file stream sees the data in several micro-batches. The table is
     computed once; rows without an order key arrive first."""
-    spark, staged = df.sparkSession, f"{path}-staged"
+    spark, staged = df.sparkSession, f"{path}-staged-{uuid.uuid4().hex[:12]}"
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     width = ((hi - lo + 1) / increments) if lo is not None else 1
     bucket = F.coalesce(F.floor((F.col(order) - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(0))
