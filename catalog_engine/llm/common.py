@@ -196,6 +196,12 @@ def cached_tokenizer(path: str, dtype: str = "<u4") -> CachedTokenizer:
     return _TOKENIZERS[path, dtype]
 
 
+def release_tokenizers() -> None:
+    """Tasks that need none call this: Python workers live on from stage to
+    stage, and would carry the word cache along."""
+    _TOKENIZERS.clear()
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 

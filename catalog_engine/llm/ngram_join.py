@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from catalog_engine.llm.common import connected_components, cut, free_name, need_columns
+from catalog_engine.llm.common import connected_components, cut, free_name, need_columns, release_tokenizers
 
 SHINGLE_WORDS = 3
 #: Similarity in hundredths.
@@ -133,6 +133,7 @@ def _described(words: int):
     """Per document the size and a 128-bit hash of its set."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_tokenizers()
         for batch in batches:
             keys = []
             for text in batch["text"]:
@@ -247,21 +248,20 @@ def _search_group(threshold: int, words: int):
     return search
 
 
-def _pivot_round(threshold: int, words: int):
-    """Compares members of a large group with its first one."""
+def _with_pivot(threshold: int, words: int):
+    """Compares some members of a large group with its pivot."""
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            known: dict = {}
-            same = []
-            for group, text, pivot in zip(batch["group"], batch["text"], batch["pivot_text"]):
-                if group not in known:
-                    known = {group: shingle_set(pivot, words)}
-                own, first = shingle_set(text, words), known[group]
-                both = len(np.intersect1d(own, first, assume_unique=True))
-                union = len(own) + len(first) - both
-                same.append((100 * both >= threshold * union, 1 - both / union))
-            yield pd.DataFrame({"group": batch["group"], "uid": batch["uid"], "n": batch["n"], "linked": [s[0] for s in same], "apart": [s[1] for s in same]})
+    def compare(members: pd.DataFrame, pivot: pd.DataFrame) -> pd.DataFrame:
+        out = members[["group", "uid", "n", "class"]]
+        if not len(members) or not len(pivot):
+            return out.iloc[:0].assign(linked=False, apart=0.0)
+        first, same = shingle_set(pivot["pivot_text"].iloc[0], words), []
+        for text in members["text"]:
+            own = shingle_set(text, words)
+            both = len(np.intersect1d(own, first, assume_unique=True))
+            union = len(own) + len(first) - both
+            same.append((100 * both >= threshold * union, 1 - both / union))
+        return out.assign(linked=[x[0] for x in same], apart=[x[1] for x in same])
 
     return compare
 
@@ -269,22 +269,35 @@ def _pivot_round(threshold: int, words: int):
 def _split(large: DataFrame, texts: DataFrame, limit: int, threshold: int, words: int) -> DataFrame:
     """Links within groups that are too large for one task.
 
-    Every member is first compared with the group's smallest one, its pivot,
-    which takes one row per member. Jaccard distance is a metric: a member
-    linked with the pivot needs comparing only with those that are not, and
-    only if their distances to the pivot differ by at most 1 - t. What
-    remains is dealt into blocks, and pairs of blocks are searched, each in a
-    task of its own."""
-    member = large.join(texts, "uid")
-    pivot = large.groupBy("group").agg(F.min("uid").alias("uid")).join(texts, "uid").select("group", F.col("text").alias("pivot_text"), F.col("uid").alias("pivot"))
-    compared = cut(member.join(pivot.drop("pivot"), "group").select("group", "uid", "n", "text", "pivot_text").mapInPandas(_pivot_round(threshold, words), "group bigint, uid bigint, n bigint, linked boolean, apart double"))
-    star = compared.where("linked").join(pivot.select("group", "pivot"), "group").select(F.col("uid").alias("a"), F.col("pivot").alias("b")).where("a != b")
+    Every member is first compared with one, the pivot (of the size class that
+    holds most), which takes one look per member. Jaccard distance is a metric:
+    what is linked with the pivot needs comparing only with what is not, and
+    only if the distances to the pivot differ by at most 1 - t. What remains
+    is dealt into blocks of one size class; a pair of blocks of the same or of
+    neighbouring classes is searched in a task of its own."""
+    ends, _ = size_classes(threshold)
+    # classes that a partner can be away: it has at most n / t shingles
+    steps = max(int(np.searchsorted(ends, e * 100 // threshold)) - c for c, e in enumerate(ends[:-40].tolist()))
+    large = large.withColumn("class", F.size(F.filter(F.array(*[F.lit(int(e)) for e in ends]), lambda e: e < F.col("n"))))
+    heavy = large.groupBy("group", "class").agg(F.sum("n").alias("s"), F.min("uid").alias("uid"))
+    heavy = heavy.groupBy("group").agg(F.max(F.struct("s", "uid"))["uid"].alias("pivot"), F.ceil(F.sum("s") / limit).cast("int").alias("shares"))
+    heavy = cut(heavy)
+    dealt = large.join(heavy.drop("pivot"), "group").withColumn("share", F.pmod(F.xxhash64("uid", F.lit(7)), F.col("shares")).cast("int"))
+    dealt = dealt.join(texts, "uid").select("group", "share", "uid", "n", "class", "text")
+    pivots = heavy.join(texts, F.col("pivot") == F.col("uid")).select(F.col("group").alias("of"), F.explode(F.expr("sequence(0, shares - 1)")).alias("part"), F.col("text").alias("pivot_text"))
+    schema = "group bigint, uid bigint, n bigint, class int, linked boolean, apart double"
+    compared = cut(dealt.groupBy("group", "share").cogroup(pivots.groupBy("of", "part")).applyInPandas(_with_pivot(threshold, words), schema))
+    star = compared.where("linked").join(heavy, "group").select(F.col("uid").alias("a"), F.col("pivot").alias("b")).where("a != b")
     nearest = compared.where(~F.col("linked")).groupBy("group").agg(F.min("apart").alias("nearest"))
     rest = compared.join(nearest, "group").where(~F.col("linked") | (F.col("apart") >= F.col("nearest") - (100 - threshold) / 100 - 1e-9))
-    blocks = rest.groupBy("group").agg(F.ceil(F.sum("n") * 2 / limit).alias("blocks"))
-    rest = rest.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")))
-    pairs = rest.select("group", "uid", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-    pairs = pairs.select("group", "uid", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("role"))
+    blocks = cut(rest.groupBy("group", "class").agg(F.ceil(F.sum("n") * 2 / limit).cast("int").alias("blocks")))
+    rest = rest.join(blocks, ["group", "class"]).withColumn("block", F.pmod(F.xxhash64("uid", F.lit(8)), F.col("blocks")).cast("int"))
+    own = F.struct("class", "block")
+    rest = rest.select("group", "uid", own.alias("own"), F.explode(F.array(*[F.col("class") + d for d in range(-steps, steps + 1)])).alias("class"))
+    rest = rest.join(blocks, ["group", "class"])
+    rest = rest.select("group", "uid", "own", "class", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block")).select("group", "uid", "own", own.alias("other"))
+    role = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    pairs = rest.select("group", "uid", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), role.alias("role"))
     found = pairs.join(texts, "uid").groupBy("group", "x", "y").applyInPandas(_search_group(threshold, words), "a bigint, b bigint")
     return star.union(found)
 

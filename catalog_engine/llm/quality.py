@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog_engine.llm.common import cut, free_name, need_columns
+from catalog_engine.llm.common import cut, free_name, need_columns, release_tokenizers
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE_DOCS = 20_000
@@ -176,6 +176,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS) -> Model
 
 
 def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    release_tokenizers()
     features = Features()
     for batch in batches:
         yield batch[["doc_id", "grade"]].assign(buckets=[features.of(t) for t in batch["text"]])
@@ -208,6 +209,7 @@ def _scored(model: Model) -> Callable:
     values, thresholds = model.weights[at], model.thresholds  # a sparse copy travels to the tasks
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_tokenizers()
         weights, features = np.zeros(BUCKETS), Features()
         weights[at] = values
         model = Model(weights, thresholds)
