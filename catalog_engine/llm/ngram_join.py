@@ -127,44 +127,55 @@ def signatures(shingles: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
 
 #: Documents whose signatures are matched at once before they are shuffled.
 BLOCK_DOCS = 1000
+#: Signatures of at most so many documents give all their pairs, which are
+#: tested one by one; those of more only tie their documents together.
+SMALL = 4
+HISTOGRAM = 64
 
 
 def _described(words: int):
-    """Per document the size and a 128-bit hash of its set."""
+    """Per document the size, a 128-bit hash and a histogram of its set: the
+    shingles in each of a few buckets by hash (the sum of the differences of two
+    histograms is never above the number of shingles in which the sets differ)."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         release_tokenizers()
         for batch in batches:
-            keys = []
+            keys, counts = [], []
             for text in batch["text"]:
                 s = shingle_set(text, words)
+                held = np.bincount((s >> np.uint64(40)).astype(np.int64) % HISTOGRAM, minlength=HISTOGRAM)
+                counts.append(np.minimum(held, 65535).astype("<u2").tobytes())
                 keys.append((len(s), *(int(_mix(s ^ m).sum(dtype=np.uint64)) for m in (_M2, _M3))))
             h = [np.array([k[i] for k in keys], dtype=np.uint64).view(np.int64) for i in (1, 2)]
-            yield batch[["doc_id", "uid"]].assign(n=[k[0] for k in keys], h1=h[0], h2=h[1])
+            yield batch[["doc_id", "uid"]].assign(n=[k[0] for k in keys], h1=h[0], h2=h[1], histogram=counts)
 
     return describe
 
 
 def _signed(threshold: int, words: int):
-    """The signatures of each document. Within a block of documents a signature
-    goes on with the first one that has it, and the others meet that one under a
-    signature of its own; so a hot signature costs one row per block."""
+    """The signatures of each document, as even numbers. Where more than a few
+    documents of a block share one, it goes on with the first of them, and the
+    others meet that one under an odd number of its own; so a hot signature
+    costs a few rows per block."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), BLOCK_DOCS):
                 part = batch.iloc[at : at + BLOCK_DOCS]
                 uid, count = part["uid"].to_numpy(), len(part)
-                signs = [signatures(shingle_set(t, words), threshold) for t in part["text"]]
+                signs = [signatures(shingle_set(t, words), threshold) & ~np.uint64(1) for t in part["text"]]
                 every, of = np.concatenate(signs), np.repeat(np.arange(count), [len(x) for x in signs])
-                _, first, group = np.unique(every, return_index=True, return_inverse=True)
-                leads = np.zeros(len(every), dtype=bool)
-                leads[first] = True
+                _, first, group, size = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
+                stays = np.ones(len(every), dtype=bool)
+                if len(every):
+                    stays = size[group] <= SMALL
+                    stays[first] = True
                 lead = of[first[group]] if len(every) else of
-                met = np.unique(np.stack([of[~leads], lead[~leads]]), axis=1)
-                own = _mix(uid.view(np.uint64) ^ _M1)
-                of = np.concatenate([of[leads], met[0], np.unique(met[1])])
-                every = np.concatenate([every[leads], own[met[1]], own[np.unique(met[1])]])
+                met = np.unique(np.stack([of[~stays], lead[~stays]]), axis=1)
+                own = _mix(uid.view(np.uint64) ^ _M1) | np.uint64(1)
+                of = np.concatenate([of[stays], met[0], np.unique(met[1])])
+                every = np.concatenate([every[stays], own[met[1]], own[np.unique(met[1])]])
                 order = np.argsort(of, kind="stable")
                 ends = np.searchsorted(of[order], np.arange(count + 1))
                 every = every[order].view(np.int64)
@@ -173,6 +184,18 @@ def _signed(threshold: int, words: int):
     return sign
 
 
+def _possible(threshold: int):
+    """Pairs whose histograms allow a link."""
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch[c]), dtype="<u2").reshape(-1, HISTOGRAM).astype(np.int64) for c in ("a_histogram", "b_histogram"))
+            most = (batch["a_n"] + batch["b_n"]).to_numpy() * (100 - threshold) // (100 + threshold)
+            yield batch.loc[np.abs(a - b).sum(axis=1) <= most, ["uid", "other"]]
+
+    return keep
+
+
 class _Index:
     """Inverted lists over a few sets of one candidate group."""
 
@@ -343,14 +366,23 @@ def one_of_each(docs: DataFrame, threshold: int = THRESHOLD, words: int = SHINGL
 def row_classes(docs: DataFrame, threshold: int, words: int, group_shingles: int) -> DataFrame:
     """(doc_id, uid, n, class, component_id, set_id) for rows (doc_id, uid,
     text); the last three are null for texts without words."""
-    described = cut(docs.mapInPandas(_described(words), "doc_id bigint, uid bigint, n bigint, h1 bigint, h2 bigint"))
+    described = cut(docs.mapInPandas(_described(words), "doc_id bigint, uid bigint, n bigint, h1 bigint, h2 bigint, histogram binary"))
     linkable = described.where("n > 0")
     sets = cut(linkable.groupBy("n", "h1", "h2").agg(F.min("uid").alias("set_uid"), F.min("doc_id").alias("set_id")))
     # the texts are read once more, which is cheaper than to store signatures
     signed = docs.select("uid", "text").mapInPandas(_signed(threshold, words), "uid bigint, signs array<bigint>")
     signed = signed.select("uid", F.explode("signs").alias("sign"))
-    first = F.min("uid").over(Window.partitionBy("sign"))
-    near = cut(signed.select("uid", first.alias("first")).where("uid != first").distinct())
+    same, row = Window.partitionBy("sign"), Window.partitionBy("sign").orderBy("uid")
+    tied = (F.count(F.lit(1)).over(same) > SMALL) | (F.col("sign").bitwiseAND(F.lit(1)) == 1)
+    earlier = F.array(*[F.lag("uid", d).over(row) for d in range(1, SMALL)])
+    met = signed.select("uid", tied.alias("tied"), F.first("uid").over(row).alias("first"), earlier.alias("earlier"))
+    met = met.select("uid", "tied", F.explode(F.when(F.col("tied"), F.array("first")).otherwise(F.array_compact("earlier"))).alias("other"))
+    met = cut(met.where("uid != other").distinct())
+    about = linkable.select("uid", "n", "histogram").dropDuplicates(["uid"])
+    side = lambda name, key: about.select(F.col("uid").alias(key), F.col("n").alias(f"{name}_n"), F.col("histogram").alias(f"{name}_histogram"))
+    pairs = met.where("not tied").select("uid", "other").join(side("a", "uid"), "uid").join(side("b", "other"), "other")
+    pairs = pairs.select("uid", "other", "a_n", "a_histogram", "b_n", "b_histogram").mapInPandas(_possible(threshold), "uid bigint, other bigint")
+    near = cut(met.where("tied").select("uid", F.col("other").alias("first")).union(pairs))
     set_of = linkable.join(sets, ["n", "h1", "h2"]).select("uid", "set_uid")
     near = near.join(set_of, "uid").select(F.col("first").alias("uid"), F.col("set_uid").alias("a")).join(set_of, "uid").select("a", F.col("set_uid").alias("b"))
     groups = connected_components(near, "a", "b").select(F.col("id").alias("set_uid"), F.col("component").alias("group"))
