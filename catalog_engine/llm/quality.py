@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ SHAPES = 1 << 12
 #: Lengths of the word beginnings that are features besides whole words.
 STEMS = (4, 5)
 SEED = 5
+#: Documents that a scoring task hands on at once.
+BLOCK_DOCS = 1000
 #: A document is kept if the probability of the best grade reaches this.
 LEAST_TAIL = 0.7
 
@@ -69,7 +72,7 @@ class Features:
     beginnings, its distinct runs of signs, and steps of a few shares and of
     its length. Buckets of frequent words are remembered in a bounded cache."""
 
-    MAX_WORDS = 300_000
+    MAX_WORDS = 150_000
 
     def __init__(self):
         self.seen: dict[str, int] = {}
@@ -214,9 +217,13 @@ def _scored(model: Model) -> Callable:
         weights[at] = values
         model = Model(weights, thresholds)
         for batch in batches:
-            scores = np.array([model.weights[features.of(t)].sum() for t in batch["text"]])
-            p = model.probabilities(scores)
-            yield batch.assign(expected_grade=p @ np.arange(GRADES), tail=p[:, -1])
+            for at in range(0, len(batch), BLOCK_DOCS):
+                part = batch.iloc[at : at + BLOCK_DOCS]
+                p = model.probabilities(np.array([weights[features.of(t)].sum() for t in part["text"]]))
+                yield part.assign(expected_grade=p @ np.arange(GRADES), tail=p[:, -1])
+        # the worker lives on; what it holds would count against later stages
+        features.seen.clear()
+        pa.default_memory_pool().release_unused()
 
     return score
 
