@@ -208,13 +208,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
 
 
 def _scored(model: Model) -> Callable:
-    at = np.flatnonzero(model.weights)
-    values, thresholds = model.weights[at], model.thresholds  # a sparse copy travels to the tasks
+    buckets = np.flatnonzero(model.weights)
+    values, thresholds = model.weights[buckets], model.thresholds  # a sparse copy travels to the tasks
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         release_tokenizers()
         weights, features = np.zeros(BUCKETS), Features()
-        weights[at] = values
+        weights[buckets] = values
         model = Model(weights, thresholds)
         for batch in batches:
             for at in range(0, len(batch), BLOCK_DOCS):
