@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions.text import apply_processor, col_
 from ..session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, spread_for_compute
-from ..sources.catalogue import unique_catalogue
+from ..sources.catalogue import refuse_invalid, unique_catalogue
 
 # Fixed values (must equal the reference's rules):
 DEFAULT_THRESHOLD = 90          # match threshold
@@ -47,8 +47,11 @@ def required_threshold(query: Column, threshold: float) -> Column:
 
 
 def match_side(catalogue: DataFrame, processor: str | None = "none") -> DataFrame:
-    """De-duplicated catalogue with scorer features (built once per row)."""
-    return S.with_match_features(unique_catalogue(catalogue),
+    """De-duplicated catalogue with scorer features (built once per row). A
+    catalogue with an item that lacks brand or name is rejected whole (S3);
+    pass it through ``validate_catalogue(..., "quarantine")`` to match with
+    the other items."""
+    return S.with_match_features(unique_catalogue(refuse_invalid(catalogue)),
                                  apply_processor(F.col("full_name"), processor), "cf")
 
 

@@ -69,6 +69,14 @@ def validate_catalogue(catalogue: DataFrame, mode: str = "fail") -> DataFrame:
     return catalogue
 
 
+def refuse_invalid(catalogue: DataFrame) -> DataFrame:
+    """S3 inside a plan: reading an item that lacks brand or name fails the
+    query, without a job of its own before it."""
+    bad = F.col("brand").isNull() | F.col("name").isNull()
+    refused = F.raise_error(F.lit("catalogue rejected: an item lacks 'brand' or 'name'")).cast("string")
+    return catalogue.withColumn("brand", F.when(bad, refused).otherwise(F.col("brand")))
+
+
 def invalid_rows(catalogue: DataFrame) -> DataFrame:
     return catalogue.filter(F.col("brand").isNull() | F.col("name").isNull())
 

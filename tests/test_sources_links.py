@@ -141,3 +141,14 @@ def test_study_takes_each_query_s_own_count_and_threshold(spark):
     assert {r.query_id: r["count"] for r in per.groupBy("query_id").count().collect()} == {1: 12, 2: 24}
     shown = M.study_matches(merged.join(q.select("query_id", "t"), "query_id"), "t")
     assert {r.query_id for r in shown.collect()} == {2}
+
+
+def test_match_refuses_an_invalid_catalogue(spark):
+    import pytest
+    from catalog_engine.operators import matching as M
+    from catalog_engine.sources.catalogue import validate_catalogue
+    cat = spark.createDataFrame([(0, "dove", "soap", "c"), (1, None, "x", "c")], "idx long, brand string, name string, category string")
+    q = spark.createDataFrame([(1, "dove soap")], "query_id long, query string")
+    with pytest.raises(Exception, match="catalogue rejected"):
+        M.best_match(q, cat).collect()
+    assert M.best_match(q, validate_catalogue(cat, "quarantine")).first().matched
