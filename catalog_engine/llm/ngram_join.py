@@ -155,9 +155,9 @@ def _described(words: int):
 
 def _signed(threshold: int, words: int):
     """The signatures of each document, as even numbers. Where more than a few
-    documents of a block share one, it goes on with the first of them, and the
-    others meet that one under an odd number of its own; so a hot signature
-    costs a few rows per block."""
+    documents of a block share one, it goes on with the first of them and their
+    number, and the others meet that one under an odd number of its own; so a
+    hot signature costs a few rows per block."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -167,19 +167,21 @@ def _signed(threshold: int, words: int):
                 signs = [signatures(shingle_set(t, words), threshold) & ~np.uint64(1) for t in part["text"]]
                 every, of = np.concatenate(signs), np.repeat(np.arange(count), [len(x) for x in signs])
                 _, first, group, size = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
-                stays = np.ones(len(every), dtype=bool)
+                stays, stands = np.ones(len(every), dtype=bool), np.ones(len(every), dtype=np.int32)
                 if len(every):
                     stays = size[group] <= SMALL
                     stays[first] = True
+                    stands[first] = np.where(size > SMALL, size, 1)
                 lead = of[first[group]] if len(every) else of
                 met = np.unique(np.stack([of[~stays], lead[~stays]]), axis=1)
                 own = _mix(uid.view(np.uint64) ^ _M1) | np.uint64(1)
                 of = np.concatenate([of[stays], met[0], np.unique(met[1])])
                 every = np.concatenate([every[stays], own[met[1]], own[np.unique(met[1])]])
+                stands = np.concatenate([stands[stays], np.ones(len(every) - stays.sum(), dtype=np.int32)])
                 order = np.argsort(of, kind="stable")
                 ends = np.searchsorted(of[order], np.arange(count + 1))
-                every = every[order].view(np.int64)
-                yield pd.DataFrame({"uid": uid, "signs": [every[a:b] for a, b in zip(ends, ends[1:])]})
+                every, stands = every[order].view(np.int64), stands[order]
+                yield pd.DataFrame({"uid": uid, "sign": [every[a:b] for a, b in zip(ends, ends[1:])], "stands": [stands[a:b] for a, b in zip(ends, ends[1:])]})
 
     return sign
 
@@ -370,10 +372,11 @@ def row_classes(docs: DataFrame, threshold: int, words: int, group_shingles: int
     linkable = described.where("n > 0")
     sets = cut(linkable.groupBy("n", "h1", "h2").agg(F.min("uid").alias("set_uid"), F.min("doc_id").alias("set_id")))
     # the texts are read once more, which is cheaper than to store signatures
-    signed = docs.select("uid", "text").mapInPandas(_signed(threshold, words), "uid bigint, signs array<bigint>")
-    signed = signed.select("uid", F.explode("signs").alias("sign"))
+    signed = docs.select("uid", "text").mapInPandas(_signed(threshold, words), "uid bigint, sign array<bigint>, stands array<int>")
+    signed = signed.select("uid", F.inline(F.arrays_zip("sign", "stands")))
     same, row = Window.partitionBy("sign"), Window.partitionBy("sign").orderBy("uid")
-    tied = (F.count(F.lit(1)).over(same) > SMALL) | (F.col("sign").bitwiseAND(F.lit(1)) == 1)
+    # rows that stand for more than a few documents always tie
+    tied = (F.sum("stands").over(same) > SMALL) | (F.col("sign").bitwiseAND(F.lit(1)) == 1)
     earlier = F.array(*[F.lag("uid", d).over(row) for d in range(1, SMALL)])
     met = signed.select("uid", tied.alias("tied"), F.first("uid").over(row).alias("first"), earlier.alias("earlier"))
     met = met.select("uid", "tied", F.explode(F.when(F.col("tied"), F.array("first")).otherwise(F.array_compact("earlier"))).alias("other"))

@@ -97,6 +97,22 @@ def test_signatures_meet_every_partner():
                 assert len(np.intersect1d(ngram_join.signatures(s), ngram_join.signatures(t)))
 
 
+def test_ngram_join_links_families_over_blocks(spark, monkeypatch):
+    """A text that is not the first of its block links with its variants in the
+    next; the first of the two blocks differ too much to link."""
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 24)
+    base, variants = [f"w{i}" for i in range(200)], []
+    for k in range(47):
+        copy = list(base)
+        for at in (0, 31, 62):
+            copy[100 * (k >= 23) + 3 + (4 * k + at) % 94] = f"e{k}"
+        variants.append(" ".join(copy))
+    texts = [*variants[:23], " ".join(base), *variants[23:]]
+    assert {(j, i) for i, j in brute_links(brute_sets(texts)) if j < 24 <= i} == {(23, i) for i in range(24, 48)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert {r.component_id for r in ngram_join.link_classes(docs).collect()} == {0}
+
+
 def brute_vectors(rows, cosine):
     good = [i for i, (_, v) in enumerate(rows) if v and None not in v and np.isfinite(np.array(v, float)).all() and np.any(np.array(v, float))]
     links = []
