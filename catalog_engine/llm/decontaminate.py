@@ -11,9 +11,10 @@ distance.
 
 Windows are cut where they can matter: each of k edits breaks at most three of
 an item's m - 2 runs of three words, so a copy holds m - 2 - 3 k of them at
-places that differ from the item's by k at most. A window starts where a run of
-the document, found at its place in an item, puts the item's start, if as many
-runs put one nearby.
+places that differ from the item's by k at most. A window starts wherever as many
+runs of the document, found at their places in an item, put the item's start at
+most k words away. What collides is searched for the best run around it, wherever
+that starts.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ SEED = 97
 #: take several passes.
 PASS_BYTES = 32 << 20
 WINDOWS = 20_000
+#: Words of windows that are verified together.
+CELLS = 1_600_000
 #: Documents whose windows are embedded together.
 BLOCK_DOCS = 2500
 
@@ -74,6 +77,11 @@ def edits_allowed(words: int) -> int:
     return k
 
 
+def pieces(words: int) -> list[tuple[int, int]]:
+    """(begin, end) of the pieces of an item whose windows are looked for."""
+    return [(0, words)]
+
+
 def walk(windows: np.ndarray, seed: int) -> np.ndarray:
     """CGK strings of rows of word ids: 3 m places for windows of m words."""
     rows, m = windows.shape
@@ -105,16 +113,30 @@ def bit_samples(strings: np.ndarray, seed: int) -> np.ndarray:
 def edit_distances(texts: np.ndarray, items: np.ndarray) -> np.ndarray:
     """Least edits between each item (row) and any prefix of its text (row):
     all rows advance together through the table of the edit distance."""
+    return _last_row(texts, items, np.arange(texts.shape[1] + 1), 1).min(axis=1)
+
+
+def nearest_runs(texts: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(edits, start) of the run of each text (row) that is nearest to its item
+    (row), the first of those. A cell of the table holds edits times ``unit``
+    plus the start, so that the least cell has the least start too."""
+    unit = texts.shape[1] + 1
+    return np.divmod(_last_row(texts, items, np.arange(unit), unit).min(axis=1), unit)
+
+
+def _last_row(texts: np.ndarray, items: np.ndarray, first: np.ndarray, unit: int) -> np.ndarray:
+    """The last row of the table of the edit distance, whose first row is given
+    and where an edit costs ``unit``."""
     rows, width = texts.shape
-    places = np.arange(width + 1)
-    last = np.broadcast_to(places, (rows, width + 1)).astype(np.int32)
+    ways = np.arange(width + 1, dtype=np.int64) * unit
+    last = np.broadcast_to(first, (rows, width + 1)).astype(np.int64)
     for i in range(items.shape[1]):
         now = np.empty_like(last)
-        now[:, 0] = i + 1
-        now[:, 1:] = np.minimum(last[:, 1:] + 1, last[:, :-1] + (texts != items[:, i : i + 1]))
+        now[:, 0] = (i + 1) * unit
+        now[:, 1:] = np.minimum(last[:, 1:] + unit, last[:, :-1] + (texts != items[:, i : i + 1]) * np.int64(unit))
         # a row's insertions: the least over earlier places plus the way from there
-        last = (np.minimum.accumulate(now - places, axis=1) + places).astype(np.int32)
-    return last.min(axis=1)
+        last = np.minimum.accumulate(now - ways, axis=1) + ways
+    return last
 
 
 class Benchmark:
@@ -123,18 +145,23 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.vocabulary: dict[str, int] = {}
+        self.items: list[tuple[int | None, np.ndarray]] = []
         self.sizes: dict[int, np.ndarray] = {}
-        self.ids_of: dict[int, list] = {}
+        #: Item and offset in it for each row of ``sizes``.
+        self.places: dict[int, np.ndarray] = {}
         by_size = defaultdict(list)
         for item_id, text in items:
             words = words_of(text)
             if len(words) >= LEAST_WORDS:
                 ids = [self.vocabulary.setdefault(w, xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace")) or 1) for w in words]
-                by_size[len(words)].append((item_id, np.array(ids, dtype=np.uint64)))
+                ids = np.array(ids, dtype=np.uint64)
+                for begin, end in pieces(len(words)):
+                    by_size[end - begin].append(((len(self.items), begin), ids[begin:end]))
+                self.items.append((item_id, ids))
         found = []
         self.buckets: dict[int, list[tuple]] = {}
         for m, own in by_size.items():
-            self.ids_of[m], self.sizes[m] = [i for i, _ in own], np.stack([w for _, w in own])
+            self.places[m], self.sizes[m] = np.array([p for p, _ in own]), np.stack([w for _, w in own])
             for w in self.sizes[m]:
                 r = runs_at(w, np.arange(len(w) - RUN + 1))
                 found += zip(r.tolist(), [m] * len(r), range(len(r)))
@@ -172,10 +199,15 @@ class Benchmark:
             own, k = sizes == m, edits_allowed(m)
             order = np.argsort(starts[own], kind="stable")
             place, begin = starts[own][order], begins[hits[own]][order]
-            near = np.searchsorted(place, place + k, "right") - np.searchsorted(place, place - k, "left")
+            place, at = np.unique(place, return_index=True)
+            counts, begin = np.diff(np.r_[at, len(begin)]), begin[at]
+            before = np.r_[0, np.cumsum(counts)]
+            # an edit before the first whole run shifts what the runs tell of the start
+            tried, at = np.unique((place[:, None] + np.arange(-k, k + 1)).ravel(), return_index=True)
+            near = before[np.searchsorted(place, tried + k, "right")] - before[np.searchsorted(place, tried - k, "left")]
             enough = near >= max(1, m - RUN + 1 - RUN * k)
             # a start before the document tells that its first words are missing
-            yield m, np.unique(np.maximum(place, begin)[enough])
+            yield m, np.unique(np.maximum(tried, begin[at // (2 * k + 1)])[enough])
 
 
 def runs_at(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -189,36 +221,42 @@ def runs_at(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
 def matches(benchmark: Benchmark, texts: list[str | None]) -> list[tuple[int, int | None, int, int]]:
     """(document, item id, start, edits) for every window that an item matches."""
     docs = [benchmark.ids(t) for t in texts]
-    gap = 2 * max(benchmark.sizes, default=0) + RUN
-    # documents one after another, with room between them that fits no item
-    line = np.concatenate([np.r_[d, np.full(gap, PAD, dtype=np.uint64)] for d in docs])
+    gap = 2 * max((len(w) for _, w in benchmark.items), default=0) + RUN
+    # documents one after another, with room around them that fits no item
+    room = np.full(gap, PAD, dtype=np.uint64)
+    line = np.concatenate([room, *(np.r_[d, room] for d in docs)])
     lengths = np.array([len(d) + gap for d in docs])
-    firsts = np.cumsum(lengths) - lengths
-    out = []
-    for m, starts in benchmark.windows(line, np.repeat(firsts, lengths)):
-        k = edits_allowed(m)
+    firsts = gap + np.cumsum(lengths) - lengths
+    found = defaultdict(list)
+    for m, starts in benchmark.windows(line, np.r_[np.zeros(gap, dtype=np.int64), np.repeat(firsts, lengths)]):
         for s in range(0, len(starts), WINDOWS):
             part = starts[s : s + WINDOWS]
-            wide = line[part[:, None] + np.arange(m + k)]
+            wide = line[part[:, None] + np.arange(m)]
             pairs = []
             for w in range(WALKS):
-                strings = walk(np.ascontiguousarray(wide[:, :m]), SEED + w)
+                strings = walk(wide, SEED + w)
                 for r, column in enumerate(bit_samples(strings, SEED + w).T):
                     keys, firsts_of, members = benchmark.buckets[m][w * SAMPLES_PER_WALK + r]
                     at = np.minimum(np.searchsorted(keys, column), len(keys) - 1)
                     rows = np.flatnonzero(keys[at] == column)
                     count = firsts_of[at[rows] + 1] - firsts_of[at[rows]]
                     which = np.repeat(firsts_of[at[rows]], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    pairs.append(np.repeat(rows, count) * len(benchmark.ids_of[m]) + members[which])
-            rows, items = np.divmod(np.unique(np.concatenate(pairs)), len(benchmark.ids_of[m]))
-            for t in range(0, len(rows), WINDOWS):
-                r, i = rows[t : t + WINDOWS], items[t : t + WINDOWS]
-                edits = edit_distances(wide[r], benchmark.sizes[m][i])
-                for x in np.flatnonzero(edits <= k).tolist():
-                    start = part[r[x]]
-                    d = int(np.searchsorted(firsts, start, "right")) - 1
-                    out.append((d, benchmark.ids_of[m][i[x]], int(start - firsts[d]), int(edits[x])))
-    return out
+                    pairs.append(np.repeat(rows, count) * len(benchmark.places[m]) + members[which])
+            rows, of = np.divmod(np.unique(np.concatenate(pairs)), len(benchmark.places[m]))
+            owners, offsets = benchmark.places[m][of].T
+            for item, begin, d in zip(owners.tolist(), (part[rows] - offsets).tolist(), (np.searchsorted(firsts, part[rows], "right") - 1).tolist()):
+                found[len(benchmark.items[item][1])].append((item, begin, d))
+    out = set()
+    for m, own in found.items():
+        k, own = edits_allowed(m), np.unique(np.array(own), axis=0)
+        rows = max(1, CELLS // (m + 2 * k))
+        for t in range(0, len(own), rows):
+            item, begin, d = own[t : t + rows].T
+            # the start is at most k words away, and so is the end
+            edits, starts = nearest_runs(line[begin[:, None] + np.arange(-k, m + k)], np.stack([benchmark.items[i][1] for i in item]))
+            starts = np.maximum(begin - k + starts - firsts[d], 0)
+            out.update((int(d[x]), benchmark.items[item[x]][0], int(starts[x]), int(edits[x])) for x in np.flatnonzero(edits <= k))
+    return list(out)
 
 
 @lru_cache(maxsize=1)

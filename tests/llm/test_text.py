@@ -76,6 +76,23 @@ def test_decontamination_recall_and_precision(spark):
     assert {(r.doc_id, r.item_id) for r in some.collect()} == got
 
 
+def test_decontamination_finds_edits_in_the_first_words():
+    for m in (6, 10, 15, 30):
+        item = [f"i{m}x{x}" for x in range(m)]
+        benchmark = decontaminate.Benchmark([(m, " ".join(item))])
+        for copy, start in (([item[0], "add", *item[1:]], 3), ([item[0], *item[2:]], 3), (item[1:], 2), (["edit", *item[1:]], 3)):
+            got = decontaminate.matches(benchmark, [None, "p q", " ".join(["u", "v", "w", *copy, "x", "y"])])
+            assert min((d, i, e, s) for d, i, s, e in got) == (2, m, 1, start), (m, copy)
+
+
+def test_nearest_runs_are_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        text, item = (rng.integers(0, 4, rng.integers(3, 12)).astype(np.uint64) for _ in range(2))
+        want = min((prefix_distance(text[i:j].tolist(), item.tolist()), i) for i in range(len(text) + 1) for j in range(i, len(text) + 1))
+        assert tuple(int(x[0]) for x in decontaminate.nearest_runs(text[None], item[None])) == want
+
+
 def test_decontamination_finds_all_exact_passages(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     docs = [(i, "Before it.\n" + "".join(c.upper() if c.isascii() else c for c in t).replace(" ", "  ") + "\nafter") for i, t in items]
