@@ -5,9 +5,10 @@ a few word edits of the item. The CGK random walk turns a word sequence into a
 string three times as long (each step writes the current word and moves on or
 stays by a random bit of step and word), so that sequences within a small edit
 distance differ in few places of their strings. Hashes of a few sampled places,
-repeated over several walks, make item-sized windows of the documents and the
-items collide with a target recall; what collides is verified by the exact edit
-distance.
+repeated over several walks, make windows of the documents and items of the same
+size collide with a target recall; long items are looked for by pieces, one of
+which has its share of the edits at most. What collides is verified by the exact
+edit distance of the whole item.
 
 Windows are cut where they can matter: each of k edits breaks at most three of
 an item's m - 2 runs of three words, so a copy holds m - 2 - 3 k of them at
@@ -42,6 +43,8 @@ LEAST_WORDS = 5
 WALKS = 6
 SAMPLES_PER_WALK = 10
 PLACES = 4
+#: Longer items are looked for by pieces (see ``pieces``).
+PIECE_WORDS = 30
 SEED = 97
 #: Bytes of item text that are sent to every task at once; larger benchmarks
 #: take several passes.
@@ -78,8 +81,13 @@ def edits_allowed(words: int) -> int:
 
 
 def pieces(words: int) -> list[tuple[int, int]]:
-    """(begin, end) of the pieces of an item whose windows are looked for."""
-    return [(0, words)]
+    """(begin, end) of the pieces of an item whose windows are looked for.
+
+    CGK strings drift apart with the number of edits, so long items are cut
+    into g pieces of about equal size. Of k edits one piece has k / g at most,
+    which is within a fifth of its own words, so no copy is lost."""
+    g = -(-words // PIECE_WORDS)
+    return [(words * i // g, words * (i + 1) // g) for i in range(g)]
 
 
 def walk(windows: np.ndarray, seed: int) -> np.ndarray:

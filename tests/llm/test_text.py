@@ -85,6 +85,17 @@ def test_decontamination_finds_edits_in_the_first_words():
             assert min((d, i, e, s) for d, i, s, e in got) == (2, m, 1, start), (m, copy)
 
 
+def test_decontamination_recall_at_the_largest_edit_count():
+    rng = random.Random(12)
+    for m in (15, 30, 31, 45, 59, 100, 200, 400):
+        k = decontaminate.edits_allowed(m)
+        assert all(k // len(decontaminate.pieces(m)) <= decontaminate.edits_allowed(b - a) for a, b in decontaminate.pieces(m))
+        items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(m))) for i in range(100)]
+        docs = [" ".join(["c"] * 9 + edited(rng, t.split(), k) + ["d"] * 9) for _, t in items]
+        got = {(d, i) for d, i, _, _ in decontaminate.matches(decontaminate.Benchmark(items), docs)}
+        assert len({(i, i) for i, _ in items} & got) >= 95, m
+
+
 def test_nearest_runs_are_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(60):
