@@ -41,13 +41,25 @@ P = frozenset(["p"])
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 SCOPES = frozenset("html body article main section div aside nav header footer table td th ul ol dl blockquote form figure details".split())
 
-#: Words of class, id and role attributes that name page furniture.
+#: Whole class tokens, ids and roles that name page furniture: a word for it,
+#: words that say which, and words for a box or list of it. Reader comments are
+#: apart, as they can be longer than the text they follow.
+_COMMENTS = r"comments?|disqus|replies|respond|reactions"
+_WORD = (
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscri\w+|signup|login"
+    r"|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|rail|widgets?|footer|masthead|toolbar|social|shar(?:e|ing)|related|recommend\w*|trending"
+    r"|complementary|contentinfo|skip(?:link)?"
+)
+_WHICH = r"site|global|main|page|post|entry|article|user|reader|top|bottom|left|right|side|header|search|primary|secondary|mobile|desktop|sticky|fixed"
+_BOX = r"list|bar|box|links?|buttons?|btns?|icons?|block|wrap|wrapper|container|area|section|slot|unit|inner|form|items?|posts|articles|stories|wall|thread|to"
 FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscri\w+|signup|login"
-    r"|nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side|rail|widgets?|footer|header|masthead|toolbar|social|shar(?:e|ing)|related|recommend\w*|trending"
-    r"|comments?|disqus|replies|respond|reactions|complementary|contentinfo|search|skip(?:link)?|hidden)(?:$|[\s_-])",
+    rf"(?:(?:{_WHICH}|{_WORD}|{_COMMENTS})[_-]+)*(?:{_WORD}|(?P<comments>{_COMMENTS}))(?:[_-]+(?:{_BOX}))*"
+    rf"|(?:(?:site|global|top|mobile|desktop|sticky|fixed)[_-]+)*(?:header|search)(?:[_-]+(?:bar|box|form|button|wrapper|container|inner))*|side|hidden|visually[_-]hidden",
     re.IGNORECASE,
 )
+#: How an element counts as furniture: by a name that the most of a page's text
+#: speaks against, or for certain.
+NAMED, CERTAIN = 1, 2
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 
@@ -55,20 +67,23 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(
 class Node:
     __slots__ = ("name", "parts", "furniture")
 
-    def __init__(self, name: str, furniture: bool = False):
+    def __init__(self, name: str, furniture: int = 0):
         self.name, self.parts, self.furniture = name, [], furniture
 
 
-def _furniture(attributes: str) -> bool:
+def _furniture(attributes: str) -> int:
+    found = 0
     if "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return found
     for key, *values in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values)
-        if key in ("class", "id", "role") and FURNITURE.search(value):
-            return True
+        if key in ("class", "id", "role"):
+            for token in value.split():
+                if name := FURNITURE.fullmatch(token):
+                    found = max(found, CERTAIN if name["comments"] else NAMED)
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return True
-    return False
+            return CERTAIN
+    return found
 
 
 def _end_implied(stack: list[Node], name: str) -> None:
@@ -86,7 +101,7 @@ def read(page: str | None) -> Node:
     """The tree of a page. End tags that fit nothing are ignored, elements left
     open end with their parent, and those that HTML closes by themselves
     (p, li, table parts) are closed."""
-    root = Node("html")
+    root, named = Node("html"), False
     stack, text, at, end = [root], page or "", 0, len(page or "")
     while at < end:
         tag = TOKEN.search(text, at)
@@ -110,7 +125,8 @@ def read(page: str | None) -> Node:
                     break
             continue
         _end_implied(stack, name)
-        node = Node(name, name not in ("html", "body", "main") and _furniture(tag.group(3)))
+        node = Node(name, 0 if name in ("html", "body", "main") else _furniture(tag.group(3)))
+        named = named or node.furniture == NAMED
         stack[-1].parts.append(node)
         if name in VOID or tag.group(3).endswith("/") and name not in CLOSES_P | INLINE | SCOPES:
             continue
@@ -120,6 +136,8 @@ def read(page: str | None) -> Node:
             at = close.end() if close else end
             continue
         stack.append(node)
+    if named:
+        _spare(root)
     return root
 
 
@@ -148,7 +166,7 @@ def subtree_hashes(root: Node) -> dict[int, int]:
 
 
 def _never(node: Node) -> bool:
-    return node.name in NEVER_TEXT or node.furniture
+    return node.name in NEVER_TEXT or node.furniture > 0
 
 
 def content_roots(root: Node) -> tuple[list[Node], bool]:
@@ -169,6 +187,29 @@ def content_roots(root: Node) -> tuple[list[Node], bool]:
     return [root], False
 
 
+def _spare(root: Node) -> None:
+    """Elements named as furniture are none if they hold most of the text of
+    the article (without one, of the page), or the only article there is."""
+    roots, _ = content_roots(root)
+    if not blocks(roots, _never):
+        holds: dict[int, bool] = {}
+        for node in _walk(root):
+            holds[id(node)] = node.name in ("article", "main") or any(holds[id(p)] for p in node.parts if isinstance(p, Node))
+            if node.furniture == NAMED and holds[id(node)]:
+                node.furniture = 0
+        roots, _ = content_roots(root)
+        if not blocks(roots, _never):
+            roots = [root]
+    size: dict[int, int] = {}
+    walked = [n for r in roots for n in _walk(r)]
+    for node in walked:
+        size[id(node)] = 0 if node.name in NEVER_TEXT else sum(len("".join(p.split())) if isinstance(p, str) else size[id(p)] for p in node.parts)
+    total = sum(size[id(r)] for r in roots)
+    for node in walked:
+        if node.furniture == NAMED and 2 * size[id(node)] > total:
+            node.furniture = 0
+
+
 def blocks(roots: list[Node], dropped: Callable[[Node], bool]) -> list[str]:
     """The text of each block, white space folded and references decoded."""
     out, now = [], []

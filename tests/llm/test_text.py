@@ -177,6 +177,18 @@ def test_html_blocks():
     assert html_text.main_text("<main><p>in</p></main><p>out</p>") == "in"
 
 
+def test_html_layout_classes_are_no_furniture():
+    for name in ("overflow-hidden", "layout has-sidebar", "no-sidebar", "side-effects", "search-results", "page-header", "flex hidden md:block", "left-sidebar", "with-menu navy"):
+        for inner in ("<article><h1>Head</h1><p>Text of it</p></article>", "<main><h1>Head</h1><p>Text of it</p></main>", "<h1>Head</h1><p>Text of it</p>"):
+            assert html_text.main_text(f"<body><nav>x</nav><div class='{name}'>{inner}</div></body>") == "Head\n\nText of it", (name, inner)
+    assert html_text.main_text("<article><div class='article-header'><h1>Head</h1></div><p>Text of it</p></article>") == "Head\n\nText of it"
+    assert html_text.main_text("<div class='modal'><article><p>In</p></article><nav>x</nav></div><div class='menu'>A longer list of links than the text</div>") == "In"
+    for name in ("sidebar", "site-footer", "main-nav", "cookie-banner", "share-buttons", "ad-slot", "site-header", "related-posts", "breadcrumb", "newsletter_form", "post-comments", "comment-list", "side-nav"):
+        page = f"<article><p>The text of this article</p><div class='x {name}'>Other</div></article><div id='{name}'><article>Other</article></div>"
+        assert html_text.main_text(page) == "The text of this article", name
+    assert html_text.main_text("<article><p>Text</p><div class=comments>Longer than the text itself</div></article>") == "Text"
+
+
 def test_html_template_removal(spark):
     head = "<div class='top'><p>Welcome to the site</p></div>"
     pages = [(k, f"https://h.example/{k}", f"<html><body>{head}<div><p>Story {k} begins here.</p><p>It ends.</p></div><div><p>All rights reserved</p></div></body></html>") for k in range(30)]
