@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_engine.llm import decontaminate, embedding_dedup, html_text, line_dedup, ngram_join, ordered_shards, packing, quality, sharding, token_rollup
+from catalog_engine.llm import decontaminate, divergence_audit, embedding_dedup, fingerprints, html_text, line_dedup, ngram_join, ordered_shards, packing, quality, sharding, token_rollup
 from catalog_engine.llm.common import new_folder
 from catalog_engine.session import table
 
@@ -30,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": lambda spark, sf_dir: line_dedup.drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text"),
     "op9_token_counts": lambda spark, sf_dir: token_rollup.rollup(table(spark, sf_dir, "documents"), new_folder(spark, "token-rollup")),
     "op10_html_text": lambda spark, sf_dir: html_text.extract(table(spark, sf_dir, "pages")),
+    "op11_divergence_audit": lambda spark, sf_dir: divergence_audit.audit(table(spark, sf_dir, "documents")),
+    "op12_document_fingerprints": lambda spark, sf_dir: fingerprints.fingerprints(table(spark, sf_dir, "documents")),
 }
 
 #: DuckDB SQL for the queries that SQL can express over whole tables.
@@ -37,4 +39,6 @@ ORACLE: dict[str, str] = {
     "op1_stratified_shards": sharding.oracle_sql(),
     "op8_line_dedup": line_dedup.ORACLE_SQL,
     "op10_html_text": html_text.ORACLE_SQL,
+    "op11_divergence_audit": divergence_audit.ORACLE_SQL,
+    "op12_document_fingerprints": fingerprints.ORACLE_SQL,
 }
