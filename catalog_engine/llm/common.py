@@ -206,3 +206,16 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the CRC-32 of a string's UTF-8 bytes, which DuckDB has no
+    function for: the bytes are folded with the table of its polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    digits = f"hex(encode({text}))"
+    each = f"list_transform(range(length({digits}) // 2), lambda i: ('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {each}), lambda c, b: xor(({table})[(xor(c, b) & 255) + 1]::BIGINT, c >> 8)), 4294967295)"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_engine.llm import decontaminate, divergence_audit, embedding_dedup, fingerprints, html_text, line_dedup, ngram_join, ordered_shards, packing, quality, sharding, token_rollup
+from catalog_engine.llm import conversation_repair, decontaminate, divergence_audit, embedding_dedup, fingerprints, html_text, line_dedup, ngram_join, ordered_shards, packing, quality, sharding, token_rollup
 from catalog_engine.llm.common import new_folder
 from catalog_engine.session import table
 
@@ -32,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": lambda spark, sf_dir: html_text.extract(table(spark, sf_dir, "pages")),
     "op11_divergence_audit": lambda spark, sf_dir: divergence_audit.audit(table(spark, sf_dir, "documents")),
     "op12_document_fingerprints": lambda spark, sf_dir: fingerprints.fingerprints(table(spark, sf_dir, "documents")),
+    "op13_conversation_repair": lambda spark, sf_dir: conversation_repair.repair(table(spark, sf_dir, "conversations")),
 }
 
 #: DuckDB SQL for the queries that SQL can express over whole tables.
@@ -41,4 +42,5 @@ ORACLE: dict[str, str] = {
     "op10_html_text": html_text.ORACLE_SQL,
     "op11_divergence_audit": divergence_audit.ORACLE_SQL,
     "op12_document_fingerprints": fingerprints.ORACLE_SQL,
+    "op13_conversation_repair": conversation_repair.ORACLE_SQL,
 }
