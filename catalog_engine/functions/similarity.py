@@ -131,8 +131,9 @@ class Feat:
         return F.col(name)
 
 
-def with_match_features(df, text, prefix: str):
-    """Add the flat feature columns of ``text`` under ``prefix``."""
+def with_text_features(df, text, prefix: str):
+    """The features of ``text`` that the necessary conditions need: the three
+    strings with their lengths, the distinct tokens and a token signature."""
     t = col_(text)
     toks = tokens(t)
     strings = {
@@ -144,21 +145,30 @@ def with_match_features(df, text, prefix: str):
                    F.array_distinct(toks).alias(f"{prefix}_toks"))
     # 64-bit token signature: a token set contained in another has no bit
     # outside the other's signature (a cheap necessary test for subsets)
-    df = df.select("*", F.aggregate(f"{prefix}_toks", _long(0),
-                                    lambda acc, tk: acc.bitwiseOR(_shl(_long(1), F.pmod(F.hash(tk), F.lit(64)))))
-                   .alias(f"{prefix}_sig"))
-    df = df.select("*", *[F.length(f"{prefix}_{k}_s").alias(f"{prefix}_{k}_n") for k in strings],
-                   *[char_array(f"{prefix}_{k}_s").alias(f"{prefix}_{k}_chars") for k in strings])
-    return df.select("*", *[bit_masks(f"{prefix}_{k}_chars").alias(f"{prefix}_{k}_masks") for k in strings])
+    return df.select("*", F.aggregate(f"{prefix}_toks", _long(0),
+                                      lambda acc, tk: acc.bitwiseOR(_shl(_long(1), F.pmod(F.hash(tk), F.lit(64)))))
+                     .alias(f"{prefix}_sig"),
+                     *[F.length(f"{prefix}_{k}_s").alias(f"{prefix}_{k}_n") for k in strings])
+
+
+def with_match_features(df, text, prefix: str):
+    """Add the flat feature columns of ``text`` under ``prefix``."""
+    df = with_text_features(df, text, prefix)
+    df = df.select("*", *[char_array(f"{prefix}_{k}_s").alias(f"{prefix}_{k}_chars") for k in Feat.PROFILES])
+    return df.select("*", *[bit_masks(f"{prefix}_{k}_chars").alias(f"{prefix}_{k}_masks") for k in Feat.PROFILES])
 
 
-def feature_columns(prefix: str) -> list[str]:
+def feature_columns(prefix: str, parts: tuple[str, ...] = ("s", "n", "chars", "masks")) -> list[str]:
     cols = [f"{prefix}_toks", f"{prefix}_sig"]
     for k in Feat.PROFILES:
-        cols += [f"{prefix}_{k}_{x}" for x in ("s", "n", "chars", "masks")]
+        cols += [f"{prefix}_{k}_{x}" for x in parts]
     return cols
 
 
+def text_feature_columns(prefix: str) -> list[str]:
+    return feature_columns(prefix, ("s", "n"))
+
+
 # --------------------------------------------------------------------------
 # LCS
 # --------------------------------------------------------------------------
@@ -220,6 +230,17 @@ def lcs_profiles(pa, pb) -> Column:
             .otherwise(lcs_length(pb["chars"], pb["masks"], pa["chars"]))
 
 
+def lcs_strings(a, b) -> Column:
+    """LCS of two strings that have no profile; the shorter one's masks are
+    built once and folded over."""
+    def of(short, long_):
+        return let(char_array(short), lambda cs: let(bit_masks(cs), lambda ms: lcs_length(cs, ms, char_array(long_))))
+    # one fold for either order: the strings are swapped, not the expression
+    swap = F.length(a) > F.length(b)
+    return let(F.struct(F.when(swap, b).otherwise(a).alias("x"), F.when(swap, a).otherwise(b).alias("y")),
+               lambda p: of(p["x"], p["y"]))
+
+
 def _norm(d, total) -> Column:
     """100 - 100*d/total, 100 when total == 0."""
     return F.when(total == 0, F.lit(100.0)).otherwise(100.0 - 100.0 * d / total)
@@ -447,3 +468,45 @@ def token_set_may_reach(fa, fb, t, inter: Column | None = None) -> Column:
     overlap_ok = let(F.array_except(ta, tb), lambda da: let(F.array_except(tb, ta), lambda db: shared(da, db)))
     return ((na > 0) & (nb > 0) & (band | may_subset)) & F.when(F.arrays_overlap(ta, tb), overlap_ok) \
         .otherwise(ratio_may_reach(fa["dst"], fb["dst"], t))
+
+
+def weighted_reaching(fa, fb, least: float) -> Column:
+    """weighted(a, b) where it reaches ``least``, which is 86 or more, and any
+    value below elsewhere. From the features of ``with_text_features``.
+
+    From 86 on partial_token (0.855 * 100 at most) and length ratios beyond 8
+    play no part, and from 90 on partial counts only as 100, for a substring.
+    """
+    la, lb = fa["raw"]["n"], fb["raw"]["n"]
+
+    def ratio_s(pa, pb):
+        return _ratio_from_lcs(lcs_strings(pa["s"], pb["s"]), pa["n"], pb["n"])
+
+    def token_set_s():
+        ta, tb = fa["toks"], fb["toks"]
+        inter = F.array_intersect(ta, tb)
+        sets = F.struct(F.array_join(F.sort_array(F.array_except(ta, tb)), " ").alias("x"),
+                        F.array_join(F.sort_array(F.array_except(tb, ta)), " ").alias("y"),
+                        F.length(F.array_join(inter, " ")).alias("s"))
+
+        def of(p):
+            lx, ly, n = F.length(p["x"]), F.length(p["y"]), p["s"]
+            e = F.when(n > 0, F.lit(1)).otherwise(F.lit(0))
+            dist = lx + ly - 2 * lcs_strings(p["x"], p["y"])
+            r1 = _norm(dist, (n + e + lx) + (n + e + ly))
+            mixed = F.greatest(r1, _norm(e + lx, n + (n + e + lx)), _norm(e + ly, n + (n + e + ly)))
+            return F.when(n == 0, r1).when((lx == 0) | (ly == 0), F.lit(100.0)).otherwise(mixed)
+
+        return F.when((F.size(ta) == 0) | (F.size(tb) == 0), F.lit(0.0)).otherwise(let(sets, of))
+
+    none = F.lit(0.0)
+    short = F.greatest(ratio_s(fa["raw"], fb["raw"]), 0.95 * F.greatest(ratio_s(fa["srt"], fb["srt"]), token_set_s()))
+    q = length_ratio(la, lb)
+    longer = F.when(la >= lb, fa["raw"]["s"]).otherwise(fb["raw"]["s"])
+    shorter = F.when(la >= lb, fb["raw"]["s"]).otherwise(fa["raw"]["s"])
+    inside = F.when(F.contains(longer, shorter), F.lit(100.0))
+    if least < 90:
+        inside = inside.otherwise(let(shorter, lambda x: let(longer, lambda y: let(char_array(x), lambda cx: let(
+            bit_masks(cx), lambda mx: _partial_directed({"n": F.size(cx), "chars": cx, "masks": mx}, {"n": F.length(y), "chars": char_array(y)}))))))
+    return (F.when((la == 0) | (lb == 0), none).when(q < 1.5, short)
+            .when(q <= 8, 0.9 * F.coalesce(inside, none)).otherwise(none))

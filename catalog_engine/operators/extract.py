@@ -178,14 +178,11 @@ def match_products(products: DataFrame, catalogue: DataFrame, threshold: float =
     """Match every extracted product by its full name (each distinct
     name scored once) and attach the category; rows without a full name
     or with an error are unmatched."""
-    from .matching import best_match_texts
+    from .matching import best_match_texts, join_best
     best = best_match_texts(products.select(F.col("full_name").alias("_text")), catalogue,
                             threshold=threshold, **kw)
-    named = products.filter(F.col("full_name").isNotNull())
-    nameless = products.filter(F.col("full_name").isNull())
-    j = (named.join(best, named["full_name"] == best["_text"], "left")
-         .unionByName(nameless, allowMissingColumns=True))
-    return j.select(*[c for c in products.columns if c not in ("matched", "matched_name", "category")],
+    kept = [c for c in products.columns if c not in ("matched", "matched_name", "category")]
+    return join_best(products.select(*kept), best, "full_name", "url").select(*kept,
                     F.coalesce(F.col("matched"), F.lit(False)).alias("matched"),
                     "matched_name", "category")
 

@@ -1,21 +1,21 @@
 """Match joins (M7-M17): best match with length-adaptive thresholds, top-K
 per scorer, merged top-K, threshold sweeps and recommendations.
 
-Plan shape (all declarative; Catalyst/AQE pick the physical operators):
-
-1. the catalogue is de-duplicated once (first position wins, category of
-   the last occurrence) and its per-row scorer features are built once;
-2. the query side is hash-partitioned on ``query_id`` so the pair work
-   spreads over every core and the final per-query aggregate / window
-   reuses that partitioning (no second exchange);
-3. the catalogue side is broadcast **only after a counted size check**
-   (``broadcast_rows``); beyond it the same plan runs as a shuffled
-   cartesian product (see README, "scale");
-4. every pair first passes an exact, code-generated necessary condition
-   (length band, ``levenshtein`` bound, shared token, substring) — the
-   interpreted bit-parallel scorer only runs on survivors;
-5. the arg-max is ``max_by`` over ``struct(score, -idx)`` (ties -> first
-   catalogue position), a partial + final aggregate, no sort.
+Best matches at a weighted threshold of 86 or more (all that the crawl uses):
+
+1. the catalogue is de-duplicated (first position wins, category of the last
+   occurrence), query texts are made distinct;
+2. ``operators.candidates`` joins both on the features that a pair must share
+   to reach the threshold, which loses no match;
+3. candidates pass an exact, code-generated necessary condition (length
+   bands, thresholded ``levenshtein``, token differences, substring), and only
+   what is left is scored;
+4. ``max_by`` over ``struct(score, -idx)`` takes the best (ties: first
+   catalogue position), a partial and a final aggregate.
+
+Lower thresholds and single scorers compare all pairs: the catalogue is
+broadcast only after a counted size check (``broadcast_rows``), beyond it the
+same plan runs as a shuffled product (see README).
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..functions.text import apply_processor, col_
-from ..session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, spread_for_compute
+from ..session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, cut_lineage, spread_for_compute
 from ..sources.catalogue import refuse_invalid, unique_catalogue
+from .candidates import LEAST_THRESHOLD, candidate_pairs
 
 # Fixed values (must equal the reference's rules):
 DEFAULT_THRESHOLD = 90          # match threshold
@@ -60,6 +61,8 @@ def match_side(catalogue: DataFrame, processor: str | None = "none") -> DataFram
 # in UnsafeArrayData with the string header) and three mask maps (key +
 # one-word array per distinct char), rounded up.
 BYTES_PER_CHAR = 160
+# ... and per code point of the text features alone (three strings and tokens).
+TEXT_BYTES_PER_CHAR = 16
 ROW_OVERHEAD = 256
 
 
@@ -99,19 +102,31 @@ def best_match(queries: DataFrame, catalogue: DataFrame, *, threshold: float = D
     best = best_match_texts(queries.select(F.col(query_col).alias("_text")), catalogue,
                             threshold=threshold, scorer=scorer, processor=processor,
                             adaptive=adaptive, broadcast_rows=broadcast_rows)
-    named = queries.filter(F.col(query_col).isNotNull())
-    res = (named.join(best, named[query_col] == best["_text"], "left")
-           .unionByName(queries.filter(F.col(query_col).isNull()), allowMissingColumns=True))
-    return res.select(
+    return join_best(queries, best, query_col, key).select(
         *queries.columns,
         F.coalesce(F.col("matched"), F.lit(False)).alias("matched"),
         "matched_name", "category", "score")
 
 
+def join_best(rows: DataFrame, best: DataFrame, text: str, spread: str) -> DataFrame:
+    """``rows`` with the best match of their ``text``. Rows without a text match
+    nothing, and are spread by the column ``spread``, as they would otherwise
+    meet in one task."""
+    known = F.col(text).isNotNull()
+    rows = rows.withColumn("_known", known).withColumn("_key", F.when(known, F.col(text)).otherwise(F.col(spread).cast("string")))
+    found = best.withColumnRenamed("_text", "_key").withColumn("_known", F.lit(True))
+    return rows.join(found, ["_known", "_key"], "left").drop("_known", "_key")
+
+
 def best_match_texts(texts: DataFrame, catalogue: DataFrame, *, threshold: float = DEFAULT_THRESHOLD,
                      scorer: str = "weighted", processor: str | None = "none", adaptive: bool = True,
                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Best match per distinct ``_text`` (see ``best_match``)."""
+    """Best match per distinct ``_text`` (see ``best_match``). Weighted
+    matches from ``LEAST_THRESHOLD`` on come from the prefix-filtered join,
+    which meets only texts that can reach the threshold; lower thresholds, which
+    nearly any pair with a common token can reach, and other scorers compare all pairs."""
+    if scorer == "weighted" and threshold >= LEAST_THRESHOLD:
+        return _best_of_candidates(texts, catalogue, threshold, processor, adaptive, broadcast_rows)
     cat = match_side(catalogue, processor)
     # explicit repartition: AQE would coalesce the small post-distinct
     # shuffle into a single partition and run all pair work in one task
@@ -129,10 +144,17 @@ def best_match_texts(texts: DataFrame, catalogue: DataFrame, *, threshold: float
     scored = pairs.select("_text", "_req", "idx", "full_name", "category", sc.alias("_score"))
     # only pairs at or above the threshold reach the aggregate (the gate is
     # evaluated once per pair; gate + score again only for the few hits)
-    hits = scored.filter(F.col("_score") >= F.col("_req"))
-    best = (hits.groupBy("_text")
+    return _best_hit(scored.filter(F.col("_score") >= F.col("_req")))
+
+
+def _best_hit(hits: DataFrame, least: str | None = None) -> DataFrame:
+    """The best of (_text, idx, full_name, category, _score) per text, if it
+    reaches the column ``least``."""
+    best = (hits.groupBy("_text", *([least] if least else []))
             .agg(F.max_by(F.struct("full_name", "category", "_score"),
                           F.struct(F.col("_score"), -F.col("idx"))).alias("_b")))
+    if least:
+        best = best.filter(F.col("_b._score") >= F.col(least))
     return best.select(
         "_text",
         F.col("_b").isNotNull().alias("matched"),
@@ -142,6 +164,40 @@ def best_match_texts(texts: DataFrame, catalogue: DataFrame, *, threshold: float
     )
 
 
+def match_candidates(texts: DataFrame, catalogue: DataFrame, *, threshold: float = DEFAULT_THRESHOLD,
+                     processor: str | None = "none", adaptive: bool = True,
+                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The pairs that the prefix-filtered join looks at: every distinct text of
+    ``_text`` with the catalogue rows that may reach its threshold, with the
+    text features of both (prefixes qf, cf)."""
+    cat = unique_catalogue(refuse_invalid(catalogue))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    req = required_threshold(F.col("_text"), threshold) if adaptive else F.lit(float(threshold))
+    # written once: what they come from (extraction, joins) is read for several joins below
+    distinct = cut_lineage(texts.filter(F.col("_text").isNotNull()).distinct())
+    # texts that share a hash meet each other's candidates, which are scored like any
+    q = distinct.select(F.xxhash64("_text").alias("q"), "_text", req.alias("_req"), apply_processor(F.col("_text"), processor).alias("_qt"))
+    c = cat.select("idx", "full_name", "category", apply_processor(F.col("full_name"), processor).alias("_ct"))
+    pairs = candidate_pairs(q.select(F.col("q").alias("id"), F.col("_qt").alias("text"), F.col("_req").alias("req")),
+                            c.select(F.col("idx").alias("id"), F.col("_ct").alias("text")), threshold, parts)
+    q = S.with_text_features(q, "_qt", "qf").select("q", "_text", "_req", *S.text_feature_columns("qf"))
+    c = S.with_text_features(c, "_ct", "cf").select("idx", "full_name", "category", *S.text_feature_columns("cf"))
+    row = cat.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("full_name")), F.lit(0)).alias("chars")).first()
+    small = row["n"] <= broadcast_rows and row["n"] * ROW_OVERHEAD + row["chars"] * TEXT_BYTES_PER_CHAR <= DEFAULT_BROADCAST_BYTES
+    return pairs.join(q, "q").join(F.broadcast(c) if small else c, F.col("c") == F.col("idx")).drop("q", "c")
+
+
+def _best_of_candidates(texts: DataFrame, catalogue: DataFrame, threshold: float, processor: str | None,
+                        adaptive: bool, broadcast_rows: int) -> DataFrame:
+    pairs = match_candidates(texts, catalogue, threshold=threshold, processor=processor, adaptive=adaptive, broadcast_rows=broadcast_rows)
+    qf, cf = S.Feat("qf"), S.Feat("cf")
+    likely = pairs.filter(S.weighted_may_reach(qf, cf, F.col("_req")))
+    scored = likely.select("_text", "_req", "idx", "full_name", "category", S.weighted_reaching(qf, cf, threshold).alias("_score"))
+    # the threshold is tested on the best alone: a filter before the aggregate
+    # would be pushed below the score and compute it twice
+    return _best_hit(scored, "_req")
+
+
 def score_pairs(pairs: DataFrame, a: str, b: str, scorers=None,
                 processor: str | None = "none") -> DataFrame:
     """M1-M6 over a table of pairs: one rounded score column per scorer."""
