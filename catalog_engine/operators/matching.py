@@ -24,9 +24,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
+from ..functions.semilocal import partial_score
 from ..functions.text import apply_processor, col_
 from ..session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, cut_lineage, spread_for_compute
 from ..sources.catalogue import refuse_invalid, unique_catalogue
+from . import study
 from .candidates import LEAST_THRESHOLD, candidate_pairs
 
 # Fixed values (must equal the reference's rules):
@@ -205,9 +207,16 @@ def score_pairs(pairs: DataFrame, a: str, b: str, scorers=None,
     pairs = spread_for_compute(pairs)
     tmp = S.with_match_features(pairs, apply_processor(F.col(a), processor), "fa")
     tmp = S.with_match_features(tmp, apply_processor(F.col(b), processor), "fb")
-    out = tmp.select(*pairs.columns,
-                     *[F.round(S.score(n, S.Feat("fa"), S.Feat("fb")), 4).alias(f"score_{n}") for n in scorers])
-    return out
+    def score(n):
+        # partial windows of all pairs of a batch in one sweep, linear in the longer text
+        if n == "partial":
+            return partial_score("fa_raw_s", "fb_raw_s")
+        if n == "partial_token":
+            best = F.greatest(partial_score("fa_srt_s", "fb_srt_s"), partial_score("fa_dst_s", "fb_dst_s"))
+            return F.when(F.arrays_overlap("fa_toks", "fb_toks"), 100.0).otherwise(best)
+        return S.score(n, S.Feat("fa"), S.Feat("fb"))
+
+    return tmp.select(*pairs.columns, *[F.round(score(n), 4).alias(f"score_{n}") for n in scorers])
 
 
 # --------------------------------------------------------------------------
@@ -236,22 +245,56 @@ def study_topk(queries: DataFrame, catalogue: DataFrame, *, top_matches: int | s
                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
     """Per scorer the top ``2 * top_matches`` catalogue rows,
     merged by max score per catalogue row, final top-K. ``top_matches`` is a
-    number or the query column that holds each row's own.
+    number or the query column that holds each row's own. The search scores the
+    pairs of the best upper bounds only (``operators.study``);
+    ``literal_merge=False`` merges over the whole catalogue, which scores all.
 
     Returns ``(per_scorer, merged)``.
     """
     carry = (top_matches,) if isinstance(top_matches, str) else ()
     k = F.col(top_matches) if carry else F.lit(top_matches)
-    long_ = study_scores(queries, catalogue, query_col=query_col, key=key, carry=carry, broadcast_rows=broadcast_rows)
-    w = Window.partitionBy(key, "scorer").orderBy(F.col("score").desc(), F.col("idx"))
-    per_scorer = long_.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 2 * k)
-    merged_src = (per_scorer if literal_merge else long_).groupBy(key, query_col, *carry, "idx", "full_name") \
-        .agg(F.max("score").alias("score"))
+    if not literal_merge:
+        long_ = study_scores(queries, catalogue, query_col=query_col, key=key, carry=carry, broadcast_rows=broadcast_rows)
+        per_scorer = study.ranked(long_, key, 2 * k)
+        merged_src = long_
+    else:
+        cat = cut_lineage(unique_catalogue(refuse_invalid(catalogue)).select("idx", "full_name"))
+        asked = queries.select(key, query_col, *carry)
+        hits = study.top_hits(asked, cat, STUDY_SCORERS, query_col=query_col, key=key, k=2 * k, processor="normalize")
+        hits = cut_lineage(hits.drop("scored", "cell"))
+        long_ = hits.join(asked, key).join(cat, "idx").select(key, query_col, *carry, "idx", "full_name", "scorer", "score")
+        per_scorer = merged_src = study.ranked(long_, key, 2 * k)
+    merged_src = merged_src.groupBy(key, query_col, *carry, "idx", "full_name").agg(F.max("score").alias("score"))
     w2 = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("idx"))
     merged = merged_src.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
     return per_scorer.drop(*carry), merged.drop(*carry)
 
 
+def study_requests(requests: DataFrame, catalogue: DataFrame, *, query_col: str = "query", key: str = "query_id") -> DataFrame:
+    """M16 over a table of user queries (``key``, ``query_col``, top_matches,
+    show_threshold): the displayed matches of each. A text that several rows
+    ask for with the same ``top_matches`` is searched once; rows without a text
+    have no matches."""
+    asked = requests.where(F.col(query_col).isNotNull()).withColumn(
+        "_study", F.concat(F.col("top_matches").cast("string"), F.lit(":"), F.col(query_col)))
+    distinct = cut_lineage(asked.select("_study", F.col(query_col).alias("_text"), "top_matches").distinct())
+    _, merged = study_topk(distinct, catalogue, top_matches="top_matches", query_col="_text", key="_study")
+    shown = study_matches(asked.join(merged.drop("_text"), "_study"), "show_threshold")
+    return shown.select(key, query_col, "top_matches", "show_threshold", "rank", "idx", "full_name", F.round("score", 4).alias("score"), "high_quality")
+
+
+def study_pairs_scored(queries: DataFrame, catalogue: DataFrame, *, top_matches: int = 5, query_col: str = "query",
+                       key: str = "query_id") -> DataFrame:
+    """What the top-K search of ``study_topk`` looks at: per scorer the pairs
+    that were scored and all pairs there are."""
+    cat = unique_catalogue(refuse_invalid(catalogue)).select("idx", "full_name")
+    hits = study.top_hits(queries.select(key, query_col), cat, STUDY_SCORERS, query_col=query_col, key=key,
+                          k=F.lit(2 * top_matches), processor="normalize")
+    scored = hits.groupBy(key, "scorer", "cell").agg(F.max("scored").alias("n")).groupBy("scorer").agg(F.sum("n").alias("pairs_scored"))
+    every = queries.where(F.col(query_col).isNotNull()).agg(F.count(F.lit(1)).alias("q")).crossJoin(F.broadcast(cat.agg(F.count(F.lit(1)).alias("c"))))
+    return scored.crossJoin(F.broadcast(every.select((F.col("q") * F.col("c")).alias("all_pairs"))))
+
+
 def study_all(queries: DataFrame, catalogue: DataFrame, *, query_col: str = "query", key: str = "query_id") -> DataFrame:
     """M13 over the whole catalogue: every row's best score over the scorers,
     for ``threshold_sweep`` without the top-K cut."""

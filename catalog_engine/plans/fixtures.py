@@ -68,6 +68,13 @@ def study_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.min("p_partkey").alias("query_id")))
 
 
+def study_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every query name as a study request with its own ``top_matches`` (1 to 3)
+    and ``show_threshold`` (60 to 90)."""
+    return query_names(spark, sf_dir).select(
+        "query_id", "query", (1 + F.col("query_id") % 3).alias("top_matches"), (60 + 10 * (F.col("query_id") % 4)).alias("show_threshold"))
+
+
 def decorated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names with the characters N1 rewrites (&, -, /, ®, ™, NBSP, tabs)."""
     p = table(spark, sf_dir, "part")

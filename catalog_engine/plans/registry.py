@@ -157,13 +157,13 @@ def q_adaptive_threshold(spark, sf):
 # threshold study M9-M16 + P11
 # --------------------------------------------------------------------------
 
-def _study_sql_prefix() -> str:
+def _study_sql_prefix(qsrc: str = STUDY_Q) -> str:
     q, c = "q", "c"
     scores = ", ".join(f"{O.SCORERS[n](q, c)} AS s_{n}" for n in M.STUDY_SCORERS)
     unions = " UNION ALL ".join(
         f"SELECT query_id, query, idx, full_name, '{n}' AS scorer, s_{n} AS score FROM sc" for n in M.STUDY_SCORERS)
     return (
-        f"WITH sq AS ({STUDY_Q}), uc AS ({UNIQUE_CAT}), "
+        f"WITH sq AS ({qsrc}), uc AS ({UNIQUE_CAT}), "
         f"qf AS (SELECT query_id, query, {', '.join(O.features_cols(O.normalize('query'), 'q'))} FROM sq), "
         f"cf AS (SELECT idx, full_name, {', '.join(O.features_cols(O.normalize('full_name'), 'c'))} FROM uc), "
         f"pr AS (SELECT * FROM qf CROSS JOIN cf), "
@@ -232,6 +232,29 @@ def q_recommendation(spark, sf):
     return M.recommendation(sq, mg)
 
 
+STUDY_REQUESTS = f"SELECT query_id, query, 1 + query_id % 3 AS k, 60 + 10 * (query_id % 4) AS show FROM ({QNAMES}) n"
+
+
+# not registered as an oracle: it scores every name with every catalogue row, which
+# takes DuckDB minutes on larger tables; the tests compare with it on a small one
+STUDY_NAMES_SQL = (
+    _study_sql_prefix(f"SELECT query, min(query_id) AS query_id FROM ({QNAMES}) n GROUP BY query") +
+    f", asked AS ({STUDY_REQUESTS}), "
+    "each AS (SELECT a.query, a.k, ps.idx, ps.full_name, max(ps.score) AS score FROM (SELECT DISTINCT query, k FROM asked) a "
+    "JOIN ps ON ps.query = a.query AND ps.rank <= 2 * a.k GROUP BY ALL), "
+    "best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query, k ORDER BY score DESC, idx) AS rank FROM each) r WHERE rank <= k) "
+    "SELECT a.query_id, a.query, a.k AS top_matches, a.show AS show_threshold, b.rank::INTEGER AS rank, b.idx, b.full_name, "
+    "round(b.score, 4) AS score, b.score >= 90 AS high_quality "
+    "FROM asked a JOIN best b ON b.query = a.query AND b.k = a.k WHERE b.score >= a.show")
+
+
+@register("study_names")
+def q_study_names(spark, sf):
+    """M9-M12 and M16 over a table of user queries, each with its own number of
+    matches and display threshold."""
+    return M.study_requests(FX.study_requests(spark, sf), FX.catalogue(spark, sf))
+
+
 # --------------------------------------------------------------------------
 # links and pages P1-P10
 # --------------------------------------------------------------------------

@@ -27,7 +27,8 @@ def con():
 
 def test_every_query_has_an_oracle():
     from catalog_engine.plans.registry import ORACLE, QUERIES
-    assert set(QUERIES) == set(ORACLE)
+    # study_names: compared with its SQL in test_study.py
+    assert set(QUERIES) - {"study_names"} == set(ORACLE)
 
 
 @pytest.mark.parametrize("threshold", [80, 90, 95])
