@@ -1,6 +1,5 @@
-"""Reading HTML with Column expressions: start tags by attributes (any quotes,
-any order, class tokens), the content up to the matching end tag, direct text,
-attribute values, and character references."""
+"""Reading HTML with Column expressions: comments, attribute values in all tags of
+a name (any quotes), and character references."""
 
 from __future__ import annotations
 
@@ -9,28 +8,12 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .similarity import let
 from .text import col_
 
 VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
-def attr_is(name: str, value: str) -> str:
-    """Condition on a start tag: the attribute has this value."""
-    return rf"""(?=[^>]*\s{name}\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s/>])))"""
-
-
-def has_class(token: str, lacks: bool = False) -> str:
-    """Condition on a start tag: one of its classes is ``token`` (or none is)."""
-    return (rf"""(?{'!' if lacks else '='}[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{token}(?:\s[^"]*)?\""""
-            rf"""|'(?:[^']*\s)?{token}(?:\s[^']*)?'|{token}(?=[\s/>])))""")
-
-
-def start_tag(tag: str, *conditions: str) -> str:
-    return rf"(?is)<{tag}(?=[\s/>]){''.join(conditions)}[^>]*>"
-
-
 def without_comments(html) -> Column:
     return F.regexp_replace(col_(html), r"(?s)<!--.*?(?:-->|$)", "")
 
@@ -58,63 +41,7 @@ def _value(raw: Column) -> Column:
     return decode_references(F.regexp_replace(raw, r"""^["']|["']$""", ""))
 
 
-def attribute(html: Column, tag: str, name: str, *conditions: str) -> Column:
-    """The attribute's value in the first such tag that has it, else NULL."""
-    pattern = rf"(?is)<{tag}(?=\s){''.join(conditions)}[^>]*?\s{name}\s*=\s*{VALUE}"
-    return _value(F.nullif(F.regexp_extract(html, pattern, 1), F.lit("")))
-
-
 def attributes(html: Column, tag: str, name: str) -> Column:
     """The attribute's values in all tags that have it, in page order."""
     pattern = rf"(?is)<{tag}(?=\s)[^>]*?\s{name}\s*=\s*{VALUE}"
     return F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), _value)
-
-
-def inner(html: Column, tag: str, *conditions: str) -> Column:
-    """What the first such element holds, up to its own end tag (elements of
-    the same name inside it are counted) or the end of the page; NULL without
-    one."""
-    start = start_tag(tag, *conditions)
-    rest = F.when(html.rlike(start), F.regexp_extract(html, start + "(.*)", 1))
-
-    def upto_end(pieces: Column) -> Column:
-        step = F.transform(pieces, lambda p: F.when(p.rlike(rf"(?i)^<{tag}"), 1).when(p.rlike(rf"(?i)^</{tag}"), -1).otherwise(0))
-        first = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(-1).alias("end"))
-
-        def walk(s, d):
-            depth = s["depth"] + d
-            return F.struct(depth.alias("depth"), (s["at"] + 1).alias("at"),
-                            F.when((s["end"] < 0) & (depth == 0), s["at"]).otherwise(s["end"]).alias("end"))
-
-        end = F.aggregate(step, first, walk)["end"]
-        return F.array_join(F.slice(pieces, F.lit(1), F.when(end < 0, F.size(pieces)).otherwise(end)), "")
-
-    return let(F.split(rest, rf"(?i)(?=</?{tag}[\s/>])"), upto_end)
-
-
-def all_inner(html: Column, tag: str, *conditions: str) -> Column:
-    """What each such element holds, up to the next end tag of that name."""
-    return F.regexp_extract_all(html, F.lit(start_tag(tag, *conditions) + rf"(.*?)(?:</{tag}\s*>|$)"), 1)
-
-
-def pieces_from(html: Column, tag: str, *conditions: str) -> Column:
-    """The page cut before each such element, from the first one on."""
-    parts = F.split(html, "(?is)(?=" + start_tag(tag, *conditions)[5:] + ")")
-    return F.filter(parts, lambda p: p.rlike("^" + start_tag(tag, *conditions)))
-
-
-def direct_text(content: Column) -> Column:
-    """The first text of an element outside its child elements, NULL without
-    any: as a selector of text nodes gives it."""
-    bare = F.regexp_replace(content, r"(?is)<([a-z][a-z0-9]*)(?=[\s/>])[^>]*>.*?</\1\s*>", "\u0001")
-    nodes = F.filter(F.split(bare, "\u0001|<[^>]*>"), lambda x: x != "")
-    return decode_references(F.try_element_at(nodes, F.lit(1)))
-
-
-def texts_of(html: Column, tag: str, *conditions: str) -> Column:
-    """The first direct text of each such element that has one."""
-    return F.filter(F.transform(all_inner(html, tag, *conditions), direct_text), lambda x: x.isNotNull())
-
-
-def first_of(values: Column) -> Column:
-    return F.try_element_at(values, F.lit(1))

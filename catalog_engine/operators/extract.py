@@ -1,10 +1,10 @@
 """Product-page extraction (E1-E19) as built-in expressions.
 
 One projection turns a page ``(url, html, page_number)`` into the product
-record. The elements that the reference selects are found by tag, id and class
-token and cut at their own end tag first, so that nothing outside them is
-taken; array functions build the ingredient, hashtag and highlight lists.
-Everything stays in the JVM, one pass per page, no UDF.
+record. A page is parsed once into nodes (``functions.nodes``); elements are
+selected by tag, id and class token among the descendants of the elements around
+them, and array functions build the ingredient, hashtag and highlight lists.
+Everything stays in the JVM.
 
 Selector semantics kept: the first match is taken or nothing; ``::text`` is
 text directly in the element, not in its children; a value is present when its
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import html as H
+from ..functions import nodes as N
 from ..functions.similarity import let
 from ..functions.text import ustrip
 from ..functions.urls import resolve_url
@@ -55,76 +55,75 @@ def _rating_values(titles: Column) -> Column:
     vals = F.filter(F.transform(titles, lambda t: F.when(F.contains(t, F.lit(":")),
                                                          ustrip(F.split(t, ":").getItem(1)))),
                     lambda x: x.isNotNull())
-    return F.when(F.size(vals) > 0, vals)
+    return let(vals, lambda v: F.when(F.size(v) > 0, v))
 
 
-def _ingredient(row_html: Column, page_url: Column) -> Column:
-    return let(H.all_inner(row_html, "td"), lambda cells: _ingredient_of_cells(cells, page_url))
+def table_cells(section: Column) -> Column:
+    """The cells of each row of the product tables: a row's own, not those of a
+    table inside one of them."""
+    def of_tables(tables):
+        bodies = F.flatten(F.transform(tables, lambda t: N.all_inner(t, "tbody")))
+        rows = F.flatten(F.transform(bodies, lambda b: N.all_inner(b, "tr")))
+        return F.transform(rows, lambda r: F.filter(N.all_inner(r, "td"), lambda cell: cell["d"] == r["d"] + 1))
+
+    return let(N.all_inner(section, "table", N.with_class(TABLE_CLASS)), of_tables)
+
 
+def raw_ingredients(rows: Column) -> Column:
+    """What the selectors give for each row of cells."""
+    def of(cells):
+        c1, c2, c3, c4 = (F.try_element_at(cells, F.lit(i)) for i in (1, 2, 3, 4))
+        return F.struct(N.first_of(N.texts_of(c1, "a")).alias("name"), N.first_of(N.attributes(c1, "a", "href")).alias("href"),
+                        N.texts_of(c2, "a").alias("roles"), N.attributes(c3, "span", "title").alias("titles"),
+                        N.first_of(N.texts_of(c4, "span", N.with_class(OUR_TAKE_CLASS))).alias("take"))
 
-def _ingredient_of_cells(cells: Column, page_url: Column) -> Column:
-    c1, c2, c3, c4 = (F.try_element_at(cells, F.lit(i)) for i in (1, 2, 3, 4))
-    name_raw = H.first_of(H.texts_of(c1, "a"))
-    href = H.attribute(c1, "a", "href")
-    funcs = H.texts_of(c2, "a")
-    titles = H.attributes(c3, "span", "title")
-    take = H.first_of(H.texts_of(c4, "span", H.has_class(OUR_TAKE_CLASS)))
-    return F.struct(
-        _strip_if_present(name_raw).alias("name"),
-        F.when(_present(href), resolve_url(page_url, href)).alias("ingredient_link"),
-        F.when(F.size(funcs) > 0, _strip_nonblank(funcs)).alias("what_it_does"),
-        _rating_values(F.filter(titles, lambda t: F.contains(t, F.lit(IRRITANCY)))).alias("irritancy_values"),
-        _rating_values(F.filter(titles, lambda t: F.contains(t, F.lit(COMEDOGENICITY)))).alias("comedogenicity_values"),
-        _strip_if_present(take).alias("id_rating"))
+    return F.transform(rows, of)
 
 
-def ingredients(html: Column, page_url: Column) -> Column:
+def ingredients(raw: Column, page_url: Column) -> Column:
     """Ingredient rows of the product tables, nameless rows dropped,
     first occurrence of a name kept, document order; [] without a table."""
-    section = H.inner(html, "div", H.attr_is("id", TABLE_SECTION_ID))
-
-    def of_tables(tables):
-        bodies = F.flatten(F.transform(tables, lambda t: H.all_inner(t, "tbody")))
-        rows = F.flatten(F.transform(bodies, lambda b: H.all_inner(b, "tr")))
-        return F.transform(rows, lambda r: _ingredient(r, page_url))
+    def of(r):
+        values = lambda kind: _rating_values(F.filter(r["titles"], lambda t: F.contains(t, F.lit(kind))))
+        return F.struct(
+            _strip_if_present(r["name"]).alias("name"),
+            F.when(_present(r["href"]), resolve_url(page_url, r["href"])).alias("ingredient_link"),
+            F.when(F.size(r["roles"]) > 0, _strip_nonblank(r["roles"])).alias("what_it_does"),
+            values(IRRITANCY).alias("irritancy_values"), values(COMEDOGENICITY).alias("comedogenicity_values"),
+            _strip_if_present(r["take"]).alias("id_rating"))
 
     def first_wins(named):
         # keep an item when its name first occurs at its own position
         return let(F.transform(named, lambda y: y["name"]),
                    lambda names: F.filter(named, lambda x, i: F.array_position(names, x["name"]) == i + 1))
 
-    items = let(H.all_inner(section, "table", H.has_class(TABLE_CLASS)), of_tables)
-    dedup = let(F.filter(items, lambda x: x["name"].isNotNull() & (x["name"] != "")), first_wins)
-    return F.coalesce(dedup, F.array().cast(f"array<{INGREDIENT}>"))
+    items = F.filter(F.transform(raw, of), lambda x: x["name"].isNotNull() & (x["name"] != ""))
+    return F.coalesce(let(items, first_wins), F.array().cast(f"array<{INGREDIENT}>"))
 
 
 def hashtags(section: Column) -> Column:
     """Hashtag texts of the highlights section, blanks removed;
     absent when the section or its hashtags are missing."""
-    tags = H.texts_of(section, "span", H.has_class(HASHTAG_CLASS))
-    return F.when(section.isNotNull() & (F.size(tags) > 0), _strip_nonblank(tags))
+    tags = N.texts_of(section, "span", N.with_class(HASHTAG_CLASS))
+    return let(tags, lambda t: F.when(section.isNotNull() & (F.size(t) > 0), _strip_nonblank(t)))
 
 
-def highlights(section: Column) -> Column:
+def raw_highlights(section: Column) -> Column:
+    """What the selectors give for each div of the function blocks, also for
+    those inside another."""
+    links = lambda d, test: F.flatten(F.transform(N.all_inner(d, "span", test), lambda s: N.texts_of(s, "a")))
+    blocks = N.all_inner(section, "div", N.with_class(BLOCK_CLASS))
+    divs = F.flatten(F.transform(blocks, lambda b: N.all_inner(b, "div")))
+    return F.transform(divs, lambda d: F.struct(N.first_of(links(d, N.with_class(BOLD_CLASS))).alias("fn"), links(d, N.without_class(BOLD_CLASS)).alias("names")))
+
+
+def highlights(raw: Column) -> Column:
     """Per function block div, the bold link text (function) and the
     other link texts (ingredients); kept when both were found; absent when
     the list is empty."""
-    block = ("div", H.has_class(BLOCK_CLASS))
-    blocks = F.transform(H.pieces_from(section, *block), lambda p: H.inner(p, *block))
-    divs = F.flatten(F.transform(blocks, lambda b: H.all_inner(b, "div")))
-
-    def one(d):
-        def build(fn, names):
-            keep = _present(fn) & (F.size(names) > 0)
-            return F.when(keep, F.struct(ustrip(fn).alias("function"),
-                                         _strip_nonblank(names).alias("ingredients")))
-
-        bold = F.flatten(F.transform(H.all_inner(d, "span", H.has_class(BOLD_CLASS)), lambda s: H.texts_of(s, "a")))
-        other = F.flatten(F.transform(H.all_inner(d, "span", H.has_class(BOLD_CLASS, lacks=True)), lambda s: H.texts_of(s, "a")))
-        return let(H.first_of(bold), lambda fn: let(other, lambda names: build(fn, names)))
-
-    return let(F.filter(F.transform(divs, one), lambda x: x.isNotNull()),
-               lambda items: F.when(F.size(items) > 0, items))
+    kept = F.filter(raw, lambda r: _present(r["fn"]) & (F.size(r["names"]) > 0))
+    items = F.transform(kept, lambda r: F.struct(ustrip(r["fn"]).alias("function"), _strip_nonblank(r["names"]).alias("ingredients")))
+    return let(items, lambda x: F.when(F.size(x) > 0, x))
 
 
 def extract_products(pages: DataFrame, url: str = "url", html: str = "html",
@@ -134,20 +133,24 @@ def extract_products(pages: DataFrame, url: str = "url", html: str = "html",
     if not pages.isStreaming:
         pages = spread_for_compute(pages)
     keep = [c for c in pages.columns if c not in (url, html, page_number)]
-    body = H.without_comments(F.col(html))
-    pages = pages.select(*keep, F.col(url).alias("_url"), F.col(page_number).alias("_page_number"), body.alias("_html"))
-    h = F.col("_html")
+    pages = pages.select(*keep, F.col(url).alias("_url"), F.col(page_number).alias("_page_number"), F.col(html).alias("_html"),
+                         N.page_nodes(F.col(html)).alias("_nodes"))
+    h, page = F.col("_html"), N.whole(F.col("_nodes"))
 
     def span(ident):
-        return H.inner(h, "span", H.attr_is("id", ident))
+        return let(page, lambda p: N.inner(p, "span", N.with_id(ident)))
 
-    # the raw values first: each is used several times below
+    # the elements first: each is used several times below
     pages = pages.select(
         *keep, "_url", "_page_number", "_html",
-        H.first_of(H.texts_of(span(BRAND_ID), "a")).alias("_brand"), H.direct_text(span(TITLE_ID)).alias("_name"),
-        H.direct_text(span(DETAILS_ID)).alias("_details"),
-        H.attribute(H.inner(h, "div", H.has_class(IMAGE_CLASS)), "img", "src").alias("_image"),
-        H.inner(h, "div", H.attr_is("id", HIGHLIGHTS_ID)).alias("_section"))
+        let(span(BRAND_ID), lambda e: N.first_of(N.texts_of(e, "a"))).alias("_brand"), let(span(TITLE_ID), N.direct_text).alias("_name"),
+        let(span(DETAILS_ID), N.direct_text).alias("_details"),
+        let(let(page, lambda p: N.inner(p, "div", N.with_class(IMAGE_CLASS))), lambda e: N.first_of(N.attributes(e, "img", "src"))).alias("_image"),
+        let(page, lambda p: N.inner(p, "div", N.with_id(HIGHLIGHTS_ID))).alias("_section"),
+        let(page, lambda p: N.inner(p, "div", N.with_id(TABLE_SECTION_ID))).alias("_tables"))
+    # in steps, so that no expression is nested too deeply for the analyzer
+    pages = pages.select("*", table_cells(F.col("_tables")).alias("_rows"), raw_highlights(F.col("_section")).alias("_blocks"))
+    pages = pages.select("*", raw_ingredients(F.col("_rows")).alias("_raw")).drop("_rows", "_tables")
     u, brand_raw, name_raw, section = F.col("_url"), F.col("_brand"), F.col("_name"), F.col("_section")
     both = _present(brand_raw) & _present(name_raw)
     image = F.when(_present(F.col("_image")), F.col("_image"))
@@ -160,9 +163,9 @@ def extract_products(pages: DataFrame, url: str = "url", html: str = "html",
         ("image_url", image),
         ("high_res_image_url", F.when(F.contains(image, F.lit("@")),
                                       F.concat(F.substring_index(image, "@", 1), F.lit(HIGH_RES_SUFFIX)))),
-        ("ingredients", ingredients(h, u)),
+        ("ingredients", ingredients(F.col("_raw"), u)),
         ("hashtags", hashtags(section)),
-        ("highlights", highlights(section)),
+        ("highlights", highlights(F.col("_blocks"))),
     ]
     out = pages.select(
         *keep,
@@ -189,7 +192,10 @@ def match_products(products: DataFrame, catalogue: DataFrame, threshold: float =
 
 def flatten_ingredients(products: DataFrame) -> DataFrame:
     """One row per (product, ingredient) with its position."""
-    return products.select("url", F.posexplode("ingredients").alias("pos", "ing")).select("url", "pos", "ing.*")
+    # outer, as Spark would otherwise test the array before it explodes it, and for
+    # that compute the page's extraction a second time
+    each = products.select("url", F.posexplode_outer("ingredients").alias("pos", "ing"))
+    return each.where(F.col("pos").isNotNull()).select("url", "pos", "ing.*")
 
 
 def flatten_functions(products: DataFrame) -> DataFrame:

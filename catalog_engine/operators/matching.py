@@ -27,7 +27,7 @@ from ..functions import similarity as S
 from ..functions.semilocal import partial_score
 from ..functions.text import apply_processor, col_
 from ..session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, cut_lineage, spread_for_compute
-from ..sources.catalogue import refuse_invalid, unique_catalogue
+from ..sources.catalogue import refuse_invalid, unique_catalogue, with_full_name
 from . import study
 from .candidates import LEAST_THRESHOLD, candidate_pairs
 
@@ -175,8 +175,9 @@ def match_candidates(texts: DataFrame, catalogue: DataFrame, *, threshold: float
     cat = unique_catalogue(refuse_invalid(catalogue))
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     req = required_threshold(F.col("_text"), threshold) if adaptive else F.lit(float(threshold))
-    # written once: what they come from (extraction, joins) is read for several joins below
-    distinct = cut_lineage(texts.filter(F.col("_text").isNotNull()).distinct())
+    # written once: what they come from (extraction, joins) is read for several joins
+    # below. Nulls go after that: a filter before would be pushed into the extraction
+    distinct = cut_lineage(texts.distinct()).filter(F.col("_text").isNotNull())
     # texts that share a hash meet each other's candidates, which are scored like any
     q = distinct.select(F.xxhash64("_text").alias("q"), "_text", req.alias("_req"), apply_processor(F.col("_text"), processor).alias("_qt"))
     c = cat.select("idx", "full_name", "category", apply_processor(F.col("full_name"), processor).alias("_ct"))
@@ -358,3 +359,40 @@ def rematch_unmatched(state: DataFrame, catalogue: DataFrame, *, threshold: floa
                      catalogue, threshold=threshold, broadcast_rows=broadcast_rows)
     return res.select(F.col("query_id").alias("url"), F.col("query").alias("full_name"),
                       "matched", "matched_name", "category", "score")
+
+
+def rematch_delta(stored: DataFrame, before: DataFrame, after: DataFrame, *, threshold: float = DEFAULT_THRESHOLD,
+                  query_col: str = "query", key: str = "query_id", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """M17 with catalogue versions: ``stored`` (the result of ``best_match``
+    against ``before``) brought up to ``after``, as a whole match against that
+    would give it.
+
+    The catalogue rows that were added or changed in name, position or category
+    are searched for every text; a stored match stands against what they offer
+    by score, then position. Only texts whose matched row is gone or changed are
+    searched in the whole catalogue. Scores are compared as stored, to 4 places.
+    """
+    row = ["full_name", "idx", "category"]
+    old, new = (cut_lineage(unique_catalogue(refuse_invalid(c)).select(*row)) for c in (before, after))
+    named = with_full_name(after)
+    delta = named.join(new.join(old, row, "left_anti").select("full_name"), "full_name", "left_semi").drop("full_name")
+    gone = old.join(new, row, "left_anti").select(F.col("full_name").alias("matched_name"), F.lit(True).alias("_gone"))
+    stored = stored.join(gone, "matched_name", "left").withColumn("_gone", F.coalesce("_gone", F.lit(False)))
+    texts = lambda df: df.select(F.col(query_col).alias("_text"))
+    options = dict(threshold=threshold, broadcast_rows=broadcast_rows)
+    found = (best_match_texts(texts(stored.filter(~F.col("_gone"))), delta, **options).withColumn("_whole", F.lit(False))
+             .unionByName(best_match_texts(texts(stored.filter("_gone")), after, **options).withColumn("_whole", F.lit(True))))
+    place = new.select(F.col("full_name").alias("matched_name"), "idx")
+    found = cut_lineage(found.join(place, "matched_name").select(
+        "_text", F.col("_whole").alias("_gone"), F.struct(F.col("score"), (-F.col("idx")).alias("at"), "matched_name", "category").alias("_found")))
+    kept = stored.join(place, "matched_name", "left").withColumn("_kept", F.when(
+        F.col("matched") & ~F.col("_gone"), F.struct(F.col("score"), (-F.col("idx")).alias("at"), "matched_name", "category")))
+    # rows without a text are spread by their key, as in join_best
+    known = F.col(query_col).isNotNull()
+    kept = kept.withColumn("_known", known).withColumn("_key", F.when(known, F.col(query_col)).otherwise(F.col(key).cast("string")))
+    out = kept.join(found.select(F.lit(True).alias("_known"), F.col("_text").alias("_key"), "_gone", "_found"), ["_known", "_key", "_gone"], "left")
+    best = F.greatest("_kept", "_found")
+    shown = [c for c in stored.columns if c not in ("matched", "matched_name", "category", "score", "_gone")]
+    return out.withColumn("_best", best).select(
+        *shown, F.col("_best").isNotNull().alias("matched"), F.col("_best.matched_name").alias("matched_name"),
+        F.col("_best.category").alias("category"), F.col("_best.score").alias("score"))

@@ -27,6 +27,14 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("name"), F.col("p_type").alias("category"))
 
 
+def catalogue_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of the catalogue: the first lacks the positions that end in 3,
+    the second has these, lacks every eleventh and has other categories."""
+    now, i = catalogue(spark, sf_dir), F.col("idx")
+    category = F.when(i % 13 == 0, F.lower("category")).otherwise(F.col("category"))
+    return now.filter(i % 10 != 3), now.filter(i % 11 != 5).withColumn("category", category)
+
+
 def name_variant() -> "F.Column":
     """The name variant of a part row (by ``p_partkey % 6``): exact, tokens
     swapped, upper case, last character dropped, name only (short),

@@ -495,6 +495,19 @@ def q_rematch_unmatched(spark, sf):
     return M.rematch_unmatched(_state(spark, sf), FX.catalogue(spark, sf))
 
 
+CAT_BEFORE = f"SELECT * FROM ({CAT}) v WHERE idx % 10 <> 3"
+CAT_AFTER = f"SELECT idx, brand, name, CASE WHEN idx % 13 = 0 THEN lower(category) ELSE category END AS category FROM ({CAT}) v WHERE idx % 11 <> 5"
+
+
+@register("rematch_delta", _best_match_sql(90).replace(CAT, CAT_AFTER))
+def q_rematch_delta(spark, sf):
+    """M17 over two versions of the catalogue: matches against the first are
+    brought up to the second, which equals a whole match against it."""
+    before, after = FX.catalogue_versions(spark, sf)
+    stored = M.best_match(FX.query_names(spark, sf), before, threshold=90)
+    return M.rematch_delta(stored, before, after, threshold=90)
+
+
 @register("page_stats",
           f"SELECT page_number, count(*) AS page_products, count(*) FILTER (WHERE cached) AS cached_products, "
           f"count(*) FILTER (WHERE route = 'emit_cached') AS matched_cached_products FROM ({ROUTED}) r GROUP BY page_number")
@@ -883,6 +896,27 @@ def q_full_pipeline(spark, sf):
     return products.select("url", "full_name", "page_number", "matched", "matched_name", "category", "error", "batch_number")
 
 
+@register("full_pipeline_twice",
+          f"SELECT k AS runs, sum(pages)::BIGINT AS total_pages, sum(products)::BIGINT AS total_products, "
+          f"sum(good)::BIGINT AS matched_products, count(*) AS total_batches FROM (SELECT k, r, floor((page_number - 1) / 100) AS b, "
+          f"count(DISTINCT page_number) AS pages, count(*) AS products, count(*) FILTER (WHERE matched) AS good FROM ("
+          f"SELECT 1 AS r, page_number, matched FROM ({FULL_RUN}) p UNION ALL "
+          # the second run finds the first one's names in the state: what has one and is matched is emitted, what has none is fetched again
+          f"SELECT 2, page_number, matched FROM ({FULL_RUN}) p WHERE matched OR full_name IS NULL"
+          f") x CROSS JOIN (SELECT unnest([1, 2]) AS k) ks WHERE r <= k GROUP BY 1, 2, 3) g GROUP BY k")
+def q_full_pipeline_twice(spark, sf):
+    """The global stats after a run that is called twice, and after a
+    second run on the state that the first left."""
+    from .crawl import run_crawl
+    base, _ = _full_run(spark, sf)
+    again = lambda run_id: run_crawl(spark, FX.listing_pages(spark, sf), FX.product_pages(spark, sf), FX.catalogue(spark, sf), base, run_id=run_id)
+    again("run-1")
+    first = SS.read_latest_global_stats(spark, base).select(F.lit(1).alias("runs"), "*")
+    first = spark.createDataFrame(first.collect(), first.schema)  # one row, before the next run adds to it
+    again("run-2")
+    return first.unionByName(SS.read_latest_global_stats(spark, base).select(F.lit(2).alias("runs"), "*"))
+
+
 @register("full_pipeline_state",
           f"SELECT coalesce(p.url, st.url) AS url, CASE WHEN p.url IS NULL THEN st.full_name ELSE p.full_name END AS full_name, "
           f"CASE WHEN p.url IS NULL THEN st.matched ELSE p.matched END AS matched FROM ({STATE}) st FULL OUTER JOIN ({FULL_RUN}) p ON p.url = st.url")

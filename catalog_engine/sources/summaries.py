@@ -43,11 +43,23 @@ def read_global_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(GLOBAL_STATS).json(path)
 
 
+def run_totals_folder(base: str, run_id: str) -> str:
+    """Where a run leaves its own totals; writing them again changes nothing."""
+    return f"{base}/run_totals/run_id={run_id}"
+
+
 def read_latest_global_stats(spark: SparkSession, base: str) -> DataFrame:
-    """The totals that the last run below ``base`` left; empty before the
+    """The totals over all runs below ``base`` that ended; empty before the
     first run."""
-    folder = f"{base}/global_stats"
+    folder = f"{base}/run_totals"
     if not path_exists(spark, folder):
         return spark.createDataFrame([], GLOBAL_STATS)
-    rows = spark.read.schema(T.StructType([*GLOBAL_STATS, T.StructField("v", T.LongType())])).json(folder)
-    return rows.orderBy(F.col("v").desc()).limit(1).drop("v")
+    rows = spark.read.schema(GLOBAL_STATS).json(folder)
+    return rows.agg(*[F.sum(f.name).cast("bigint").alias(f.name) for f in GLOBAL_STATS])
+
+
+def read_final_summary(spark: SparkSession, base: str, run_id: str) -> DataFrame:
+    """K6: a run's final summary, read back."""
+    schema = T.StructType([*GLOBAL_STATS, T.StructField("batch_summaries", T.StringType()), T.StructField("match_percentage", T.DoubleType()),
+                           T.StructField("completion_date", T.TimestampType())])
+    return spark.read.schema(schema).json(f"{base}/runs/{run_id}/final_summary")

@@ -100,3 +100,47 @@ def test_stream_replay_after_a_crash(spark):
     assert [(r.version, r.batch_id) for r in rows] == [(1, 0), (2, 1)]
     state = spark.read.parquet(rows[-1].path)
     assert sorted(r.url for r in state.select("url").collect()) == sorted(r.url for r in pages.select("url").collect())
+
+
+def test_a_run_that_broke_off_is_taken_up(spark, monkeypatch):
+    """After a crash between the state and the batches, the same run_id ends as
+    if nothing had happened, and a further call changes nothing."""
+    import pytest
+    from catalog_engine.plans import fixtures as FX
+    from catalog_engine.plans.crawl import run_crawl
+    from catalog_engine.sources import summaries as SS
+    from catalog_engine.streaming import ingest as SI
+    from conftest import SF_SMALL
+    inputs = (FX.listing_pages(spark, SF_SMALL), FX.product_pages(spark, SF_SMALL), FX.catalogue(spark, SF_SMALL))
+    whole, broken = SI.new_run_dir(spark, "whole"), SI.new_run_dir(spark, "broken")
+    want = {tuple(r) for r in run_crawl(spark, *inputs, whole, run_id="r").collect()}
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(W, "write_batches", crash)
+        with pytest.raises(RuntimeError):
+            run_crawl(spark, *inputs, broken, run_id="r")
+    assert W.current_pointer(spark, f"{broken}/state")["version"] == 1
+    assert SS.read_latest_global_stats(spark, broken).count() == 0
+    for _ in range(2):
+        assert {tuple(r) for r in run_crawl(spark, *inputs, broken, run_id="r").collect()} == want
+        assert SS.read_latest_global_stats(spark, broken).collect() == SS.read_latest_global_stats(spark, whole).collect()
+        assert W.published(spark, f"{broken}/state").count() == 1
+    last = SS.read_final_summary(spark, broken, "r").first()
+    assert last.total_products == len(want) and last.completion_date is not None
+
+
+def test_delta_rematch_is_the_whole_rematch(spark):
+    """Gone, changed, moved and added rows, ties by position, rows without a text."""
+    from catalog_engine.operators import matching as M
+    schema = "idx long, brand string, name string, category string"
+    before = [(0, "acme", "red ring", "a"), (1, "acme", "blue ring", "b"), (2, "acme", "old bolt", "c"), (3, "acme", "big anvil", "d"), (5, "acme", "hot plate x", "e"), (6, "acme", "hot plate y", "f")]
+    after = [(0, "acme", "red ring", "a2"), (1, "acme", "blue ring", "b"), (3, "acme", "big anvil", "d"), (4, "acme", "cold widget", "n"), (9, "acme", "hot plate x", "e"), (6, "acme", "hot plate y", "f"), (7, "acme", "old bolts", "g")]
+    asked = ["acme red ring", "acme blue ring", "acme old bolt", "acme big anvils", "acme cold widget", "acme hot plate z", "nothing", None, "acme red ring"]
+    rows = spark.createDataFrame(list(enumerate(asked)), "query_id long, query string")
+    before, after = (spark.createDataFrame(c, schema) for c in (before, after))
+    got = M.rematch_delta(M.best_match(rows, before), before, after)
+    key = lambda r: (r.query_id, r.query, r.matched, r.matched_name, r.category, r.score)
+    assert sorted(map(key, got.collect()), key=str) == sorted(map(key, M.best_match(rows, after).collect()), key=str)
