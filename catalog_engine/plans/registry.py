@@ -61,6 +61,17 @@ UNIQUE_CAT = (
 # catalogue: S1-S3, N1-N4
 # --------------------------------------------------------------------------
 
+@register("catalogue_files",
+          f"SELECT row_number() OVER (ORDER BY idx) - 1 AS idx, brand, name, category FROM ({CAT}) c")
+def q_catalogue_files(spark, sf):
+    """The catalogue as JSON array files, written by Spark and read back with
+    the position over all files as ``idx``."""
+    from ..streaming.ingest import new_run_dir
+    path = f"{new_run_dir(spark, 'catalogue')}/lists"
+    C.write_catalogue_files(FX.catalogue(spark, sf), path, per_file=300)
+    return C.read_catalogue_files(spark, path)
+
+
 @register("catalogue_validate",
           f"SELECT count(*) AS rows, count(*) FILTER (WHERE brand IS NULL OR name IS NULL) AS invalid_rows, "
           f"count(*) FILTER (WHERE brand IS NULL OR name IS NULL) = 0 AS valid FROM ({CAT}) c")

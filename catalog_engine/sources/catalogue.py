@@ -7,7 +7,7 @@ match, last occurrence wins for the category lookup).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,36 @@ def read_catalogue_json(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("idx").cast("long").alias("idx"), "item.brand", "item.name", "item.category"))
 
 
+def read_catalogue_files(spark: SparkSession, path: str) -> DataFrame:
+    """S1 over many files: every file below ``path`` is one JSON array of
+    objects; the list goes on from file to file in the order of their paths.
+
+    A file is parsed as a VARIANT by one task; an item's place is its file's
+    first position (the items of the files before) plus its place in the file.
+    Only one row per file goes through the window that adds these up. Items that
+    are no objects, and fields that are missing or null, are null; an empty array
+    adds nothing; a file that is no JSON array is refused.
+    """
+    raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.input_file_name().alias("_file"), F.col("value"))
+    parsed = raw.select("_file", F.parse_json("value").alias("_list"))
+    wrong = F.raise_error(F.concat(F.lit("catalogue rejected: no JSON array in "), F.col("_file"))).cast("variant")
+    parsed = parsed.select("_file", F.when(F.schema_of_variant("_list").startswith("ARRAY"), F.col("_list")).otherwise(wrong).alias("_list"))
+    items = parsed.lateralJoin(spark.tvf.variant_explode(F.col("_list").outer())).select("_file", F.col("pos").cast("bigint").alias("_pos"), F.col("value").alias("_item"))
+    ahead = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    first = items.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_first"))
+    of = lambda name: F.try_variant_get("_item", f"$.{name}", "string").alias(name)
+    return items.join(first, "_file").select((F.col("_first") + F.col("_pos")).alias("idx"), of("brand"), of("name"), of("category"))
+
+
+def write_catalogue_files(catalogue: DataFrame, path: str, per_file: int = 10_000) -> None:
+    """The catalogue as JSON array files of at most about ``per_file`` items, in
+    the order of ``idx``; the files' folders sort by their first position."""
+    part = F.lpad(F.floor(F.col("idx") / per_file).cast("string"), 12, "0").alias("part")
+    item = F.struct("idx", F.struct("brand", "name", "category").alias("item"))
+    lists = catalogue.select(part, item.alias("i")).groupBy("part").agg(F.sort_array(F.collect_list("i")).alias("all"))
+    lists.select("part", F.to_json(F.transform("all", lambda x: x["item"])).alias("value")).write.mode("overwrite").partitionBy("part").text(path)
+
+
 def catalogue_from_table(df: DataFrame, idx: str = "idx", brand: str = "brand",
                          name: str = "name", category: str | None = "category") -> DataFrame:
     """S1 for columnar sources: any table with an explicit position column."""

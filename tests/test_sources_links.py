@@ -152,3 +152,19 @@ def test_match_refuses_an_invalid_catalogue(spark):
     with pytest.raises(Exception, match="catalogue rejected"):
         M.best_match(q, cat).collect()
     assert M.best_match(q, validate_catalogue(cat, "quarantine")).first().matched
+
+
+def test_catalogue_over_several_files(spark):
+    """Places go on from file to file; odd items are null, other documents refused."""
+    import pytest
+    from catalog_engine.sources import catalogue as C
+    from catalog_engine.streaming.ingest import new_run_dir
+    lists = ['[{"brand": "a", "name": "x", "category": "c"}, {"brand": "b", "name": null}]', "[]", '[7, {"name": "é \\"q\\"", "brand": "d", "more": [1]}]']
+    base = new_run_dir(spark, "lists")
+    for k, text in enumerate(lists):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{base}/f{k}")
+    got = sorted(tuple(r) for r in C.read_catalogue_files(spark, base).collect())
+    assert got == [(0, "a", "x", "c"), (1, "b", None, None), (2, None, None, None), (3, "d", 'é "q"', None)]
+    spark.createDataFrame([('{"brand": "a"}',)], "value string").coalesce(1).write.text(f"{base}/g")
+    with pytest.raises(Exception, match="no JSON array"):
+        C.read_catalogue_files(spark, base).collect()
