@@ -826,7 +826,7 @@ def q_stream_stats(spark, sf):
     pages = FX.product_pages(spark, sf)
     SI.stage_files(pages, src, STREAM_FILES, "page_id")
     SI.run_totals_stream(spark, src, out, ck, pages.schema)
-    return spark.read.parquet(out)
+    return SI.read_totals(spark, out)
 
 
 # --------------------------------------------------------------------------

@@ -14,8 +14,8 @@
   batches or runs are removed with an anti join against the output table.
 * T4 stream -> extract -> match -> state upsert, one state version per
   micro-batch, numbered on from the last published one.
-* T5 running totals: a streaming aggregation in complete mode whose
-  result table is overwritten each micro-batch.
+* T5 running totals: counts per run and micro-batch, committed once each;
+  the totals are their sum.
 
 All folders live below the shared checkpoint folder (``spark.checkpoint.dir``).
 """
@@ -110,7 +110,8 @@ def run_state_stream(spark: SparkSession, source: str, state_base: str, checkpoi
         if earlier.filter((F.col("run_id") == run) & (F.col("batch_id") == batch_id)).isEmpty():
             last = W.current_pointer(spark, state_base)
             version = last["version"] + 1 if last else 1
-            placed = batch.withColumn("pos", F.monotonically_increasing_id())
+            # the page order, however the batch was split into files
+            placed = batch.withColumn("pos", F.col("page_id").cast("long") if "page_id" in batch.columns else F.xxhash64("url", "html"))
             products = match_products(E.extract_products(placed), catalogue, threshold=threshold)
             rows = products.select("url", "full_name", "matched", "matched_name", "category", "page_number",
                                    "error", "pos", F.lit(version).cast("long").alias("version"))
@@ -125,19 +126,32 @@ def run_state_stream(spark: SparkSession, source: str, state_base: str, checkpoi
     q.awaitTermination()
 
 
+TOTALS = ["total_products", "named_products", "error_products"]
+
+
 def run_totals_stream(spark: SparkSession, source: str, out: str, checkpoint: str, schema,
-                      files_per_trigger: int = FILES_PER_INCREMENT) -> None:
-    """T5: running totals over extracted products (complete mode)."""
-    products = E.extract_products(
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source))
-    totals = products.groupBy().agg(
-        F.count(F.lit(1)).alias("total_products"),
-        F.count_if(F.col("full_name").isNotNull()).alias("named_products"),
-        F.count_if(F.col("error").isNotNull()).alias("error_products"))
-
-    def overwrite(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (totals.writeStream.outputMode("complete").foreachBatch(overwrite)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+                      files_per_trigger: int = FILES_PER_INCREMENT, after_commit=None) -> None:
+    """T5: running totals over extracted products. Every micro-batch commits its
+    own counts under (run, batch id); the totals are their sum (``read_totals``),
+    so a replay changes nothing and a further run adds to them. ``after_commit`` is
+    called with the batch id when its counts stand."""
+    run = run_name(checkpoint)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        products = E.extract_products(batch)
+        counts = products.agg(F.count(F.lit(1)).alias("total_products"), F.count("full_name").alias("named_products"),
+                              F.count("error").alias("error_products"))
+        counts.coalesce(1).write.mode("overwrite").parquet(os.path.join(out, f"run={run}", f"batch_id={batch_id}"))
+        if after_commit:
+            after_commit(batch_id)
+
+    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
+         .writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def read_totals(spark: SparkSession, out: str) -> DataFrame:
+    """The totals over all committed micro-batches; zeros before the first."""
+    counts = _read_done(spark, out, T.StructType([T.StructField(c, T.LongType()) for c in TOTALS]))
+    return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in TOTALS])

@@ -102,6 +102,33 @@ def test_stream_replay_after_a_crash(spark):
     assert sorted(r.url for r in state.select("url").collect()) == sorted(r.url for r in pages.select("url").collect())
 
 
+def test_totals_count_every_micro_batch_once(spark):
+    """A replay after a crash adds nothing, a second run adds its own counts."""
+    import pytest
+    from catalog_engine.plans import fixtures as FX
+    from catalog_engine.streaming import ingest as SI
+    from conftest import SF_SMALL
+    run = SI.new_run_dir(spark, "totals")
+    pages = FX.product_pages(spark, SF_SMALL).filter("page_id <= 40")
+    SI.stage_files(pages, f"{run}/source", 2, "page_id")
+    args = lambda k: (spark, f"{run}/source", f"{run}/totals", f"{run}/checkpoint-{k}", pages.schema)
+    assert tuple(SI.read_totals(spark, f"{run}/totals").first()) == (0, 0, 0)
+
+    def fail(batch_id):
+        raise RuntimeError(f"stopped after batch {batch_id}")
+
+    with pytest.raises(Exception, match="stopped after batch 0"):
+        SI.run_totals_stream(*args(1), after_commit=fail)
+    SI.run_totals_stream(*args(1))
+    want = pages.count()
+    first = SI.read_totals(spark, f"{run}/totals").first()
+    assert first.total_products == want and first.error_products == 1
+    SI.run_totals_stream(*args(1))
+    assert SI.read_totals(spark, f"{run}/totals").first() == first
+    SI.run_totals_stream(*args(2))
+    assert [x for x in SI.read_totals(spark, f"{run}/totals").first()] == [2 * x for x in first]
+
+
 def test_a_run_that_broke_off_is_taken_up(spark, monkeypatch):
     """After a crash between the state and the batches, the same run_id ends as
     if nothing had happened, and a further call changes nothing."""
