@@ -11,8 +11,10 @@ threshold differ in at most ``k`` shingles, so if shingles are dealt into
 more than k parts by their hash, the sets agree on whole parts. Sets are compared
 in classes of similar size; a set emits one signature (hash of a part's
 content) for each part of its class, and for the next class if a partner there
-is possible. Sets that share a signature fall into one candidate group. Equal
-sets are one set throughout, so copies cost nothing.
+is possible. Sets that share a signature fall into one candidate group; groups
+that are large are parted by a prefix filter over exact counts of their
+shingles (``_refined``). Equal sets are one set throughout, so copies cost
+nothing.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from catalog_engine.llm.common import connected_components, cut, free_name, need_columns, release_tokenizers
+from catalog_engine.llm.common import connected_components, cut, free_name, need_columns, release_tokenizers, stored
 
 SHINGLE_WORDS = 3
 #: Similarity in hundredths.
@@ -153,31 +155,36 @@ def _described(words: int):
     return describe
 
 
+def _collapsed(uid: np.ndarray, signs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The signatures of a block of documents as rows (place of the document,
+    signature, documents it stands for), signatures as even numbers. One that more
+    than a few documents of the block share goes on with the first of them and
+    their number, and the others meet that one under an odd number of its own;
+    so a hot signature costs a few rows per block."""
+    every, of = np.concatenate(signs) & ~np.uint64(1), np.repeat(np.arange(len(signs)), [len(x) for x in signs])
+    if not len(every):
+        return of, every, np.empty(0, dtype=np.int32)
+    _, first, group, size = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
+    stays, stands = size[group] <= SMALL, np.ones(len(every), dtype=np.int32)
+    stays[first] = True
+    stands[first] = np.where(size > SMALL, size, 1)
+    lead = of[first[group]]
+    met = np.unique(np.stack([of[~stays], lead[~stays]]), axis=1)
+    own = _mix(uid.view(np.uint64) ^ _M1) | np.uint64(1)
+    out = np.concatenate([of[stays], met[0], np.unique(met[1])])
+    every = np.concatenate([every[stays], own[met[1]], own[np.unique(met[1])]])
+    return out, every, np.concatenate([stands[stays], np.ones(len(every) - stays.sum(), dtype=np.int32)])
+
+
 def _signed(threshold: int, words: int):
-    """The signatures of each document, as even numbers. Where more than a few
-    documents of a block share one, it goes on with the first of them and their
-    number, and the others meet that one under an odd number of its own; so a
-    hot signature costs a few rows per block."""
+    """The part signatures of each document."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), BLOCK_DOCS):
                 part = batch.iloc[at : at + BLOCK_DOCS]
                 uid, count = part["uid"].to_numpy(), len(part)
-                signs = [signatures(shingle_set(t, words), threshold) & ~np.uint64(1) for t in part["text"]]
-                every, of = np.concatenate(signs), np.repeat(np.arange(count), [len(x) for x in signs])
-                _, first, group, size = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
-                stays, stands = np.ones(len(every), dtype=bool), np.ones(len(every), dtype=np.int32)
-                if len(every):
-                    stays = size[group] <= SMALL
-                    stays[first] = True
-                    stands[first] = np.where(size > SMALL, size, 1)
-                lead = of[first[group]] if len(every) else of
-                met = np.unique(np.stack([of[~stays], lead[~stays]]), axis=1)
-                own = _mix(uid.view(np.uint64) ^ _M1) | np.uint64(1)
-                of = np.concatenate([of[stays], met[0], np.unique(met[1])])
-                every = np.concatenate([every[stays], own[met[1]], own[np.unique(met[1])]])
-                stands = np.concatenate([stands[stays], np.ones(len(every) - stays.sum(), dtype=np.int32)])
+                of, every, stands = _collapsed(uid, [signatures(shingle_set(t, words), threshold) for t in part["text"]])
                 order = np.argsort(of, kind="stable")
                 ends = np.searchsorted(of[order], np.arange(count + 1))
                 every, stands = every[order].view(np.int64), stands[order]
@@ -327,6 +334,95 @@ def _split(large: DataFrame, texts: DataFrame, limit: int, threshold: int, words
     return star.union(found)
 
 
+def _ties(signed: DataFrame, about: DataFrame, threshold: int) -> DataFrame:
+    """Edges (uid, first) between documents that share signatures, from rows
+    (uid, sign, stands): signatures of up to SMALL documents give their pairs,
+    of which the histograms in ``about`` leave the possible ones; those of more,
+    and those that stand for a whole block's share, tie all their documents."""
+    same, row = Window.partitionBy("sign"), Window.partitionBy("sign").orderBy("uid")
+    tied = (F.sum("stands").over(same) > SMALL) | (F.col("sign").bitwiseAND(F.lit(1)) == 1)
+    earlier = F.array(*[F.lag("uid", d).over(row) for d in range(1, SMALL)])
+    met = signed.select("uid", tied.alias("tied"), F.first("uid").over(row).alias("first"), earlier.alias("earlier"))
+    met = met.select("uid", "tied", F.explode(F.when(F.col("tied"), F.array("first")).otherwise(F.array_compact("earlier"))).alias("other"))
+    met = cut(met.where("uid != other").distinct())
+    side = lambda name, key: about.select(F.col("uid").alias(key), F.col("n").alias(f"{name}_n"), F.col("histogram").alias(f"{name}_histogram"))
+    pairs = met.where("not tied").select("uid", "other").join(side("a", "uid"), "uid").join(side("b", "other"), "other")
+    pairs = pairs.select("uid", "other", "a_n", "a_histogram", "b_n", "b_histogram").mapInPandas(_possible(threshold), "uid bigint, other bigint")
+    return cut(met.where("tied").select("uid", F.col("other").alias("first")).union(pairs))
+
+
+#: Blocks of a large group in which shingles are counted before the shuffle.
+REFINE_BLOCKS = 8
+
+
+def _counted(words: int):
+    """How many sets of a block hold each shingle."""
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        found, counts = np.unique(np.concatenate([shingle_set(t, words) for t in rows["text"]]), return_counts=True)
+        return pd.DataFrame({"group": rows["group"].iloc[0], "block": rows["block"].iloc[0], "shingle": found.view(np.int64), "held": counts})
+
+    return count
+
+
+def _prefixes(threshold: int, words: int):
+    """The prefix of each set of a block, as signatures: in the order of the
+    group's counts, rarest first, two sets that link share one of their first
+    n - T + 1 shingles, where T = t * n is the least overlap. A shingle that is
+    not among the ``shared`` ones is in no other set. A signature also holds the
+    size class, of the set and of the next one if a partner there is possible."""
+    ends, _ = size_classes(threshold)
+
+    def prefix(rows: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("uid")
+        keys = shared["shingle"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        keys, held = keys[order], shared["held"].to_numpy()[order]
+        signs = []
+        for group, text in zip(rows["group"].to_numpy(), rows["text"]):
+            own = shingle_set(text, words)
+            n = len(own)
+            at = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
+            known = keys[at] == own if len(keys) else np.zeros(n, dtype=bool)
+            # of the prefix only shared shingles can meet another set
+            room = n - -(-threshold * n // 100) + 1 - int((~known).sum())
+            first = own[known][np.lexsort((own[known], held[at[known]]))[: max(room, 0)]] if known.any() else own[:0]
+            c = int(np.searchsorted(ends, n))
+            classes = [c]
+            while (int(ends[c]) + 1) * threshold <= n * 100:
+                c += 1
+                classes.append(c)
+            mixed = _mix(first ^ _mix(np.array([group], dtype=np.int64).view(np.uint64) ^ _M2))
+            signs.append(np.concatenate([_mix(mixed ^ np.uint64((c + 1) * int(_M1) & 0xFFFFFFFFFFFFFFFF)) for c in classes]))
+        uid = rows["uid"].to_numpy()
+        if not len(rows):
+            return pd.DataFrame({"uid": [], "sign": [], "stands": []}).astype("int64")
+        of, every, stands = _collapsed(uid, signs)
+        return pd.DataFrame({"uid": uid[of], "sign": every.view(np.int64), "stands": stands})
+
+    return prefix
+
+
+def _refined(large: DataFrame, texts: DataFrame, about: DataFrame, limit: int, threshold: int, words: int) -> DataFrame:
+    """Large groups (group, uid, n) parted by prefix filtering.
+
+    Part signatures also agree by chance, where documents share a passage, and
+    such ties add up to groups of documents that have nothing else in common.
+    Here shingles are counted over all sets of a group, exactly, and only sets
+    that share a shingle of their rarest ones stay together. Counts are added up
+    in blocks first, so a shingle of all sets of a group costs a row per block."""
+    shares = large.groupBy("group").agg(F.ceil(F.sum("n") * REFINE_BLOCKS / limit).cast("int").alias("shares"))
+    dealt = large.join(shares, "group").withColumn("block", F.pmod(F.xxhash64("uid", F.lit(9)), F.col("shares")).cast("int"))
+    dealt = stored(dealt.select("group", "block", "uid").join(texts, "uid").select("group", "block", "uid", "text"), "refine")
+    held = cut(dealt.groupBy("group", "block").applyInPandas(_counted(words), "group bigint, block int, shingle bigint, held bigint"))
+    often = held.groupBy("group", "shingle").agg(F.sum("held").alias("held")).where("held > 1")
+    shared = held.select("group", "block", "shingle").join(often, ["group", "shingle"]).select("group", "block", "shingle", "held")
+    signed = dealt.groupBy("group", "block").cogroup(shared.groupBy("group", "block")).applyInPandas(_prefixes(threshold, words), "uid bigint, sign bigint, stands int")
+    near = _ties(signed, about, threshold)
+    finer = connected_components(near, "uid", "first").select(F.col("id").alias("uid"), F.col("component").alias("group"))
+    return cut(large.select("uid", "n").join(finer, "uid").select("group", "uid", "n"))
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     """(doc_id, uid, text); equal rows get equal numbers, as they have the same
     set and need no telling apart."""
@@ -373,19 +469,8 @@ def row_classes(docs: DataFrame, threshold: int, words: int, group_shingles: int
     sets = cut(linkable.groupBy("n", "h1", "h2").agg(F.min("uid").alias("set_uid"), F.min("doc_id").alias("set_id")))
     # the texts are read once more, which is cheaper than to store signatures
     signed = docs.select("uid", "text").mapInPandas(_signed(threshold, words), "uid bigint, sign array<bigint>, stands array<int>")
-    signed = signed.select("uid", F.inline(F.arrays_zip("sign", "stands")))
-    same, row = Window.partitionBy("sign"), Window.partitionBy("sign").orderBy("uid")
-    # rows that stand for more than a few documents always tie
-    tied = (F.sum("stands").over(same) > SMALL) | (F.col("sign").bitwiseAND(F.lit(1)) == 1)
-    earlier = F.array(*[F.lag("uid", d).over(row) for d in range(1, SMALL)])
-    met = signed.select("uid", tied.alias("tied"), F.first("uid").over(row).alias("first"), earlier.alias("earlier"))
-    met = met.select("uid", "tied", F.explode(F.when(F.col("tied"), F.array("first")).otherwise(F.array_compact("earlier"))).alias("other"))
-    met = cut(met.where("uid != other").distinct())
     about = linkable.select("uid", "n", "histogram").dropDuplicates(["uid"])
-    side = lambda name, key: about.select(F.col("uid").alias(key), F.col("n").alias(f"{name}_n"), F.col("histogram").alias(f"{name}_histogram"))
-    pairs = met.where("not tied").select("uid", "other").join(side("a", "uid"), "uid").join(side("b", "other"), "other")
-    pairs = pairs.select("uid", "other", "a_n", "a_histogram", "b_n", "b_histogram").mapInPandas(_possible(threshold), "uid bigint, other bigint")
-    near = cut(met.where("tied").select("uid", F.col("other").alias("first")).union(pairs))
+    near = _ties(signed.select("uid", F.inline(F.arrays_zip("sign", "stands"))), about, threshold)
     set_of = linkable.join(sets, ["n", "h1", "h2"]).select("uid", "set_uid")
     near = near.join(set_of, "uid").select(F.col("first").alias("uid"), F.col("set_uid").alias("a")).join(set_of, "uid").select("a", F.col("set_uid").alias("b"))
     groups = connected_components(near, "a", "b").select(F.col("id").alias("set_uid"), F.col("component").alias("group"))
@@ -395,6 +480,12 @@ def row_classes(docs: DataFrame, threshold: int, words: int, group_shingles: int
     texts = docs.join(members.select("uid"), "uid", "left_semi").select("uid", "text").dropDuplicates(["uid"])
     small = members.join(sizes.where(F.col("size") <= group_shingles), "group", "left_semi")
     large = cut(members.join(sizes.where(F.col("size") > group_shingles), "group", "left_semi"))
+    if not large.isEmpty():
+        # what hangs together by chance parts here, before any text is sent twice
+        finer = _refined(large, texts, about, group_shingles, threshold, words)
+        sizes = finer.groupBy("group").agg(F.sum("n").alias("size"))
+        small = small.union(finer.join(sizes.where(F.col("size") <= group_shingles), "group", "left_semi"))
+        large = cut(finer.join(sizes.where(F.col("size") > group_shingles), "group", "left_semi"))
     links = small.join(texts, "uid").select("group", "uid", F.lit(0).alias("role"), "text").groupBy("group").applyInPandas(_search_group(threshold, words), "a bigint, b bigint")
     if not large.isEmpty():
         links = links.union(_split(large, texts, group_shingles, threshold, words))
