@@ -414,9 +414,9 @@ def _refined(large: DataFrame, texts: DataFrame, about: DataFrame, limit: int, t
     shares = large.groupBy("group").agg(F.ceil(F.sum("n") * REFINE_BLOCKS / limit).cast("int").alias("shares"))
     dealt = large.join(shares, "group").withColumn("block", F.pmod(F.xxhash64("uid", F.lit(9)), F.col("shares")).cast("int"))
     dealt = stored(dealt.select("group", "block", "uid").join(texts, "uid").select("group", "block", "uid", "text"), "refine")
-    held = cut(dealt.groupBy("group", "block").applyInPandas(_counted(words), "group bigint, block int, shingle bigint, held bigint"))
-    often = held.groupBy("group", "shingle").agg(F.sum("held").alias("held")).where("held > 1")
-    shared = held.select("group", "block", "shingle").join(often, ["group", "shingle"]).select("group", "block", "shingle", "held")
+    held = dealt.groupBy("group", "block").applyInPandas(_counted(words), "group bigint, block int, shingle bigint, held bigint")
+    held = held.withColumn("held", F.sum("held").over(Window.partitionBy("group", "shingle")))
+    shared = held.where("held > 1").select("group", "block", "shingle", "held")
     signed = dealt.groupBy("group", "block").cogroup(shared.groupBy("group", "block")).applyInPandas(_prefixes(threshold, words), "uid bigint, sign bigint, stands int")
     near = _ties(signed, about, threshold)
     finer = connected_components(near, "uid", "first").select(F.col("id").alias("uid"), F.col("component").alias("group"))

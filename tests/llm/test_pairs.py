@@ -1,6 +1,7 @@
 """Vector and shingle joins against brute force."""
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from catalog_engine.llm import embedding_dedup, ngram_join
 from catalog_engine.llm.common import connected_components
@@ -113,6 +114,19 @@ def test_ngram_join_links_families_over_blocks(spark, monkeypatch):
     assert {r.component_id for r in ngram_join.link_classes(docs).collect()} == {0}
 
 
+def test_large_groups_part_where_only_a_passage_is_shared(spark):
+    """One group by chance: the texts share a passage, two also all else but a word."""
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([f"d{k}w{i}" for i in range(40)] + passage) for k in range(30)]
+    texts += [texts[7] + " more", None, ""]
+    rows = [(100 + k, 0, t) for k, t in enumerate(texts) if t]
+    docs = spark.createDataFrame([(u, t) for u, _, t in rows], "doc_id long, text string").select("doc_id", F.col("doc_id").alias("uid"), "text")
+    about = docs.mapInPandas(ngram_join._described(3), "doc_id bigint, uid bigint, n bigint, h1 bigint, h2 bigint, histogram binary").select("uid", "n", "histogram")
+    large = about.select(F.lit(0).cast("long").alias("group"), "uid", "n")
+    got = ngram_join._refined(large, docs.select("uid", "text"), about, 1000, 90, 3).collect()
+    assert sorted(r.uid for r in got) == [107, 130] and len({r.group for r in got}) == 1
+
+
 def brute_vectors(rows, cosine):
     good = [i for i, (_, v) in enumerate(rows) if v and None not in v and np.isfinite(np.array(v, float)).all() and np.any(np.array(v, float))]
     links = []
